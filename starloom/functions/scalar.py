@@ -52,9 +52,12 @@ def later_of(first: Column, second: Column) -> Column:
 
 
 def allocate(header_amount: Column, line_total: Column, subtotal: Column, type_name: str = "decimal(19,4)") -> Column:
-    """Share of a header amount that falls on a line; a zero subtotal gives null."""
-    share = F.try_divide(header_amount.cast("decimal(19,4)") * line_total.cast("decimal(18,6)"), subtotal.cast("decimal(19,4)"))
-    return share.cast(type_name)
+    """Part of a header amount that falls on a line; a zero subtotal gives null.
+
+    The share is kept to 20 digits, so that only the final amount is rounded.
+    """
+    share = F.try_divide(line_total.cast("decimal(19,4)"), subtotal.cast("decimal(19,4)")).try_cast("decimal(26,20)")
+    return (header_amount.cast("decimal(19,4)") * share).cast(type_name)
 
 
 def line_amounts(qty: Column, price: Column, discount: Column) -> dict[str, Column]:
