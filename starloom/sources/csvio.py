@@ -1,7 +1,7 @@
 """CSV transfer with the two null conventions of the loads.
 
 ``full``: an empty field is null, so empty text and null become one.
-``delta``: null is written as ``\\N``, so empty text survives.
+``delta``: null is written as ``\\N`` and empty text as ``""``, so both survive.
 """
 
 from __future__ import annotations
@@ -9,22 +9,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# CSV options of the two conventions.
-CONVENTIONS = {
-    "full": {"header": "true", "nullValue": "", "emptyValue": ""},
-    "delta": {"header": "true", "nullValue": "\\N", "emptyValue": ""},
-}
+_COMMON = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
+# How each convention writes and reads null and empty text.
+WRITE = {"full": {"nullValue": "", "emptyValue": ""}, "delta": {"nullValue": "\\N", "emptyValue": '""'}}
+READ = {"full": {"nullValue": "", "emptyValue": ""}, "delta": {"nullValue": "\\N", "emptyValue": ""}}
 
 
-def _options(convention: str) -> dict[str, str]:
-    if convention not in CONVENTIONS:
+def _options(table: dict[str, dict[str, str]], convention: str) -> dict[str, str]:
+    if convention not in table:
         raise ValueError("convention must be full or delta")
-    return {**CONVENTIONS[convention], "quote": '"', "escape": '"', "multiLine": "true"}
+    return {**_COMMON, **table[convention]}
 
 
 def write_csv(df: DataFrame, path: str, convention: str = "delta", mode: str = "errorifexists") -> None:
-    df.write.mode(mode).options(**_options(convention)).csv(path)
+    df.write.mode(mode).options(**_options(WRITE, convention)).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, convention: str = "delta") -> DataFrame:
-    return spark.read.schema(schema).options(**_options(convention)).csv(path)
+    return spark.read.schema(schema).options(**_options(READ, convention)).csv(path)
