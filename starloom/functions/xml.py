@@ -133,24 +133,36 @@ def element_names(df: DataFrame, doc_col: str) -> list[str]:
     return [n for i, n in enumerate(found) if row[i]]
 
 
+def pivot_long(df: DataFrame, id_cols: Sequence[str], name_col: str, value_col: str, names: Sequence[str] | None = None) -> DataFrame:
+    """Name/value rows to one column per name, largest value; the names are discovered if not given."""
+    if names is None:
+        found = df.select(name_col).distinct().limit(MAX_ELEMENT_NAMES + 1).collect()
+        if len(found) > MAX_ELEMENT_NAMES:
+            raise ValueError(f"more than {MAX_ELEMENT_NAMES} element names")
+        names = sorted(r[0] for r in found if r[0] is not None)
+    return df.groupBy(*id_cols).pivot(name_col, list(names)).agg(F.max(value_col))
+
+
+def _as_type(text: Column, target: str | None) -> Column:
+    if target == "boolean":
+        return flag(text)
+    if target == "timestamp_ntz":
+        return survey_date(text)
+    return try_convert(text, target) if target else text
+
+
 def pivot_elements(
     df: DataFrame, id_cols: Sequence[str], doc_col: str, names: Sequence[str] | None = None, types: dict[str, str] | None = None
 ) -> DataFrame:
     """One row per id with a column per element name (largest text wins), cast by ``types``.
 
-    Without ``names`` the column list is discovered from the data.
+    Without ``names`` the column list is discovered from the data. A document
+    is reduced to its row of largest texts before the rows of an id meet, so
+    elements never travel one by one. Ids without any element give no row.
     """
     names = element_names(df, doc_col) if names is None else list(names)
-    wide = shred(df, id_cols, doc_col, names).groupBy(*id_cols).pivot("ElementName", names).agg(F.max("ElementValue"))
-    columns = []
-    for n in names:
-        target = (types or {}).get(n)
-        c = F.col(f"`{n}`")
-        if target == "boolean":
-            c = flag(c)
-        elif target == "timestamp_ntz":
-            c = survey_date(c)
-        elif target:
-            c = try_convert(c, target)
-        columns.append(c.alias(n))
-    return wide.select(*id_cols, *columns)
+    parsed = df.filter(F.col(doc_col).isNotNull()).select(*id_cols, parse_leaves(F.col(doc_col), names).alias("_p"))
+    wide = parsed.select(*id_cols, *[F.array_max(F.col("_p").getField(n)).alias(n) for n in names])
+    filled = wide.filter(F.coalesce(*[F.col(f"`{n}`") for n in names]).isNotNull())
+    merged = filled.groupBy(*id_cols).agg(*[F.max(f"`{n}`").alias(n) for n in names])
+    return merged.select(*id_cols, *[_as_type(F.col(f"`{n}`"), (types or {}).get(n)).alias(n) for n in names])

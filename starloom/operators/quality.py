@@ -39,7 +39,7 @@ def inverted_validity(dim: DataFrame, start: str = "StartDate", end: str = "EndD
 
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child rows whose non-null key has no parent."""
-    known = parent.select(F.col(parent_key).alias(child_key))
+    known = parent.select(F.col(parent_key).alias(child_key)).distinct()
     return child.filter(F.col(child_key).isNotNull()).join(known, child_key, "left_anti")
 
 
@@ -51,7 +51,7 @@ def foreign_key_report(child: DataFrame, relations: dict[str, tuple[str, DataFra
     rows = []
     for name, (child_key, parent, parent_key) in relations.items():
         counts = child.filter(F.col(child_key).isNotNull()).groupBy(F.col(child_key).alias("_k")).agg(F.count("*").alias("_n"))
-        missing = counts.join(parent.select(F.col(parent_key).alias("_k")), "_k", "left_anti")
+        missing = counts.join(parent.select(F.col(parent_key).alias("_k")).distinct(), "_k", "left_anti")
         rows.append(
             missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_orphans"), F.count("*").alias("n_keys")).select(
                 F.lit(name).alias("relation"), "n_orphans", "n_keys"
@@ -62,7 +62,8 @@ def foreign_key_report(child: DataFrame, relations: dict[str, tuple[str, DataFra
 
 def cascade_delete(fact: DataFrame, fact_key: str, deleted: DataFrame, deleted_key: str) -> DataFrame:
     """The fact without the rows that refer to deleted dimension rows; null keys stay."""
-    return fact.join(deleted, fact[fact_key] == deleted[deleted_key], "left_anti")
+    gone = deleted.select(F.col(deleted_key).alias("_gone")).distinct()
+    return fact.join(gone, fact[fact_key] == gone["_gone"], "left_anti")
 
 
 def _long(df: DataFrame, counts: dict[str, F.Column]) -> DataFrame:

@@ -17,6 +17,8 @@ def local_session(cpus: int | str = 8, app: str = "starloom", memory: str = "12g
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .getOrCreate()
     )
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-_COMMON = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
+_COMMON = {"header": "true", "quote": '"', "escape": '"'}
 # How each convention writes and reads null and empty text.
 WRITE = {"full": {"nullValue": "", "emptyValue": ""}, "delta": {"nullValue": "\\N", "emptyValue": '""'}}
 READ = {"full": {"nullValue": "", "emptyValue": ""}, "delta": {"nullValue": "\\N", "emptyValue": ""}}
@@ -25,5 +25,9 @@ def write_csv(df: DataFrame, path: str, convention: str = "delta", mode: str = "
     df.write.mode(mode).options(**_options(WRITE, convention)).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, convention: str = "delta") -> DataFrame:
-    return spark.read.schema(schema).options(**_options(READ, convention)).csv(path)
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str, convention: str = "delta", multi_line: bool = True
+) -> DataFrame:
+    """``multi_line`` keeps line breaks inside texts but reads each file in one task; turn it off for large files without them."""
+    options = {**_options(READ, convention), "multiLine": str(multi_line).lower()}
+    return spark.read.schema(schema).options(**options).csv(path)

@@ -163,7 +163,8 @@ def scd1_query(spark, sf):
 def merge_dimension(spark, sf, build, spec):
     """The dimension at the cutoff, merged with the delta since then."""
     target = assign_keys(build(OltpSources(spark, sf, CUTOFF)), spec.surrogate_key, spec.business_keys)
-    return scd2_merge(target, build(OltpSources(spark, sf), CUTOFF), spec)
+    staged = cut_lineage(build(OltpSources(spark, sf), CUTOFF))
+    return scd2_merge(target, staged, spec)
 
 
 def _dimension_ctes(name: str, spec: DimensionSpec) -> dict[str, str]:

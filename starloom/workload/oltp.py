@@ -127,7 +127,7 @@ def catalogue() -> Column:
 
 def detail_id() -> Column:
     """Fingerprint of all columns of a line; order and line number alone do not identify it."""
-    cents = [F.round(F.col(c) * 100).cast("long") for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
+    cents = [F.rint(F.col(c) * 100).cast("long") for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
     text = F.concat_ws(
         "|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *cents, "l_returnflag", "l_linestatus",
         F.date_format("l_shipdate", "yyyyMMdd"),
@@ -285,7 +285,7 @@ class OltpSources(dict):
         ).distinct()
 
     def _special_offer(self):
-        offers = self._t("lineitem").groupBy(F.round(F.col("l_discount") * 100).cast("int").alias("SpecialOfferID")).agg(
+        offers = self._t("lineitem").groupBy(F.rint(F.col("l_discount") * 100).cast("int").alias("SpecialOfferID")).agg(
             F.min("l_quantity").cast("int").alias("MinQty"), F.max("l_quantity").cast("int").alias("_max"),
             F.min("l_shipdate").alias("StartDate"), F.max("l_shipdate").alias("EndDate"), F.count("*").alias("_n"),
         )
@@ -372,7 +372,7 @@ class OltpSources(dict):
     def _order_detail(self):
         return self._t("lineitem").select(
             F.col("l_orderkey").alias("SalesOrderID"), detail_id().alias("SalesOrderDetailID"), F.col("l_partkey").alias("ProductID"),
-            F.round(F.col("l_discount") * 100).cast("int").alias("SpecialOfferID"), F.col("l_quantity").cast("int").alias("OrderQty"),
+            F.rint(F.col("l_discount") * 100).cast("int").alias("SpecialOfferID"), F.col("l_quantity").cast("int").alias("OrderQty"),
             money("l_extendedprice").alias("UnitPrice"), money("l_discount").alias("UnitPriceDiscount"),
             line_total().alias("LineTotal"), F.col("l_shipdate").alias("ModifiedDate"),
         )

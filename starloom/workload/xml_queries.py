@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from starloom.functions.xml import (
-    PERSON_SURVEY, STORE_SURVEY, element_names, pivot_elements, shred, with_person_survey, with_store_survey, with_warranty,
+    PERSON_SURVEY, STORE_SURVEY, element_names, pivot_elements, pivot_long, shred, with_person_survey, with_store_survey, with_warranty,
 )
 from starloom.plans.survey_customers import customer_by_ship_to
 from starloom.workload.base import query
@@ -76,6 +76,14 @@ def pivot_query(spark, sf):
     return pivot_elements(persons, ["BusinessEntityID"], "Demographics", None, SURVEY_TYPES)
 
 
+@query("xml_pivot_long", with_sources(f"SELECT BusinessEntityID, {', '.join(f'{_TEXTS.get(n, n)} AS {n}' for n in PERSON_SURVEY)} FROM person_survey"))
+def pivot_long_query(spark, sf):
+    """The element rows themselves pivoted, with the column list found from the data."""
+    persons = OltpSources(spark, sf)["person"]
+    rows = shred(persons, ["BusinessEntityID"], "Demographics", PERSON_SURVEY)
+    return pivot_long(rows, ["BusinessEntityID"], "ElementName", "ElementValue")
+
+
 @query("customer_by_ship_to", with_sources(f"""
     SELECT DISTINCT h.CustomerID, c.PersonID AS BusinessEntityID, c.TerritoryID, c.ModifiedDate, h.ShipToAddressID AS AddressID, p.PersonType,
            p.FirstName, p.LastName, p.EmailPromotion, {', '.join('v.' + c for c in PERSON_SURVEY)}, a.AddressLine1, a.City,
