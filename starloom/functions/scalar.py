@@ -73,13 +73,12 @@ def line_amounts(qty: Column, price: Column, discount: Column) -> dict[str, Colu
 
 
 def to_second(col: Column) -> Column:
-    """Drop the fraction of a second and keep the type without time zone."""
-    return F.date_trunc("SECOND", col).cast("timestamp_ntz")
+    """Drop the fraction of a second; no time zone takes part."""
+    seconds = F.extract(F.lit("SECOND"), col)
+    return col - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (seconds - F.floor(seconds)).cast("decimal(18,6)"))
 
 
 def survey_date(text: Column) -> Column:
     """Date text of a survey (ISO with a trailing Z, or mm/dd/yyyy) as a timestamp."""
     bare = F.replace(text, F.lit("Z"), F.lit(""))
-    iso = bare.try_cast("timestamp_ntz")
-    us = F.try_to_timestamp(bare, F.lit("MM/dd/yyyy")).cast("timestamp_ntz")
-    return F.coalesce(iso, us)
+    return F.coalesce(bare.try_cast("timestamp_ntz"), F.try_to_date(bare, "MM/dd/yyyy").cast("timestamp_ntz"))

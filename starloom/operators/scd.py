@@ -81,14 +81,23 @@ def new_versions(changes: DataFrame, spec: DimensionSpec) -> DataFrame:
     return rows.withColumn(spec.end, open_end()).select(*spec.row_columns)
 
 
-def scd2_merge(target: DataFrame, staging: DataFrame, spec: DimensionSpec, changes: DataFrame | None = None) -> DataFrame:
+def scd2_merge(
+    target: DataFrame,
+    staging: DataFrame,
+    spec: DimensionSpec,
+    changes: DataFrame | None = None,
+    numbered: DataFrame | None = None,
+) -> DataFrame:
     """Type-2 merge: unchanged and absent keys stay, changed keys get a new version, new keys are added.
 
-    New rows take the keys after the largest one of the target, in business-key order.
+    New rows take the keys after the largest one of ``numbered`` (the target
+    unless given), in business-key order. ``target`` may be the open rows only,
+    with the whole table as ``numbered``: closed rows never change.
     """
+    numbered = target if numbered is None else numbered
     changes = cut_lineage(change_set(target, staging, spec)) if changes is None else changes
     fresh = assign_keys(
-        new_versions(changes, spec), spec.surrogate_key, spec.business_keys, after=target, after_col=spec.surrogate_key
+        new_versions(changes, spec), spec.surrogate_key, spec.business_keys, after=numbered, after_col=spec.surrogate_key
     )
     kept = expire(target, changes, spec)
     key_type = target.schema[spec.surrogate_key].dataType
@@ -107,7 +116,7 @@ def merge_stats(changes: DataFrame) -> DataFrame:
     )
 
 
-def scd1_merge(target: DataFrame, staging: DataFrame, spec: DimensionSpec) -> DataFrame:
+def scd1_merge(target: DataFrame, staging: DataFrame, spec: DimensionSpec, numbered: DataFrame | None = None) -> DataFrame:
     """Type-1 merge: changed attributes are overwritten in place, new keys are added, no history.
 
     ``StartDate`` moves only with a real change, so merging the same batch twice gives the same table.
@@ -124,7 +133,8 @@ def scd1_merge(target: DataFrame, staging: DataFrame, spec: DimensionSpec) -> Da
         columns.append((F.when(take, F.col(f"s.`{c}`")).otherwise(old) if c in (*spec.tracked, spec.start) else old).alias(c))
     updated = t.join(s, on, "left").select(*columns)
     added = newest.join(current.select(*keys), keys, "left_anti").withColumn(spec.end, open_end())
-    added = assign_keys(added.select(*spec.row_columns), spec.surrogate_key, keys, after=target, after_col=spec.surrogate_key)
+    numbered = target if numbered is None else numbered
+    added = assign_keys(added.select(*spec.row_columns), spec.surrogate_key, keys, after=numbered, after_col=spec.surrogate_key)
     key_type = target.schema[spec.surrogate_key].dataType
     added = added.withColumn(spec.surrogate_key, F.col(spec.surrogate_key).cast(key_type))
     closed = target.filter(F.col(spec.end) != open_end()).select(*spec.columns)

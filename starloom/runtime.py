@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local_dirs: dict[str, str] = {}
+_lock = threading.Lock()
+
 
 def local_session(cpus: int | str = 8, app: str = "starloom", memory: str = "12g") -> SparkSession:
     """Session for tests and the bench; on a cluster the caller brings a session."""
@@ -32,11 +36,13 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="starloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    with _lock:
+        if context.applicationId not in _local_dirs:
+            _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="starloom-")
+        return _local_dirs[context.applicationId]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -27,9 +27,9 @@ def plain(df: DataFrame) -> DataFrame:
     for f in df.schema:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+            c = F.left(c.cast("string"), F.lit(19))
         elif isinstance(f.dataType, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
+            c = c.cast("string")
         elif isinstance(f.dataType, T.DecimalType):
             c = c.cast("double")
         elif isinstance(f.dataType, T.BooleanType):

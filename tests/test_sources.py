@@ -53,6 +53,20 @@ def test_partitioned_and_empty_tables(spark, store):
     assert empty.count() == 0 and set(empty.columns) == {"k", "m"}
 
 
+def test_kept_partitions_are_not_rewritten(spark, store):
+    df = spark.createDataFrame([(1, True), (2, False)], "k int, open boolean")
+    store.write(df, "dwh", "d", partition_by=["open"])
+    closed = {f for f in store.read("dwh", "d").inputFiles() if "open=false" in f}
+    newer = spark.createDataFrame([(1, False), (3, True)], "k int, open boolean")
+    back = store.write(newer, "dwh", "d", partition_by=["open"], keep="open=false")
+    assert rows(back) == [(1, False), (2, False), (3, True)] and closed < set(back.inputFiles())
+    last = store.write(spark.createDataFrame([(4, True)], "k int, open boolean"), "dwh", "d", partition_by=["open"], keep="open=false")
+    assert rows(last) == [(1, False), (2, False), (4, True)]
+    assert rows(store.read("dwh", "d", 1)) == [(1, True), (2, False)]
+    fresh = store.write(df.filter("open"), "dwh", "n", partition_by=["open"], keep="open=false")
+    assert rows(store.write(fresh, "dwh", "n", partition_by=["open"], keep="open=false")) == [(1, True)]
+
+
 def test_csv_conventions(spark, tmp_path):
     df = spark.createDataFrame([(1, "a,b"), (2, ""), (3, None), (4, 'q"x'), (5, "two\nlines")], "k int, v string")
     csvio.write_csv(df, str(tmp_path / "delta"))
