@@ -20,29 +20,39 @@ def next_key(df: DataFrame, key_col: str) -> DataFrame:
 
 
 def assign_keys(
-    df: DataFrame, key_col: str, order: Sequence[str], after: DataFrame | None = None, after_col: str | None = None
+    df: DataFrame,
+    key_col: str,
+    order: Sequence[str],
+    after: DataFrame | None = None,
+    after_col: str | None = None,
+    unique: bool = True,
 ) -> DataFrame:
     """Dense keys in the order of ``order``, starting at 1 or after the largest key of ``after``.
 
     Rows are range-partitioned and sorted, written once (so that the boundaries
     cannot move between uses), and each partition then gets the number of rows
-    before it. No task sees more than one range, and a random last sort column
-    spreads rows that are equal in every ordering column.
+    before it. No task sees more than one range.
+
+    ``unique`` says that the ordering columns identify a row, as business keys
+    do. Otherwise the rows are first written with a random number as last
+    ordering column: copies of a row spread over tasks, and because the number
+    is stored, a repeated task sends every row to the same place again.
     """
-    salted = df.withColumn("_salt", F.rand(7))
-    ranged = salted.repartitionByRange(*order, "_salt").sortWithinPartitions(*order, "_salt").drop("_salt")
-    placed = cut_lineage(ranged.withColumn("_pos", F.monotonically_increasing_id()))
+    order = list(order)
+    source = df
+    if not unique:
+        source = cut_lineage(df.withColumn("_salt", F.rand()))
+        order = [*order, "_salt"]
+    ranged = source.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = cut_lineage(ranged.select(*df.columns, F.monotonically_increasing_id().alias("_pos")))
+    base = 0 if after is None else next_key(after, after_col or key_col).first()[0] - 1
     part = F.shiftright("_pos", 33)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_size"))
     # one row per partition, so this window and its broadcast are small whatever the data size
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     out = placed.withColumn("_part", part).join(F.broadcast(starts), "_part")
-    key = F.col("_start") + F.col("_pos").bitwiseAND((1 << 33) - 1) + 1
-    if after is not None:
-        base = next_key(after, after_col or key_col)
-        out = out.crossJoin(F.broadcast(base))  # exactly one row
-        key = key + F.col("next_key") - 1
+    key = F.col("_start") + F.col("_pos").bitwiseAND((1 << 33) - 1) + (base + 1)
     return out.select(key.alias(key_col), *[F.col(f"`{c}`") for c in df.columns])
 
 

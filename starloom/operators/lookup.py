@@ -18,6 +18,13 @@ def current_rows(dim: DataFrame, end_col: str = "EndDate") -> DataFrame:
     return dim.filter(F.col(end_col) == open_end())
 
 
+def fill_open_end(df: DataFrame, end_col: str = "EndDate") -> DataFrame:
+    """Rows without an end are open: the sentinel stands in for null or for a missing column."""
+    if end_col not in df.columns:
+        return df.withColumn(end_col, open_end())
+    return df.withColumn(end_col, F.coalesce(F.col(end_col), open_end()))
+
+
 @dataclass(frozen=True)
 class Lookup:
     """How one dimension key of the fact is resolved."""

@@ -25,6 +25,12 @@ def seed_watermarks(store: DataFrame, seeds: DataFrame) -> DataFrame:
     return store.unionByName(fresh.select(store.columns))
 
 
+def named_seeds(spark: SparkSession, names: Sequence[str], now, at=DAWN) -> DataFrame:
+    """One seed per name, target or source table, all at the same moment."""
+    rows = spark.createDataFrame([(n,) for n in names], "table_name string")
+    return rows.select("table_name", ntz(at).alias("last_watermark"), ntz(now).alias("updated_at"))
+
+
 def seeds_from_tables(spark: SparkSession, tables: dict[str, DataFrame], column: str, now) -> DataFrame:
     """One seed per loaded table: its largest date, so that nothing between copy and seed is skipped."""
     rows = [

@@ -32,6 +32,12 @@ def date_spine_of(df: DataFrame, date_col: str) -> DataFrame:
     return bounds.select(F.explode(F.sequence(F.trunc("lo", "YEAR"), last, F.expr("interval 1 day"))).alias("day"))
 
 
+def long_fiscal_years(spark: SparkSession, spec: D.FiscalCalendar = D.FiscalCalendar()) -> DataFrame:
+    """The 53-week years: an arithmetic series below ``last_year``."""
+    series = F.sequence(F.lit(spec.first_long_year), F.lit(spec.last_year - 1), F.lit(spec.long_every))
+    return spark.range(1).select(F.explode(series).alias("FiscalYear"))
+
+
 def calendar_attributes(d: Column, holiday_mode: str = "intended") -> dict[str, Column]:
     """The calendar columns of a DATE column, codes as trimmed text as in the star schema."""
     label = D.holiday_name(d, holiday_mode)

@@ -206,7 +206,7 @@ def dim_store(src: Sources, since=None) -> DataFrame:
     rows = with_store_survey(stores.withColumnRenamed("ModifiedDate", "StoreDate"), "Demographics")
     located = rows.select("BusinessEntityID").join(addresses, "BusinessEntityID")
     chosen = preferred_row(located, key, "AddressType", ADDRESS_PREFERENCE, [
-        F.col("AddressLine1").asc_nulls_first(), F.col("AddressID"),
+        F.col("AddressLine1").asc_nulls_first(), F.col("AddressID"), F.col("LinkDate").desc_nulls_last(),
     ])
     start = row_max("StoreDate", "AddressDate", "TypeDate", "CountryDate", "StateDate", "LinkDate")
     out = rows.join(chosen, "BusinessEntityID").withColumn("StartDate", start)

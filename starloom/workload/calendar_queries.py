@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from starloom.functions import dates as D
-from starloom.plans.calendar import CALENDAR_COLUMNS, build_calendar, date_spine_of
+from starloom.plans.calendar import CALENDAR_COLUMNS, build_calendar, date_spine_of, long_fiscal_years
 from starloom.workload.base import query
 from starloom.workload.oltp import read
 
@@ -259,3 +259,13 @@ def fiscal_bounds_query(spark, sf):
     bounds = [c for c in D.FISCAL_COLUMNS if "DayOf" in c and c != "FiscalDayOfYear"]
     keys = ["FiscalYear", "FiscalQuarter", "FiscalMonth", *[F.col(c).alias(c.removeprefix("Fiscal")) for c in bounds]]
     return D.with_fiscal(orders, "day", FISCAL).groupBy(*keys).agg(F.sum("n").alias("n_orders"), F.sum("amount").alias("revenue"))
+
+
+@query("fiscal_long_years", f"""
+    SELECT fy AS FiscalYear, count(*) AS n_orders, max(fday) AS last_order_day
+    FROM orders JOIN ({fiscal_sql("1994-12-26", 1995, 1994, "445")}) ON day = CAST(o_orderdate AS DATE) WHERE extra = 1 GROUP BY fy""")
+def long_years_query(spark, sf):
+    """Orders that fall into 53-week years."""
+    per_day = orders_per_day(spark, sf)
+    dated = D.with_fiscal(per_day, "day", FISCAL).join(long_fiscal_years(spark, FISCAL), "FiscalYear")
+    return dated.groupBy("FiscalYear").agg(F.sum("n_orders").alias("n_orders"), F.max("FiscalDayOfYear").alias("last_order_day"))

@@ -241,14 +241,26 @@ def next_key_query(spark, sf):
 
 
 @query("number_stored_fact", """
-    SELECT l_returnflag, count(*) AS n_rows, count(*) AS n_keys, (SELECT 1) AS lowest, (SELECT count(*) FROM lineitem) AS highest
-    FROM lineitem GROUP BY l_returnflag""")
+    SELECT count(*) AS n_rows, count(*) AS n_keys, 1 AS lowest, count(*) AS highest, CAST(sum(l_orderkey) AS BIGINT) AS order_sum FROM lineitem""")
 def number_stored_query(spark, sf):
     """Keys of a stored table: dense, unique, from 1 to the number of rows."""
     keyed = number_stored_rows(cut_lineage(read(spark, sf, "lineitem").select("l_orderkey", "l_returnflag")), "LineKey")
-    per_flag = keyed.groupBy("l_returnflag").agg(F.count("*").alias("n_rows"), F.countDistinct("LineKey").alias("n_keys"))
-    ends = keyed.agg(F.min("LineKey").alias("lowest"), F.max("LineKey").alias("highest"))
-    return per_flag.crossJoin(F.broadcast(ends))  # one row
+    return keyed.agg(
+        F.count("*").alias("n_rows"), F.countDistinct("LineKey").alias("n_keys"), F.min("LineKey").alias("lowest"),
+        F.max("LineKey").alias("highest"), F.sum("l_orderkey").alias("order_sum"),
+    )
+
+
+@query("assign_key_to_copies", """
+    SELECT l_returnflag, l_linestatus, count(*) AS n_rows, min(k) AS lowest, max(k) AS highest, CAST(sum(k) AS BIGINT) AS key_sum FROM (
+        SELECT l_returnflag, l_linestatus, row_number() OVER (ORDER BY l_returnflag, l_linestatus) AS k FROM lineitem) GROUP BY 1, 2""")
+def copies_query(spark, sf):
+    """Six distinct rows in very many copies, numbered without gathering the copies of one in a task."""
+    flags = read(spark, sf, "lineitem").select("l_returnflag", "l_linestatus")
+    keyed = assign_keys(flags, "k", ["l_returnflag", "l_linestatus"], unique=False)
+    return keyed.groupBy("l_returnflag", "l_linestatus").agg(
+        F.count("*").alias("n_rows"), F.min("k").alias("lowest"), F.max("k").alias("highest"), F.sum("k").alias("key_sum")
+    )
 
 
 __all__ = ["EXTRA", "FACT_COLUMNS", "keyed_dimension", "keyed_dimensions"]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators.dedup import dedup_latest
 from starloom.operators.keys import assign_keys
-from starloom.operators.lookup import current_rows
+from starloom.operators.lookup import current_rows, fill_open_end
 from starloom.operators.scd import (
     DimensionSpec, change_set, expire, merge_stats, new_versions, scd1_merge, scd2_merge, staged_duplicates,
 )
@@ -147,6 +147,17 @@ def stats_query(spark, sf):
     return merge_stats(profile_changes(spark, sf)[1])
 
 
+@query("default_end_date", """
+    SELECT o_custkey AS CustomerID, o_orderdate AS StartDate,
+           CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 30 DAY ELSE TIMESTAMP '9999-12-31' END AS EndDate FROM orders""",
+    "CustomerID StartDate:t EndDate:t")
+def default_end_query(spark, sf):
+    """Finished orders have an end, the others get the sentinel."""
+    rows = order_states(spark, sf)
+    end = F.when(F.col("Status") == "F", F.col("StartDate") + F.expr("interval 30 days"))
+    return fill_open_end(rows.select("CustomerID", "StartDate", end.alias("EndDate")))
+
+
 @query("scd1_merge", with_sources("""
     SELECT t.ProfileKey, t.CustomerID, CASE WHEN c.act IN ('change', 'late') THEN c.Priority ELSE t.Priority END AS Priority,
            CASE WHEN c.act IN ('change', 'late') THEN c.Status ELSE t.Status END AS Status,

@@ -67,6 +67,14 @@ def names_query(spark, sf):
     return rows.groupBy("ElementName").agg(F.count("*").alias("n"))
 
 
+@query("xml_element_list", with_sources(f"SELECT string_agg(ElementName, ',' ORDER BY ElementName) AS names FROM (SELECT DISTINCT ElementName FROM ({_LONG}))"))
+def list_query(spark, sf):
+    """The column list of the pivot as one text; the set has one entry per element name."""
+    persons = OltpSources(spark, sf)["person"]
+    found = shred(persons, ["BusinessEntityID"], "Demographics", PERSON_SURVEY).select("ElementName").distinct()
+    return found.agg(F.array_join(F.sort_array(F.collect_list("ElementName")), ",").alias("names"))
+
+
 @query("xml_pivot_dynamic", with_sources(f"SELECT BusinessEntityID, {', '.join(PERSON_SURVEY)} FROM person_survey"),
        shape_of(["BusinessEntityID", *PERSON_SURVEY]))
 def pivot_query(spark, sf):

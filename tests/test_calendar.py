@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.functions import dates as D
-from starloom.plans.calendar import CALENDAR_COLUMNS, build_calendar, date_spine, date_spine_of
+from starloom.plans.calendar import CALENDAR_COLUMNS, build_calendar, date_spine, date_spine_of, long_fiscal_years
 
 START, END = date(2005, 1, 1), date(2028, 1, 1)
 
@@ -125,6 +125,11 @@ def test_fiscal_facts(calendar):
     assert {r.FiscalQuarterName for r in calendar if r.FiscalYear is None} == {None}
 
 
+def test_long_years(spark):
+    years = [r[0] for r in long_fiscal_years(spark).collect()]
+    assert years == list(range(2012, 2100, 6))
+
+
 def test_fiscal_arguments():
     with pytest.raises(ValueError):
         D.FiscalCalendar(pattern="544")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.operators import dedup, keys
-from starloom.operators.lookup import Lookup, current_rows, insert_only, resolve_key
+from starloom.operators.lookup import Lookup, current_rows, fill_open_end, insert_only, resolve_key
 from starloom.functions.scalar import ntz
 from starloom.runtime import cut_lineage
 from tests.conftest import rows
@@ -42,7 +42,7 @@ def test_key_name_rule(spark):
 def test_dense_keys_with_ties_and_offset(spark):
     values = [random.Random(3).randint(0, 40) for _ in range(3000)] + [7] * 2000
     df = spark.createDataFrame([(v,) for v in values], "v int").repartition(6)
-    keyed = keys.assign_keys(df, "k", ["v"])
+    keyed = keys.assign_keys(df, "k", ["v"], unique=False)
     got = sorted((r.k, r.v) for r in keyed.collect())
     assert [k for k, _ in got] == list(range(1, 5001))
     assert [v for _, v in got] == sorted(values)
@@ -81,13 +81,27 @@ def test_insert_only(spark):
     assert rows(insert_only(target, batch, ["o", "l"])) == [(2, 1, "a"), (3, 1, "c")]
 
 
-def test_equal_rows_are_spread_over_tasks(spark):
+def test_equal_rows_are_spread_over_tasks(spark, monkeypatch):
     """Rows equal in every column must not end up in one range."""
+    written = []
+    monkeypatch.setattr(keys, "cut_lineage", lambda df: written.append(cut_lineage(df)) or written[-1])
     same = spark.range(20000).select(F.lit(1).alias("v")).repartition(8)
-    ranged = same.withColumn("_salt", F.rand(7)).repartitionByRange(8, "v", "_salt")
-    sizes = [r[0] for r in ranged.groupBy(F.spark_partition_id()).count().select("count").collect()]
-    assert max(sizes) < 8000
-    assert sorted(r.k for r in keys.assign_keys(same, "k", ["v"]).collect()) == list(range(1, 20001))
+    # tiny partitions are merged otherwise
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        keyed = keys.assign_keys(same, "k", ["v"], unique=False)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    placed = written[-1].groupBy(F.shiftright("_pos", 33)).count().select("count").collect()
+    assert len(placed) > 2 and max(r[0] for r in placed) < 10000
+    assert sorted(r.k for r in keyed.collect()) == list(range(1, 20001))
+    assert "_salt" in written[0].columns
+
+
+def test_missing_ends(spark):
+    df = spark.createDataFrame([(1, None), (2, "2000-01-01")], "k int, e string").select("k", ntz(F.col("e")).alias("EndDate"))
+    assert [r.EndDate.year for r in fill_open_end(df).orderBy("k").collect()] == [9999, 2000]
+    assert {r.EndDate.year for r in fill_open_end(df.drop("EndDate")).collect()} == {9999}
 
 
 def test_bad_inputs(spark):

@@ -35,6 +35,11 @@ def test_seed_get_set(spark):
     assert wm.seeds_from_tables(spark, {}, "d", "2024-01-01").count() == 0
 
 
+def test_named_seeds(spark):
+    got = wm.named_seeds(spark, ["a", "b"], "2024-01-01").collect()
+    assert [(r.table_name, r.last_watermark) for r in got] == [("a", datetime(1900, 1, 1)), ("b", datetime(1900, 1, 1))]
+
+
 def test_source_high_water(spark):
     a = spark.createDataFrame([(datetime(2000, 1, 1),)], f"ModifiedDate {T}")
     b = spark.createDataFrame([(datetime(2003, 1, 1, 0, 0, 0, 5),), (None,)], f"ModifiedDate {T}")
