@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.operators.cleanse import cleanse
+from starloom.sources.jdbc import JdbcTarget, read_jdbc, write_jdbc
 
 STATUS = "table_name string, status string, message string"
 
@@ -42,3 +43,24 @@ def cleanse_tables(
     if failed:
         raise CleanseFailed(status, failed)
     return status
+
+
+def cleanse_over_jdbc(
+    spark: SparkSession,
+    target: JdbcTarget,
+    tables: str,
+    staging: str = "staging",
+    warehouse: str = "dwh",
+    mode: str = "overwrite",
+    keys: dict[str, Sequence[str]] | None = None,
+) -> DataFrame:
+    """The job between two schemas of one database, for a comma list of tables."""
+    names = [n.strip() for n in tables.split(",") if n.strip()]
+
+    def read(name: str) -> DataFrame:
+        return read_jdbc(spark, target, f"{staging}.{name}")
+
+    def write(df: DataFrame, name: str) -> None:
+        write_jdbc(df, target, f"{warehouse}.{name}", mode)
+
+    return cleanse_tables(spark, names, read, write, keys)

@@ -17,6 +17,7 @@ from starloom.operators.dedup import first_per_key, latest_per_key, preferred_ro
 from starloom.operators.lookup import touched_only
 from starloom.operators.scd import DimensionSpec
 from starloom.operators.watermark import changed_since, union_keys
+from starloom.runtime import cut_lineage
 
 Sources = dict[str, DataFrame]
 
@@ -54,6 +55,11 @@ def _since(df: DataFrame, since) -> DataFrame:
     return changed_since(df, ["ModifiedDate"], since)
 
 
+def _touched(parts: list[DataFrame], key: str) -> DataFrame:
+    """Distinct touched keys, written once: every source is cut down to them, and their real size decides how."""
+    return cut_lineage(union_keys(parts, key))
+
+
 def _renamed(df: DataFrame, **names: str) -> DataFrame:
     """Columns ``new=old`` only."""
     return df.select(*[F.col(old).alias(new) for new, old in names.items()])
@@ -78,7 +84,7 @@ def entity_addresses(src: Sources) -> DataFrame:
     return link.join(kind, "AddressTypeID").join(address, "AddressID").join(place_names(src), "StateProvinceID")
 
 
-def _touched_entities(src: Sources, since, type_counts: bool) -> list[DataFrame]:
+def _touched_entities(src: Sources, since, with_types: bool) -> list[DataFrame]:
     """Entities with a changed address, link, state, country or address type.
 
     Small levels are reduced to their changed rows before the join, so an unchanged hierarchy costs nothing.
@@ -92,7 +98,7 @@ def _touched_entities(src: Sources, since, type_counts: bool) -> list[DataFrame]
         address.join(states.select("StateProvinceID").distinct(), "StateProvinceID", "left_semi").select(address.columns)
     )
     parts = [_since(link, since), link.join(moved.select("AddressID").distinct(), "AddressID", "left_semi")]
-    if type_counts:
+    if with_types:
         kinds = _since(src["address_type"], since).select("AddressTypeID")
         parts.append(link.join(kinds, "AddressTypeID", "left_semi"))
     return parts
@@ -103,10 +109,10 @@ def dim_customer(src: Sources, since=None) -> DataFrame:
     persons, customers, emails = src["person"], src["customer"], src["email_address"]
     addresses = entity_addresses(src)
     if since is not None:
-        touched = union_keys([
+        touched = _touched([
             _since(persons, since), _since(emails, since),
             _renamed(_since(customers, since), BusinessEntityID="PersonID"),
-            *_touched_entities(src, since, type_counts=True),
+            *_touched_entities(src, since, with_types=True),
         ], "BusinessEntityID")
         key = ["BusinessEntityID"]
         persons, emails, addresses = [touched_only(d, touched, key) for d in (persons, emails, addresses)]
@@ -140,7 +146,7 @@ def dim_product(src: Sources, since=None, model_needs_text: bool = True) -> Data
         subs_hit = _since(subs, since).select("ProductSubcategoryID").unionByName(
             subs.join(_since(cats, since).select("ProductCategoryID"), "ProductCategoryID", "left_semi").select("ProductSubcategoryID")
         ).distinct()
-        touched = union_keys([
+        touched = _touched([
             _since(products, since),
             products.join(_since(models, since).select("ProductModelID"), "ProductModelID", "left_semi"),
             products.join(subs_hit, "ProductSubcategoryID", "left_semi"),
@@ -188,7 +194,7 @@ def dim_ship_method(src: Sources, since=None) -> DataFrame:
     method, orders = src["ship_method"], src["order_header"].select("ShipMethodID", "ShipDate", "ModifiedDate")
     start = F.col("ModifiedDate")
     if since is not None:
-        touched = union_keys([_since(method, since), _since(orders, since)], "ShipMethodID")
+        touched = _touched([_since(method, since), _since(orders, since)], "ShipMethodID")
         method = touched_only(method, touched, ["ShipMethodID"])
         orders = touched_only(orders, touched, ["ShipMethodID"])
         start = row_max("ModifiedDate", "OrderDate")
@@ -201,7 +207,7 @@ def dim_store(src: Sources, since=None) -> DataFrame:
     stores, addresses = src["store"], entity_addresses(src)
     key = ["BusinessEntityID"]
     if since is not None:
-        touched = union_keys([_since(stores, since), *_touched_entities(src, since, type_counts=True)], "BusinessEntityID")
+        touched = _touched([_since(stores, since), *_touched_entities(src, since, with_types=True)], "BusinessEntityID")
         stores = touched_only(stores, touched, key)
     rows = with_store_survey(stores.withColumnRenamed("ModifiedDate", "StoreDate"), "Demographics")
     located = rows.select("BusinessEntityID").join(addresses, "BusinessEntityID")
@@ -219,7 +225,7 @@ def dim_territory(src: Sources, since=None) -> DataFrame:
     names = _renamed(country, CountryRegionCode="CountryRegionCode", CountryRegionName="Name", CountryDate="ModifiedDate")
     if since is not None:
         hit = _since(country, since).select("CountryRegionCode")
-        touched = union_keys([_since(territory, since), territory.join(hit, "CountryRegionCode", "left_semi")], "TerritoryID")
+        touched = _touched([_since(territory, since), territory.join(hit, "CountryRegionCode", "left_semi")], "TerritoryID")
         territory = touched_only(territory, touched, ["TerritoryID"])
     amounts = ["SalesYTD", "SalesLastYear", "CostYTD", "CostLastYear"]
     newest = first_per_key(territory, ["TerritoryID"], [

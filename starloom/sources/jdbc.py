@@ -52,6 +52,11 @@ def read_jdbc(spark: SparkSession, target: JdbcTarget, source: str, split: Split
     return spark.read.format("jdbc").options(**read_options(target, source, split)).load()
 
 
+def read_sources(spark: SparkSession, target: JdbcTarget, tables: dict[str, str], splits: dict[str, Split] | None = None) -> dict[str, DataFrame]:
+    """Source tables by their name in the builders, e.g. ``{"person": "Person.Person"}``."""
+    return {name: read_jdbc(spark, target, table, (splits or {}).get(name)) for name, table in tables.items()}
+
+
 def write_jdbc(df: DataFrame, target: JdbcTarget, table: str, mode: str = "overwrite", partitions: int = 4) -> None:
     if mode not in ("overwrite", "append"):
         raise ValueError("mode must be overwrite or append")

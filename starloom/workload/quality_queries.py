@@ -6,9 +6,13 @@ from pyspark.sql import functions as F
 
 from starloom.functions.scalar import ntz, open_end
 from starloom.operators import quality as q
+from starloom.plans.dimensions import dim_customer, dim_product, dim_store
+from starloom.plans.star_schema import check_lengths, check_required, columns, conform
 from starloom.workload.base import query
+from starloom.workload.dimension_queries import DIM_SQL, shape_of
 from starloom.workload.merge_queries import order_states
-from starloom.workload.oltp import read
+from starloom.workload.oltp import OltpSources, read
+from starloom.workload.oltp_sql import with_sources
 
 
 @query("load_row_counts", " UNION ALL ".join(
@@ -110,3 +114,43 @@ def cascade_query(spark, sf):
     gone = read(spark, sf, "part").filter((F.col("p_type") == "PROMO") | (F.col("p_size") > 45)).select("p_partkey")
     lines = read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return q.cascade_delete(lines, "l_partkey", gone, "p_partkey")
+
+
+def _report_sql(name: str, test: str, chosen) -> str:
+    """One row per checked column of a dimension."""
+    return with_sources(" UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) FILTER ({test.format(f'"{c}"', size)}) AS n_violations FROM {name}""" for c, size in chosen
+    ), DIM_SQL)
+
+
+_NEEDED = {t: [(c, None) for c, _, _, _, needed in columns(t) if needed and not c.endswith("Key")] for t in ("DimCustomer", "DimStore")}
+
+
+@query("star_required_columns", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, * FROM ({_report_sql(n, '{0} IS NULL', _NEEDED[t])})" for n, t in (("dim_customer", "DimCustomer"), ("dim_store", "DimStore"))))
+def required_query(spark, sf):
+    """Required columns of the built customer and store dimensions."""
+    src = OltpSources(spark, sf)
+    parts = [
+        check_required(build(src), t).select(F.lit(t).alias("table_name"), "*") for t, build in (("DimCustomer", dim_customer), ("DimStore", dim_store))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query("star_text_lengths", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, * FROM ({_report_sql(n, 'length({0}) > {1}', [(c, size) for c, kind, size, _, _ in columns(t) if kind == 'nvarchar'])})"
+    for n, t in (("dim_customer", "DimCustomer"), ("dim_store", "DimStore"))))
+def lengths_query(spark, sf):
+    """Text limits of the built customer and store dimensions."""
+    src = OltpSources(spark, sf)
+    parts = [
+        check_lengths(build(src), t).select(F.lit(t).alias("table_name"), "*") for t, build in (("DimCustomer", dim_customer), ("DimStore", dim_store))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query("star_conform", with_sources(f"SELECT {', '.join(c for c, *_ in columns('DimProduct') if c != 'ProductKey')} FROM dim_product", DIM_SQL),
+       shape_of([c for c, *_ in columns("DimProduct") if c != "ProductKey"]))
+def conform_query(spark, sf):
+    """Products in the column order and types of the target."""
+    return conform(dim_product(OltpSources(spark, sf)), "DimProduct")

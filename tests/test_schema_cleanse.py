@@ -101,3 +101,33 @@ def test_job_isolates_failures(spark, dirty):
 def test_one_projection_for_all_columns(dirty):
     plan = C.fill_unknown(C.trim_text(dirty, True)).select(F.col("FirstName"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Project") <= 1
+
+
+def test_star_schema(spark):
+    from starloom.plans import star_schema as star
+    from starloom.plans.fact import FACT_COLUMNS
+    from starloom.plans.registry import DIMENSIONS, REGISTRY
+
+    for name in DIMENSIONS:
+        spec = REGISTRY[name].spec
+        assert sorted(star.star_schema(name).names) == sorted(spec.columns)
+    assert sorted(star.star_schema("FactSales").names) == sorted(["FactSalesKey", *FACT_COLUMNS])
+    types = {f.name: (f.dataType, f.nullable) for f in star.star_schema("DimProduct")}
+    assert types["Weight"] == (T.DecimalType(8, 2), True) and types["ProductID"] == (T.LongType(), False)
+    df = spark.createDataFrame([("x" * 6, 1, None), (None, 2, "2020-01-01")], "Size string, ProductID int, StartDate string")
+    shaped = star.conform(df, "DimProduct")
+    assert shaped.columns == ["ProductID", "Size", "StartDate"] and shaped.schema["StartDate"].dataType == T.TimestampNTZType()
+    assert rows(star.check_required(shaped, "DimProduct")) == [("ProductID", 0), ("StartDate", 1)]
+    assert rows(star.check_lengths(shaped, "DimProduct")) == [("Size", 1)]
+
+
+def test_jdbc_job_passes_names_through(spark, monkeypatch):
+    from starloom.plans import cleanse_job
+    from starloom.sources.jdbc import JdbcTarget
+
+    seen = []
+    monkeypatch.setattr(cleanse_job, "read_jdbc", lambda s, t, name: seen.append(name) or spark.range(2))
+    monkeypatch.setattr(cleanse_job, "write_jdbc", lambda df, t, name, mode: seen.append((name, mode, df.count())))
+    status = cleanse_job.cleanse_over_jdbc(spark, JdbcTarget("u", "a", "b"), "DimA, DimB")
+    assert seen == ["staging.DimA", ("dwh.DimA", "overwrite", 2), "staging.DimB", ("dwh.DimB", "overwrite", 2)]
+    assert status.count() == 2
