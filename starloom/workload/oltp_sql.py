@@ -131,7 +131,7 @@ CTES: dict[str, str] = {
         FROM supplier""",
     "store_survey": """
         SELECT 1000000000000 + s_suppkey AS BusinessEntityID, CAST(s_acctbal AS DECIMAL(18,2)) AS AnnualSales,
-               CAST(CAST(CAST(round(s_acctbal * 100) AS BIGINT) AS DECIMAL(18,0)) / 1000 AS DECIMAL(18,2)) AS AnnualRevenue,
+               CAST(CAST((CAST(round(s_acctbal * 100) AS BIGINT) + 5) // 10 AS DECIMAL(18,2)) / 100 AS DECIMAL(18,2)) AS AnnualRevenue,
                'Bank ' || s_nationkey AS BankName, CASE WHEN s_suppkey % 2 = 0 THEN 'BM' ELSE 'OS' END AS BusinessType,
                CAST(1970 + s_suppkey % 40 AS INTEGER) AS YearOpened,
                CASE s_suppkey % 3 WHEN 0 THEN 'Road' WHEN 1 THEN 'Mountain' END AS Specialty,
