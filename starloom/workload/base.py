@@ -1,12 +1,13 @@
 """Registration of queries with their oracle SQL and a common output form.
 
-Both sides give timestamps and dates as ISO text, decimals as doubles and flags
-as 0 or 1, so that values compare equal between the engines.
+Both sides give timestamps and dates as ISO text, decimals and numbers that may
+be null as doubles, and flags as 0 or 1, so that values compare equal between
+the engines whatever client type a null turns them into.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ _KINDS = {
 }
 
 
-def plain(df: DataFrame) -> DataFrame:
+def plain(df: DataFrame, nullable: Collection[str] = ()) -> DataFrame:
     columns = []
     for f in df.schema:
         c = F.col(f"`{f.name}`")
@@ -34,6 +35,8 @@ def plain(df: DataFrame) -> DataFrame:
             c = c.cast("double")
         elif isinstance(f.dataType, T.BooleanType):
             c = c.cast("int")
+        if f.name in nullable:
+            c = c.cast("double")
         columns.append(c.alias(f.name))
     return df.select(*columns)
 
@@ -48,15 +51,23 @@ def shaped(sql: str, shape: str) -> str:
     return f"SELECT {', '.join(items)} FROM (\n{sql}\n) result"
 
 
-def query(name: str, sql: str | None = None, shape: str | None = None):
-    """Register a query; ``sql`` is the oracle's independent version of it."""
+def query(name: str, sql: str | None = None, shape: str | None = None, nullable: str = ""):
+    """Register a query; ``sql`` is the oracle's independent version of it.
+
+    ``nullable`` names the whole-number columns that may hold nulls.
+    """
+    doubles = nullable.split()
 
     def register(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = lambda spark, sf_dir: plain(fn(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: plain(fn(spark, sf_dir), doubles)
         if sql is not None:
-            ORACLE[name] = shaped(sql, shape) if shape else sql
+            text = shaped(sql, shape) if shape else sql
+            if doubles:
+                casts = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in doubles)
+                text = f"SELECT * REPLACE ({casts}) FROM (\n{text}\n) numbers"
+            ORACLE[name] = text
         return fn
 
     return register

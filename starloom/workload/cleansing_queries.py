@@ -43,19 +43,19 @@ _RAW = """
 _SHAPE = "CustomerID FullName Segment Balance:d NationKey Premium:b Since:D"
 
 
-@query("cleanse_trim", f"SELECT * REPLACE (trim(FullName) AS FullName, trim(Segment) AS Segment) FROM ({_RAW})", _SHAPE)
+@query("cleanse_trim", f"SELECT * REPLACE (trim(FullName) AS FullName, trim(Segment) AS Segment) FROM ({_RAW})", _SHAPE, "NationKey Premium")
 def trim_query(spark, sf):
     return trim_text(raw_customers(spark, sf))
 
 
-@query("cleanse_upper_names", f"SELECT * REPLACE (upper(trim(FullName)) AS FullName, trim(Segment) AS Segment) FROM ({_RAW})", _SHAPE)
+@query("cleanse_upper_names", f"SELECT * REPLACE (upper(trim(FullName)) AS FullName, trim(Segment) AS Segment) FROM ({_RAW})", _SHAPE, "NationKey Premium")
 def upper_query(spark, sf):
     return trim_text(raw_customers(spark, sf), upper_names=True)
 
 
 @query("cleanse_fill_unknown", f"""
     SELECT * REPLACE (coalesce(Segment, 'UNKNOWN') AS Segment, coalesce(Balance, 0) AS Balance, coalesce(NationKey, 0) AS NationKey,
-                      coalesce(Premium, false) AS Premium) FROM ({_RAW})""", _SHAPE)
+                      coalesce(Premium, false) AS Premium) FROM ({_RAW})""", _SHAPE, "NationKey Premium")
 def fill_query(spark, sf):
     return fill_unknown(raw_customers(spark, sf))
 
@@ -89,7 +89,7 @@ def cleanse_query(spark, sf):
     return cleanse(raw_order_names(spark, sf), ["CustomerID"])
 
 
-@query("staging_to_dwh", f"SELECT * REPLACE (trim(FullName) AS FullName, trim(Segment) AS Segment) FROM ({_RAW})", _SHAPE)
+@query("staging_to_dwh", f"SELECT * REPLACE (trim(FullName) AS FullName, trim(Segment) AS Segment) FROM ({_RAW})", _SHAPE, "NationKey Premium")
 def staging_query(spark, sf):
     """Through a staged table into the warehouse and read back."""
     store = TableStore(spark, f"{shared_dir(spark).rstrip('/')}/starloom/store-{uuid.uuid4().hex}")
@@ -106,7 +106,7 @@ TARGET = [
 
 
 @query("align_schema", f"SELECT CustomerID, NationKey, Balance, FullName, Premium, Since FROM ({_RAW})",
-       "CustomerID NationKey Balance:d FullName Premium:b Since:D")
+       "CustomerID NationKey Balance:d FullName Premium:b Since:D", "NationKey Premium")
 def align_query(spark, sf):
     """Shuffled, differently spelt columns with an extra one, brought into the target's order and spelling."""
     c = raw_customers(spark, sf)
@@ -120,7 +120,7 @@ def align_query(spark, sf):
                 ELSE c_nationkey END AS NationKey,
            CASE WHEN c_nationkey <> 7 THEN CAST(c_acctbal AS DECIMAL(19,4)) END AS Balance,
            CASE c_mktsegment WHEN 'MACHINERY' THEN 1 WHEN 'BUILDING' THEN 0 WHEN 'FURNITURE' THEN 1 WHEN 'HOUSEHOLD' THEN 0 END AS Premium
-    FROM customer""", "CustomerID NationKey Balance:d Premium")
+    FROM customer""", "CustomerID NationKey Balance:d Premium", "NationKey Premium")
 def coerce_query(spark, sf):
     """Numbers and flags as text: '2.0', '2.5', 'x', 't', 'false', 'yes'."""
     c = read(spark, sf, "customer")
@@ -156,7 +156,7 @@ def typed_query(spark, sf):
 
 @query("try_convert", """
     SELECT p_partkey, CASE WHEN p_type = 'ECONOMY' THEN NULL WHEN p_type = 'LARGE' THEN NULL ELSE p_size END AS size_number,
-           CASE WHEN p_type <> 'LARGE' THEN CAST(p_retailprice AS DECIMAL(18,2)) END AS price FROM part""", "p_partkey size_number price:d")
+           CASE WHEN p_type <> 'LARGE' THEN CAST(p_retailprice AS DECIMAL(18,2)) END AS price FROM part""", "p_partkey size_number price:d", "size_number")
 def try_convert_query(spark, sf):
     kind, size = F.col("p_type"), F.col("p_size").cast("string")
     p = read(spark, sf, "part")

@@ -64,6 +64,14 @@ _KINDS = {"BirthDate": ":t", "DateFirstPurchase": ":t", "ShipDate": ":t", "Start
                                "AnnualSales", "AnnualRevenue", "SalesYTD", "SalesLastYear", "CostYTD", "CostLastYear")}}
 
 
+_NULLABLE = ["HomeOwnerFlag", "NumberCarsOwned", "NumberChildrenAtHome", "TotalChildren", "MaxQty", "YearOpened", "SquareFeet", "Brands", "NumberEmployees"]
+
+
+def nullable_of(columns) -> str:
+    """Whole-number attributes among the columns that may be null."""
+    return " ".join(c for c in _NULLABLE if c in columns)
+
+
 def shape_of(columns) -> str:
     return " ".join(c + _KINDS.get(c, "") for c in columns)
 
@@ -114,8 +122,9 @@ DELTA_SQL = {
 
 for _name, (_build, _spec) in BUILDERS.items():
     _shape = shape_of(_spec.row_columns)
-    query(_name, with_sources(DIM_SQL[_name]), _shape)(lambda spark, sf, build=_build: build(OltpSources(spark, sf)))
-    query(f"delta_{_name}", with_sources(DELTA_SQL[f"delta_{_name}"], DIM_SQL), _shape)(
+    _numbers = nullable_of(_spec.row_columns)
+    query(_name, with_sources(DIM_SQL[_name]), _shape, _numbers)(lambda spark, sf, build=_build: build(OltpSources(spark, sf)))
+    query(f"delta_{_name}", with_sources(DELTA_SQL[f"delta_{_name}"], DIM_SQL), _shape, _numbers)(
         lambda spark, sf, build=_build: build(OltpSources(spark, sf), CUTOFF)
     )
 

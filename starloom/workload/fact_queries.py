@@ -91,12 +91,12 @@ def full_fact(spark, sf, mode):
     return build_fact(sources, {**dims, "DimDate": calendar_of(spark, sf)}, mode)
 
 
-@query("fact_sales_full", full_sql("replicate"))
+@query("fact_sales_full", full_sql("replicate"), nullable="StoreKey SalesReasonKey")
 def fact_full_query(spark, sf):
     return full_fact(spark, sf, "replicate")
 
 
-@query("fact_sales_allocated", full_sql("allocate"))
+@query("fact_sales_allocated", full_sql("allocate"), nullable="StoreKey SalesReasonKey")
 def fact_allocated_query(spark, sf):
     return full_fact(spark, sf, "allocate")
 
@@ -107,7 +107,8 @@ _DELTA = f"""
     FROM order_detail d JOIN order_header h ON h.SalesOrderID = d.SalesOrderID JOIN sales_customer c ON c.CustomerID = h.CustomerID"""
 
 
-@query("delta_fact_sales", with_sources(f"{_DELTA} WHERE h.ModifiedDate > TIMESTAMP '{CUTOFF}' OR d.ModifiedDate > TIMESTAMP '{CUTOFF}'"))
+@query("delta_fact_sales", with_sources(f"{_DELTA} WHERE h.ModifiedDate > TIMESTAMP '{CUTOFF}' OR d.ModifiedDate > TIMESTAMP '{CUTOFF}'"),
+       nullable="StoreID ShipDateKey")
 def delta_query(spark, sf):
     return fact_delta(OltpSources(spark, sf), CUTOFF)
 
@@ -150,7 +151,7 @@ def date_roles_query(spark, sf):
 
 @query("fact_reason_fanout", with_sources("""
     SELECT d.SalesOrderID, d.SalesOrderDetailID AS SalesOrderDetail, r.SalesReasonID
-    FROM (SELECT DISTINCT * FROM order_detail) d LEFT JOIN dim_sales_reason r ON r.SalesOrderID = d.SalesOrderID""", EXTRA))
+    FROM (SELECT DISTINCT * FROM order_detail) d LEFT JOIN dim_sales_reason r ON r.SalesOrderID = d.SalesOrderID""", EXTRA), nullable="SalesReasonID")
 def fanout_query(spark, sf):
     src = OltpSources(spark, sf)
     reasons = REGISTRY["DimSalesReason"].build(src).select("SalesOrderID", "SalesReasonID")
@@ -160,7 +161,7 @@ def fanout_query(spark, sf):
 
 @query("store_map_right_join", with_sources("""
     SELECT h.SalesOrderID, s.StoreKey FROM (SELECT o_orderkey AS SalesOrderID, o_custkey AS CustomerID FROM orders) h
-    LEFT JOIN (sales_customer c JOIN key_store s ON s.StoreID = c.StoreID) ON c.CustomerID = h.CustomerID""", EXTRA))
+    LEFT JOIN (sales_customer c JOIN key_store s ON s.StoreID = c.StoreID) ON c.CustomerID = h.CustomerID""", EXTRA), nullable="StoreKey")
 def store_map_query(spark, sf):
     """Every order with the store of its customer, if it has one."""
     src = OltpSources(spark, sf)
@@ -192,7 +193,7 @@ def insert_only_query(spark, sf):
     columns = ["SalesOrderID", F.col("SalesOrderDetailID").alias("SalesOrderDetail"), "ProductID", "OrderQty"]
     loaded = OltpSources(spark, sf, CUTOFF)["order_detail"].select(*columns)
     batch = OltpSources(spark, sf)["order_detail"].filter(F.col("ModifiedDate") > F.lit("1998-12-31").cast("timestamp_ntz"))
-    return insert_only(loaded, batch.select(*columns), GRAIN)
+    return insert_only(loaded, cut_lineage(batch.select(*columns)), GRAIN)
 
 
 _OLD_LINES = """SELECT DISTINCT d.SalesOrderID, d.SalesOrderDetailID FROM old_order_detail d JOIN old_order_header h ON h.SalesOrderID = d.SalesOrderID"""
@@ -209,14 +210,14 @@ _OLD_LINES = """SELECT DISTINCT d.SalesOrderID, d.SalesOrderDetailID FROM old_or
     LEFT JOIN key_customer c ON c.CustomerID = b.CustomerID LEFT JOIN key_territory t ON t.TerritoryID = b.TerritoryID
     LEFT JOIN key_store s ON s.StoreID = b.StoreID LEFT JOIN key_ship_method m ON m.ShipMethodID = b.ShipMethodID
     LEFT JOIN (SELECT SalesOrderID, min(SalesReasonKey) AS SalesReasonKey FROM key_sales_reason GROUP BY SalesOrderID) r
-           ON r.SalesOrderID = b.SalesOrderID""".replace("d JOIN old_order_header h ON h.SalesOrderID = d.SalesOrderID", "d JOIN old_orders h ON h.o_orderkey = d.SalesOrderID"), EXTRA))
+           ON r.SalesOrderID = b.SalesOrderID""".replace("d JOIN old_order_header h ON h.SalesOrderID = d.SalesOrderID", "d JOIN old_orders h ON h.o_orderkey = d.SalesOrderID"), EXTRA), nullable="ShipDateKey")
 def merge_query(spark, sf):
     """Lines of the delta that the fact lacks, with current keys and -1 for unknown members."""
     new = OltpSources(spark, sf)
     loaded = read(spark, sf, "orders").filter(F.col("o_orderdate") <= F.lit(CUTOFF).cast("timestamp_ntz")).select(F.col("o_orderkey").alias("SalesOrderID"))
     lines = OltpSources(spark, sf, CUTOFF)["order_detail"].select("SalesOrderID", F.col("SalesOrderDetailID").alias("SalesOrderDetail"))
     target = assign_keys(lines.join(loaded, "SalesOrderID").distinct(), "FactSalesKey", GRAIN)
-    return merge_fact(target, fact_delta(new, CUTOFF), keyed_dimensions(new))
+    return merge_fact(target, cut_lineage(fact_delta(new, CUTOFF)), keyed_dimensions(new))
 
 
 @query("assign_surrogate_key", """

@@ -18,7 +18,7 @@ from starloom.operators.scd import (
 from starloom.functions.scalar import open_end
 from starloom.runtime import cut_lineage
 from starloom.workload.base import query
-from starloom.workload.dimension_queries import BUILDERS, DELTA_SQL, DIM_SQL, shape_of
+from starloom.workload.dimension_queries import BUILDERS, DELTA_SQL, DIM_SQL, nullable_of, shape_of
 from starloom.workload.fact_queries import EXTRA
 from starloom.workload.oltp import OltpSources, read
 from starloom.workload.oltp_sql import CUTOFF, with_sources
@@ -191,6 +191,7 @@ for _name, (_build, _spec) in BUILDERS.items():
         f"scd2_merge_{_name.removeprefix('dim_')}",
         with_sources(merge_sql(_spec), _dimension_ctes(_name, _spec)),
         f"{_spec.surrogate_key} {shape_of(_spec.row_columns)}",
+        nullable_of(_spec.row_columns),
     )(lambda spark, sf, build=_build, spec=_spec: merge_dimension(spark, sf, build, spec))
 
 __all__ = ["DIM_SQL"]

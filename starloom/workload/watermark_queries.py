@@ -75,7 +75,7 @@ def set_query(spark, sf):
     SELECT o_orderkey, l_linenumber, l_partkey, l_suppkey, o_orderdate, l_shipdate
     FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
     WHERE o_orderdate > TIMESTAMP '{SINCE}' OR l_shipdate > TIMESTAMP '{SINCE}'""",
-    "o_orderkey l_linenumber l_partkey l_suppkey o_orderdate:t l_shipdate:t")
+    "o_orderkey l_linenumber l_partkey l_suppkey o_orderdate:t l_shipdate:t", "l_linenumber l_partkey l_suppkey")
 def extract_query(spark, sf):
     """Change filter over both sides of an outer join; an order without lines counts by its own date only."""
     orders = read(spark, sf, "orders").select("o_orderkey", "o_orderdate")

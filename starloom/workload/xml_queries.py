@@ -9,14 +9,14 @@ from starloom.functions.xml import (
 )
 from starloom.plans.survey_customers import customer_by_ship_to
 from starloom.workload.base import query
-from starloom.workload.dimension_queries import shape_of
+from starloom.workload.dimension_queries import nullable_of, shape_of
 from starloom.workload.oltp import OltpSources
 from starloom.workload.oltp_sql import with_sources
 
 
 @query("xml_survey_struct", with_sources(f"""
     SELECT p.BusinessEntityID, {', '.join('v.' + c for c in PERSON_SURVEY)} FROM person p
-    LEFT JOIN person_survey v ON v.BusinessEntityID = p.BusinessEntityID"""), shape_of(["BusinessEntityID", *PERSON_SURVEY]))
+    LEFT JOIN person_survey v ON v.BusinessEntityID = p.BusinessEntityID"""), shape_of(["BusinessEntityID", *PERSON_SURVEY]), nullable_of(PERSON_SURVEY))
 def survey_query(spark, sf):
     persons = OltpSources(spark, sf)["person"]
     return with_person_survey(persons, "Demographics").select("BusinessEntityID", *PERSON_SURVEY)
@@ -24,7 +24,7 @@ def survey_query(spark, sf):
 
 @query("xml_store_survey", with_sources(f"""
     SELECT s.BusinessEntityID, {', '.join('v.' + c for c in STORE_SURVEY)} FROM store s
-    LEFT JOIN store_survey v ON v.BusinessEntityID = s.BusinessEntityID"""), shape_of(["BusinessEntityID", *STORE_SURVEY]))
+    LEFT JOIN store_survey v ON v.BusinessEntityID = s.BusinessEntityID"""), shape_of(["BusinessEntityID", *STORE_SURVEY]), nullable_of(STORE_SURVEY))
 def store_survey_query(spark, sf):
     stores = OltpSources(spark, sf)["store"]
     return with_store_survey(stores, "Demographics").select("BusinessEntityID", *STORE_SURVEY)
@@ -76,7 +76,7 @@ def list_query(spark, sf):
 
 
 @query("xml_pivot_dynamic", with_sources(f"SELECT BusinessEntityID, {', '.join(PERSON_SURVEY)} FROM person_survey"),
-       shape_of(["BusinessEntityID", *PERSON_SURVEY]))
+       shape_of(["BusinessEntityID", *PERSON_SURVEY]), nullable_of(PERSON_SURVEY))
 def pivot_query(spark, sf):
     from starloom.plans.survey_customers import SURVEY_TYPES
 
@@ -101,6 +101,6 @@ def pivot_long_query(spark, sf):
     JOIN state_province s ON s.StateProvinceID = a.StateProvinceID JOIN country_region r ON r.CountryRegionCode = s.CountryRegionCode
     JOIN email_address e ON e.BusinessEntityID = p.BusinessEntityID"""),
     "CustomerID BusinessEntityID TerritoryID ModifiedDate:t AddressID PersonType FirstName LastName EmailPromotion "
-    + shape_of(PERSON_SURVEY) + " AddressLine1 City ProvinceName CountryRegionName EmailAddress")
+    + shape_of(PERSON_SURVEY) + " AddressLine1 City ProvinceName CountryRegionName EmailAddress", nullable_of(PERSON_SURVEY))
 def ship_to_query(spark, sf):
     return customer_by_ship_to(OltpSources(spark, sf))
