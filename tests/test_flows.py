@@ -169,6 +169,8 @@ def test_failures_are_isolated(loaded):
     broken = {n: d for n, d in sources.items() if n != "store"}
     status = {r.table_name: r.status for r in run_incremental(store, broken, ["DimStore", "DimPromotion"]).collect()}
     assert status == {"DimStore": "failed", "DimPromotion": "skipped"}
+    facts = {r.table_name: r.status for r in run_incremental(store, broken, ["DimStore", "DimPromotion", "FactSales"]).collect()}
+    assert facts["FactSales"] == "blocked"
     with pytest.raises(RuntimeError):
         run_incremental(store, broken, ["DimStore"])
 
