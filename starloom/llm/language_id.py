@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm import gru
 from starloom.llm.sampling import labelled_sample
-from starloom.llm.words import pieces, text_bytes
+from starloom.llm.words import extended, pieces, text_bytes
 
 SEGMENT = 96
 HIDDEN = 6
@@ -137,7 +137,7 @@ def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text") -
     """``docs`` with lang_pred and score instead of the text. The result's own names win over clashing columns."""
     keep = [c for c in docs.columns if c not in (text, "lang_pred", "score")]
     source = docs.select(*keep, F.when(F.col(text).rlike("\\p{L}"), F.col(text)).alias("_text"))
-    schema = source.drop("_text").schema.add("lang_pred", "string").add("score", "double")
+    schema = extended(source.drop("_text").schema, "lang_pred string, score double")
 
     def score(batches):
         for batch in batches:

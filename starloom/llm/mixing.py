@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.quality import SIZE, _bytes_of_rows, _gram_slots, _rows_as_counts, _word_slots
 from starloom.llm.sampling import joined_sample
-from starloom.llm.words import pieces, words
+from starloom.llm.words import extended, pieces, words
 from starloom.runtime import cut_lineage
 
 #: Bound of the fitting sample, in labelled rows.
@@ -99,7 +99,7 @@ def memberships(docs: DataFrame, model: DomainModel, text: str = "text", keep: l
     keep = [c for c in docs.columns if c != text] if keep is None else keep
     keep = [c for c in keep if c not in ("mix_tokens", "mix_p")]
     source = docs.select(*keep, F.col(text).alias("_mix_text"))
-    schema = source.drop("_mix_text").schema.add("mix_tokens", "long").add("mix_p", "array<double>")
+    schema = extended(source.drop("_mix_text").schema, "mix_tokens long, mix_p array<double>")
 
     def run(batches):
         for batch in batches:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from starloom.llm.sampling import joined_sample
-from starloom.llm.words import grams, pieces, words
+from starloom.llm.words import extended, grams, pieces, words
 
 WORD_BITS, GRAM_BITS, BINS = 17, 17, 16
 SHARES = 5
@@ -158,7 +158,7 @@ def score(docs: DataFrame, model: OrdinalModel | None, cut: int = 1, least: floa
     """``docs`` with expected_grade, tail_prob = P(grade >= cut) and keep. These names win over clashing columns."""
     new = ("expected_grade", "tail_prob", "keep")
     source = docs.select(*[c for c in docs.columns if c not in new])
-    schema = source.schema.add("expected_grade", "double").add("tail_prob", "double").add("keep", "boolean")
+    schema = extended(source.schema, "expected_grade double, tail_prob double, keep boolean")
     names = source.columns
 
     def run(batches):

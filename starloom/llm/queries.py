@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import language_id
+from starloom.llm import embedding_dedup, language_id, mixing, quality, token_packing, toxicity
 from starloom.llm.words import crc_fold
+from starloom.runtime import cut_lineage
+
+#: Shares of the words that the mixture shall have in each language.
+LANGUAGE_TARGETS = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -26,8 +30,80 @@ def with_fold(docs: DataFrame, folds: int, held: int) -> DataFrame:
     return docs.withColumn("held_out", F.coalesce(crc_fold("doc_id", folds) == held, F.lit(True)))
 
 
+@query
+def op1_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_packing.pack(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_fold(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), 3, 1)
     model = language_id.fit(docs.where("not held_out"))
     return language_id.identify(docs.select("doc_id", "text", "held_out"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame):
+    """Ratings are the labels' quality grades, of the folds that are not held out."""
+    ratings = with_fold(table(spark, sf_dir, "labels"), 5, 0).where("not held_out").withColumnRenamed("quality", "grade")
+    return quality.fit(docs, ratings)
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_fold(table(spark, sf_dir, "documents").select("doc_id", "text"), 5, 0)
+    model = quality_model(spark, sf_dir, docs)
+    return quality.score(docs, model).drop("text")
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_fold(table(spark, sf_dir, "documents").select("doc_id", "text"), 5, 0)
+    labels = with_fold(table(spark, sf_dir, "labels"), 5, 0).where("not held_out")
+    return toxicity.score(docs, toxicity.fit(docs, labels))
+
+
+@query
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.deduplicate(table(spark, sf_dir, "embeddings"))
+
+
+#: The same over all pairs of a label.
+ORACLE["op9_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings
+), ok AS (
+    SELECT * FROM v
+    WHERE label IS NOT NULL AND e IS NOT NULL AND list_count(e) = len(e) AND len(list_filter(e, x -> NOT isfinite(x))) = 0
+      AND list_dot_product(e, e) > 0
+), link AS (
+    SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach(x, y) AS (
+    SELECT vec_id, vec_id FROM v
+    UNION
+    SELECT reach.x, link.y FROM reach JOIN link ON link.x = reach.y
+), low AS (
+    SELECT x, min(y) AS component_id FROM reach GROUP BY x
+), many AS (
+    SELECT x, count(*) AS n FROM link GROUP BY x
+)
+SELECT v.vec_id, coalesce(many.n, 0) AS n_links, low.component_id, v.vec_id = low.component_id AS kept
+FROM v JOIN low ON low.x = v.vec_id LEFT JOIN many ON many.x = v.vec_id
+"""
+
+
+def mixing_rates(spark: SparkSession, sf_dir: str, docs: DataFrame, keep: list[str]) -> tuple[list[str], DataFrame]:
+    """The domains, and ``keep`` with the rates that bring the languages to LANGUAGE_TARGETS. Known languages are those of the rows in ``labels``."""
+    labelled = docs.select("doc_id", "lang").join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+    model = mixing.fit(docs.select("doc_id", "text"), labelled, "lang")
+    members = cut_lineage(mixing.memberships(docs, model, keep=keep))
+    return model.domains, mixing.rates(members, mixing.spread(LANGUAGE_TARGETS, model.domains))
+
+
+@query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    domains, rated = mixing_rates(spark, sf_dir, docs, ["doc_id"])
+    names = F.array(*[F.lit(d) for d in domains])
+    best = F.when(F.col("mix_tokens") > 0, names[F.array_position("mix_p", F.array_max("mix_p")).cast("int") - 1])
+    return rated.select("doc_id", F.col("mix_tokens").alias("n_tokens"), best.alias("domain"), F.col("mix_p").alias("membership"), F.col("mix_rate").alias("rate"), mixing.copies("mix_rate", "doc_id").alias("copies"))

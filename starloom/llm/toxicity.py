@@ -2,7 +2,7 @@
 
 Every text is read as overlapping windows of ``WINDOW`` words, ``STRIDE`` apart,
 so that each word but those at the ends is seen in two of them. A word enters as its hashed
-embedding beside the mean embedding of its character pairs. Both directions run
+embedding beside the mean embedding of its character runs. Both directions run
 over the window, attention weighs its positions, and the pooled state gives the
 window's probability; a text's score is its largest window score.
 
@@ -24,13 +24,15 @@ from pyspark.sql import DataFrame
 
 from starloom.llm import gru
 from starloom.llm.sampling import joined_sample
-from starloom.llm.words import NOT_ALNUM, pieces, words
+from starloom.llm.words import NOT_ALNUM, extended, pieces, words
 
 WINDOW, STRIDE = 48, 24
 HIDDEN, ATTENTION, DIM = 6, 6, 6
-WORD_SLOTS, PAIR_SLOTS = 1 << 14, 1 << 12
+WORD_SLOTS, RUN_SLOTS, RUN = 1 << 14, 1 << 15, 6
 #: Bound of the fitting sample, in labelled rows.
 SAMPLE_ROWS = 4_000
+#: A small sample is gone through more often, to this many steps.
+LEAST_STEPS = 150
 _BATCH = 2_048
 
 
@@ -40,25 +42,43 @@ class ToxicityModel:
 
 
 def _vocabulary(w):
-    """Distinct words: the slot of each, its character pairs' slots with offsets; and the number of each word of the text."""
+    """Distinct words: the slot of each, its character runs' slots with offsets; and the number of each word of the text.
+
+    A run is ``RUN`` bytes of the word between two blanks; a shorter word is one run.
+    """
     distinct, at, number = np.unique(w.hashes, return_index=True, return_inverse=True)
     slot = (distinct >> np.uint64(64 - 14)).astype(np.int64)
-    start, size = w.starts[at], (w.ends - w.starts)[at] + 1  # pairs, with a blank before and after
+    start, length = w.starts[at], (w.ends - w.starts)[at]
+    size = np.maximum(length + 3 - RUN, 1)
     offset = np.concatenate([[0], np.cumsum(size)])
-    inside = np.arange(offset[-1]) - np.repeat(offset[:-1], size)
-    place = np.repeat(start, size) + inside
-    data = np.concatenate([w.data, [32]]).astype(np.uint32)
-    left = np.where(inside == 0, 32, data[np.maximum(place - 1, 0)]).astype(np.uint32)
-    right = np.where(inside == np.repeat(size - 1, size), 32, data[np.minimum(place, len(data) - 1)]).astype(np.uint32)
-    code = (left * np.uint32(257) + right) * np.uint32(0x9E3779B1)
-    return slot, (code >> np.uint32(32 - 12)).astype(np.int64), offset, number
+    word = np.repeat(np.arange(len(distinct)), size)
+    first = np.arange(offset[-1]) - offset[:-1][word] - 1  # -1 is the blank before the word
+    data = w.data.astype(np.uint32)
+    code = np.zeros(len(word), np.uint32)
+    for j in range(RUN):
+        place = first + j
+        inside = (place >= 0) & (place < length[word])
+        code = code * np.uint32(0x85EBCA6B) + np.where(inside, data[np.where(inside, start[word] + place, 0)], 32).astype(np.uint32) + np.uint32(1)
+        code ^= code >> np.uint32(15)
+    code *= np.uint32(0x9E3779B1)
+    return slot, (code >> np.uint32(32 - 15)).astype(np.int64), offset, number
+
+
+def _subset(vocabulary, number):
+    """The vocabulary of the given words only, which are numbered anew."""
+    slot, runs, offset, _ = vocabulary
+    used, number = np.unique(number, return_inverse=True)
+    size = np.diff(offset)[used]
+    ends = np.cumsum(size)
+    flat = np.repeat(offset[used] - (ends - size), size) + np.arange(size.sum())
+    return slot[used], runs[flat], np.concatenate([[0], ends]), number
 
 
 def _vectors(vocabulary, params):
-    slot, pairs, offset, _ = vocabulary
+    slot, runs, offset, _ = vocabulary
     if not len(slot):
         return np.zeros((0, 2 * DIM), np.float32)
-    mean = np.add.reduceat(params["pairs"][pairs], offset[:-1], axis=0) / np.diff(offset)[:, None].astype(np.float32)
+    mean = np.add.reduceat(params["runs"][runs], offset[:-1], axis=0) / np.diff(offset)[:, None].astype(np.float32)
     return np.concatenate([params["words"][slot], mean], axis=1)
 
 
@@ -123,26 +143,33 @@ def predict(column: pa.Array, model: ToxicityModel) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(best, -700, 700))) * np.isfinite(best)
 
 
-def _first_params(w, label, rng) -> gru.Params:
-    """Random weights; the first word dimension starts at the smoothed log odds of the word in the training texts."""
+def _odds(docs, slot, slots, label) -> np.ndarray:
+    """Log odds of a positive text by slot, from the texts that have it, drawn to 0 where few have."""
+    pair = np.unique(docs.astype(np.int64) * slots + slot)
+    no, yes = (np.bincount(pair[label[pair // slots] == y] % slots, minlength=slots) for y in (0, 1))
+    odds = np.log((yes + 0.5) / (max(label.sum(), 1) + 1)) - np.log((no + 0.5) / (max((1 - label).sum(), 1) + 1))
+    return np.clip(odds, -2, 2) * (yes + no) / (yes + no + 4)
+
+
+def _first_params(w, vocabulary, label, rng) -> gru.Params:
+    """Random weights; the first dimension of words and runs starts at the smoothed log odds in the training texts."""
     params = gru.init(HIDDEN, rng)
     small = lambda *shape, s=0.1: rng.normal(0, s, shape).astype(np.float32)
-    params |= {"words": small(WORD_SLOTS, DIM), "pairs": small(PAIR_SLOTS, DIM), "keys": small(2 * HIDDEN, ATTENTION, s=0.4), "query": small(ATTENTION, s=0.4), "out": small(2 * HIDDEN, s=0.4), "bias": np.full(1, -1.0, np.float32)}
+    params |= {"words": small(WORD_SLOTS, DIM), "runs": small(RUN_SLOTS, DIM), "keys": small(2 * HIDDEN, ATTENTION, s=0.4), "query": small(ATTENTION, s=0.4), "out": small(2 * HIDDEN, s=0.4), "bias": np.full(1, -1.0, np.float32)}
     params |= {f"in_{d}": small(2 * DIM, 3 * HIDDEN, s=0.4) for d in "fb"} | {f"shift_{d}": np.zeros(3 * HIDDEN, np.float32) for d in "fb"}
-    slot = (w.hashes >> np.uint64(64 - 14)).astype(np.int64)
-    pair = np.unique(w.docs.astype(np.int64) * WORD_SLOTS + slot)
-    counts = [np.bincount(pair[label[pair // WORD_SLOTS] == y] % WORD_SLOTS, minlength=WORD_SLOTS) for y in (0, 1)]
-    odds = np.log((counts[1] + 0.5) / (max(label.sum(), 1) + 1)) - np.log((counts[0] + 0.5) / (max((1 - label).sum(), 1) + 1))
-    seen = counts[0] + counts[1]
-    params["words"][:, 0] = np.clip(odds, -2, 2) * seen / (seen + 4)
+    slot, runs, offset, number = vocabulary
+    size = np.diff(offset)[number]
+    flat = np.repeat(offset[number], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    for name, slots, owner, found in (("words", WORD_SLOTS, w.docs, slot[number]), ("runs", RUN_SLOTS, np.repeat(w.docs, size), runs[flat])):
+        params[name][:, 0] = _odds(owner, found, slots, label)
     return params
 
 
 def _step(w, vocabulary, start, length, target, weight, params) -> gru.Params:
     """Gradients of the weighted log loss of the given windows."""
-    vectors = _vectors(vocabulary, params)
-    slot, pairs, offset, number = vocabulary
-    ids, mask = _grid(number, start, length)
+    ids, mask = _grid(vocabulary[3], start, length)
+    slot, runs, offset, number = vocabulary = _subset(vocabulary, ids.ravel())
+    ids, vectors = number.reshape(ids.shape), _vectors(vocabulary, params)
     cache: dict = {}
     logit, (states, alpha, keys, pooled) = _logits(ids, mask, _tables(vectors, params), params, cache)
     g = ((1 / (1 + np.exp(-np.clip(logit, -60, 60))) - target) * weight / weight.sum()).astype(np.float32)
@@ -161,35 +188,35 @@ def _step(w, vocabulary, start, length, target, weight, params) -> gru.Params:
         dtable = gru.gather_rows(ids, part, len(vectors))
         grads[f"in_{d}"], grads[f"shift_{d}"] = vectors.T @ dtable, dtable.sum(axis=0)
         dvec += dtable @ params[f"in_{d}"].T
-    grads["words"], grads["pairs"] = np.zeros_like(params["words"]), np.zeros_like(params["pairs"])
-    hit = np.flatnonzero(dvec.any(axis=1))
-    np.add.at(grads["words"], slot[hit], dvec[hit, :DIM])
+    grads["words"], grads["runs"] = np.zeros_like(params["words"]), np.zeros_like(params["runs"])
+    np.add.at(grads["words"], slot, dvec[:, :DIM])
     size = np.diff(offset)
-    flat = np.repeat(offset[hit], size[hit]) + np.arange(size[hit].sum()) - np.repeat(np.cumsum(size[hit]) - size[hit], size[hit])
-    np.add.at(grads["pairs"], pairs[flat], np.repeat(dvec[hit, DIM:] / size[hit][:, None], size[hit], axis=0))
+    np.add.at(grads["runs"], runs, np.repeat(dvec[:, DIM:] / size[:, None], size, axis=0))
     return grads
 
 
-def train(texts: list[str], labels: list[int], rounds: int = 14, seed: int = 3, rate: float = 0.01) -> ToxicityModel | None:
+def train(texts: list[str], labels: list[int], rounds: int = 8, seed: int = 3, rate: float = 0.01) -> ToxicityModel | None:
     label = np.asarray(labels, int)
     if not len(label):
         return None
     rng = np.random.default_rng(seed)
     w = words(pa.array(texts, pa.large_string()), NOT_ALNUM, lower=True)
-    params = _first_params(w, label, rng)
+    vocabulary = _vocabulary(w)
+    params = _first_params(w, vocabulary, label, rng)
     start, length, row = windows(w.counts, w.first)
     if not len(row):
         return ToxicityModel(params)
-    vocabulary = _vocabulary(w)
     positive = max(label.mean(), 1e-3)
     weight = np.where(label == 1, min(0.5 / positive, 4.0), 1.0)
     adam = gru.Adam(params, rate)
+    batches = max(1, len(texts) // 128)
+    rounds = max(rounds, -(-LEAST_STEPS // batches))
     for turn in range(rounds):
         logit, _ = window_logits(w, params)
         order = np.lexsort((-logit, row))
         top = order[np.flatnonzero(np.diff(row[order], prepend=-1))]
         adam.rate = rate * (1 - turn / rounds)
-        for part in np.array_split(rng.permutation(top), max(1, len(top) // 128)):
+        for part in np.array_split(rng.permutation(top), batches):
             adam.update(_step(w, vocabulary, start[part], length[part], label[row[part]], weight[row[part]], params))
     return ToxicityModel(params)
 
@@ -204,7 +231,7 @@ def score(docs: DataFrame, model: ToxicityModel | None, text: str = "text", leas
     """``docs`` with score and predicted (1 from ``least`` on) instead of the text. These names win over clashing columns."""
     keep = [c for c in docs.columns if c not in (text, "score", "predicted")]
     source = docs.select(*keep, text)
-    schema = docs.select(*keep).schema.add("score", "double").add("predicted", "int")
+    schema = extended(docs.select(*keep).schema, "score double, predicted int")
 
     def run(batches):
         for batch in batches:

@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = 0x9E3779B97F4A7C15
@@ -146,3 +147,8 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = 1 << 19) -> Iterator
 def crc_fold(key: str, folds: int) -> Column:
     """crc32 of a column's text modulo ``folds``; null for null."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % folds
+
+
+def extended(schema: T.StructType, more: str) -> T.StructType:
+    """A schema with the columns of a DDL string after its own."""
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(more).fields])
