@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import embedding_dedup, language_id, mixing, quality, token_packing, toxicity
+from starloom.llm import embedding_dedup, language_id, mixing, quality, substring_dedup, token_packing, toxicity
 from starloom.llm.words import crc_fold
 from starloom.runtime import cut_lineage
 
@@ -35,6 +35,34 @@ def op1_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+#: Every window of every text, compared by its words.
+ORACLE["op2_substring_dedup"] = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS l FROM documents
+), w AS (
+    SELECT doc_id, unnest(l) AS word, generate_subscripts(l, 1) AS p FROM d
+), win AS (
+    SELECT doc_id, p, array_to_string(list_slice(l, p, p + 19), ' ') AS words
+    FROM (SELECT doc_id, l, unnest(range(1, len(l) - 18)) AS p FROM d WHERE len(l) >= 20)
+), late AS (
+    SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY words ORDER BY doc_id, p) AS k FROM win) WHERE k > 1
+), cover AS (
+    SELECT w.doc_id, w.p, w.word,
+           max(CASE WHEN late.p IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY w.doc_id ORDER BY w.p ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+    FROM w LEFT JOIN late ON late.doc_id = w.doc_id AND late.p = w.p
+)
+SELECT d.doc_id, CAST(count(cover.p) AS BIGINT) AS n_words, CAST(coalesce(sum(gone), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY cover.p) FILTER (WHERE gone = 0), '')) AS kept_sha256
+FROM d LEFT JOIN cover ON cover.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
 @query
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_fold(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), 3, 1)
@@ -70,10 +98,10 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: The same over all pairs of a label.
 ORACLE["op9_embedding_dedup"] = """
 WITH RECURSIVE v AS (
-    SELECT vec_id, label, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
 ), ok AS (
     SELECT * FROM v
-    WHERE label IS NOT NULL AND e IS NOT NULL AND list_count(e) = len(e) AND len(list_filter(e, x -> NOT isfinite(x))) = 0
+    WHERE label IS NOT NULL AND e IS NOT NULL AND list_count(e) = len(e) AND len(list_filter(e, lambda x: NOT isfinite(x))) = 0
       AND list_dot_product(e, e) > 0
 ), link AS (
     SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
