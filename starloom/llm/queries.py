@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import embedding_dedup, language_id, mixing, quality, substring_dedup, token_packing, toxicity
+from starloom.llm import embedding_dedup, language_id, mixing, ngram_join, quality, substring_dedup, token_packing, toxicity
 from starloom.llm.words import crc_fold
 from starloom.runtime import cut_lineage
 
@@ -76,6 +76,37 @@ def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame):
     return quality.fit(docs, ratings)
 
 
+@query
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+#: All pairs of texts that share a shingle, counted exactly.
+ORACLE["op4_ngram_join"] = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS l
+    FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(l, p, p + 4), ' ') AS g
+    FROM (SELECT doc_id, l, unnest(range(1, greatest(len(l) - 4, 1) + 1)) AS p FROM d WHERE len(l) > 0)
+), n AS (
+    SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), link AS (
+    SELECT x, y FROM common JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)
+), reach(x, y) AS (
+    SELECT doc_id, doc_id FROM d
+    UNION
+    SELECT reach.x, link.y FROM reach JOIN link ON link.x = reach.y
+), low AS (
+    SELECT x, min(y) AS component_id FROM reach GROUP BY x
+)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, low.component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN low ON low.x = d.doc_id
+"""
+
+
 @query
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_fold(table(spark, sf_dir, "documents").select("doc_id", "text"), 5, 0)
