@@ -94,62 +94,76 @@ def fit(docs: DataFrame, labels: DataFrame, domain: str, key: str = "doc_id", te
     return train(list(sample[text]), [str(x) for x in sample[domain]])
 
 
-def memberships(docs: DataFrame, model: DomainModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` of every row with mix_tokens and mix_p, the domain probabilities."""
-    keep = [c for c in docs.columns if c != text] if keep is None else keep
-    keep = [c for c in keep if c not in ("mix_tokens", "mix_p")]
+def memberships(docs: DataFrame, model: DomainModel, text: str = "text", keep: list[str] | None = None, moves: list[np.ndarray] | None = None) -> DataFrame:
+    """The columns ``keep`` of every row with mix_tokens, mix_p (the domain probabilities) and, given the moves of a fit, mix_rate."""
+    new = ["mix_tokens", "mix_p"] + ([] if moves is None else ["mix_rate"])
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in new]
     source = docs.select(*keep, F.col(text).alias("_mix_text"))
-    schema = extended(source.drop("_mix_text").schema, "mix_tokens long, mix_p array<double>")
+    schema = extended(source.drop("_mix_text").schema, "mix_tokens long, mix_p array<double>" + ("" if moves is None else ", mix_rate double"))
 
     def run(batches):
         for batch in batches:
             for piece in pieces(batch, "_mix_text"):
                 p, n = posteriors(piece.column(piece.num_columns - 1), model)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * len(model.domains), pa.int32()), pa.array(p.ravel()))
-                yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(n), lists], [*keep, "mix_tokens", "mix_p"])
+                rest = [] if moves is None else [pa.array(rate_of(p, moves))]
+                yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(n), lists, *rest], [*keep, *new])
 
     return source.mapInArrow(run, schema)
 
 
+def rate_of(p: np.ndarray, moves: list[np.ndarray]) -> np.ndarray:
+    """The rates of documents with domain probabilities ``p`` [documents, domains]: a rate depends on them alone."""
+    rate = np.ones(len(p))
+    for move in moves:
+        rate = np.maximum(0, rate - p @ move)
+    return rate
+
+
 def spread(targets: dict[str, float], domains: list[str]) -> np.ndarray:
     """Target shares in the order of the domains, adding up to 1."""
     share = np.array([max(0.0, targets.get(d, 0.0)) for d in domains])
     return share / share.sum() if share.sum() > 0 else np.full(len(domains), 1 / len(domains))
 
 
-def rates(members: DataFrame, shares: np.ndarray, total_tokens: float | None = None, rounds: int = 60, tolerance: float = 1e-3) -> DataFrame:
-    """``members`` with mix_rate. ``members`` must be a written table: it is read once a round.
+def rates(members: DataFrame, shares: np.ndarray, keep_all: bool = False, rounds: int = 60, tolerance: float = 1e-3) -> tuple[DataFrame, list[np.ndarray]]:
+    """``members`` with mix_rate, and the moves that lead there. ``members`` must be a written table: it is read once a round.
 
-    ``total_tokens`` is what the mixture shall hold, by default as much as the corpus.
+    The mixture holds as many tokens as the corpus, or with ``keep_all`` so many that no domain has to be cut.
     """
     k = len(shares)
     p = [F.col("mix_p")[i] for i in range(k)]
     tokens = F.col("mix_tokens")
     sums = [F.sum(tokens).alias("n")] + [F.sum(tokens * p[i] * p[j]).alias(f"m{i}_{j}") for i in range(k) for j in range(i, k)]
+    sums += [F.sum(tokens * p[i]).alias(f"t{i}") for i in range(k)]
     first = members.agg(*sums).first()
     size = float(first["n"] or 0)
     current = members.withColumn("mix_rate", F.lit(1.0))
+    moves: list[np.ndarray] = []
     if size == 0:
-        return current
+        return current, moves
     moments = np.zeros((k, k))
     for i in range(k):
         for j in range(i, k):
             moments[i, j] = moments[j, i] = first[f"m{i}_{j}"] / size
     step = 1 / max(float(np.linalg.eigvalsh(moments)[-1]), 1e-9)
-    goal = shares * (total_tokens or size) / size
+    goal = shares.copy()
+    if keep_all:
+        goal *= max(first[f"t{i}"] / size / shares[i] for i in range(k) if shares[i] > 0)
     for turn in range(1, rounds + 1):
         found = current.agg(*[F.sum(F.col("mix_rate") * tokens * p[i]).alias(f"t{i}") for i in range(k)]).first()
         gap = np.array([(found[f"t{i}"] or 0.0) / size for i in range(k)]) - goal
         if np.abs(gap).max() <= tolerance * goal.max():
             break
+        moves.append(step * gap)
         move = sum((p[i] * float(step * gap[i]) for i in range(k)), F.lit(0.0))
         current = current.withColumn("mix_rate", F.greatest(F.lit(0.0), F.col("mix_rate") - move))
         if turn % _WRITE_EVERY == 0:
             current = cut_lineage(current)
-    return current
+    return current, moves
 
 
-def copies(rate: str = "mix_rate", *keys: str):
-    """Whole copies of a document: the rate rounded up or down by a hash of its key."""
+def copies(rate: str, *keys: str):
+    """Whole copies of a document: the rate rounded up or down by a hash of its keys."""
     u = F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in keys], F.lit(11)), F.lit(1 << 40)) / float(1 << 40)
     return F.floor(F.col(rate) + u).cast("int")

@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.components import components, roots
@@ -127,7 +127,7 @@ def _combinations(tokens: np.ndarray, k: int, seed: np.uint64) -> np.ndarray:
 
 
 def survey(docs: DataFrame, size: int, share: float) -> DataFrame:
-    """One scan for (id, n, fp) of every text and (token, count) of tokens that a chunk of texts has often."""
+    """One scan for (id, mark, n, fp) of every text and (token, count) of tokens that a chunk of texts has often."""
 
     def run(batches):
         for batch in batches:
@@ -137,17 +137,17 @@ def survey(docs: DataFrame, size: int, share: float) -> DataFrame:
                     sets = shingle_sets(words(piece.column(1), lower=True), size)
                     n = np.array([len(s) for s in sets], np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [piece.column(0), pa.array(n), pa.array([fingerprint(s) for s in sets], pa.int64()), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.int64())],
-                        ["id", "n", "fp", "token", "count"],
+                        [piece.column(0), piece.column(2), pa.array(n), pa.array([fingerprint(s) for s in sets], pa.int64()), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.int64())],
+                        ["id", "mark", "n", "fp", "token", "count"],
                     )
                     found += sets
                 token, count = np.unique(np.concatenate(found), return_counts=True)
                 often = count >= max(3, share * len(found) / 4)
                 token, count = token[often].view(np.int64), count[often].astype(np.int64)
                 none = pa.nulls(len(token), pa.int64())
-                yield pa.RecordBatch.from_arrays([none, none, none, pa.array(token), pa.array(count)], ["id", "n", "fp", "token", "count"])
+                yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(token), pa.array(count)], ["id", "mark", "n", "fp", "token", "count"])
 
-    return docs.mapInArrow(run, "id long, n long, fp long, token long, count long")
+    return docs.mapInArrow(run, "id long, mark long, n long, fp long, token long, count long")
 
 
 def frequent(found: DataFrame, classes, floor: int) -> tuple[np.ndarray, np.ndarray]:
@@ -334,10 +334,10 @@ def verify_blocks(members: DataFrame, sets: DataFrame, size: int, percent: int,
 
 
 def similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, classes=CLASSES, key: str = "doc_id", text: str = "text", floor: int = FLOOR, small: int = SMALL, block: int = BLOCK) -> DataFrame:
-    """(key, n_shingles, component_id) of every row; component_id is the smallest key reachable by links. Other columns are not read."""
-    texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("id"), F.col(text).alias("text"))
+    """(key, n_shingles, component_id, text_hash) of every row; component_id is the smallest key reachable by links. Other columns are not read."""
+    texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("mark"))
     found = cut_lineage(survey(texts, size, classes[0][0]))
-    known = found.where("token is null").select("id", "n", "fp")
+    known = found.where("token is null").select("id", "mark", "n", "fp")
     tokens, kinds = frequent(found, classes, floor)
     met = cut_lineage(candidates(index(texts, size, percent, tokens, kinds, tuple(k for _, k in classes)), percent, small))
     pairs = met.where("b is not null").groupBy("a", "b").agg(F.count("*").alias("n")).where("n >= 2").select("a", "b")
@@ -349,15 +349,28 @@ def similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, classes=C
     sets = cut_lineage(_of_fingerprint(texts.join(chosen, "id"), size))
     links = verify_pairs(pairs, sets, size, percent).union(verify_blocks(members, sets, size, percent, block))
     member = cut_lineage(components(cut_lineage(links)))
-    placed = known.join(member.where("node is not null"), F.col("fp") == F.col("node"), "left").select("id", "n", F.coalesce("component", "fp").alias("component"))
+    placed = known.join(member.where("node is not null"), F.col("fp") == F.col("node"), "left").select("id", "mark", "n", F.coalesce("component", "fp").alias("component"))
     least = cut_lineage(placed.where("n > 0").groupBy("component").agg(F.min("id").alias("component_id")))
     return (
         placed.withColumn("component", F.when(F.col("n") > 0, F.col("component")))
         .join(least, "component", "left")
-        .select(_id("id").alias(key), F.col("n").alias("n_shingles"), _id(F.coalesce("component_id", "id")).alias("component_id"))
+        .select(_id("id").alias(key), F.col("n").alias("n_shingles"), _id(F.coalesce("component_id", "id")).alias("component_id"), F.col("mark").alias("text_hash"))
     )
 
 
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each component: its smallest key; of rows that share that key the one with the smallest text hash.
+
+    Rows without a word are components of their own, one for each key.
+    """
+    found = similar(docs.select(key, text), key=key, text=text, **options)
+    kept = found.where(F.col(key).eqNullSafe(F.col("component_id"))).groupBy(F.col(key).alias("_key"), "component_id", F.col("n_shingles") > 0).agg(F.min("text_hash").alias("_mark"))
+    marked = docs.withColumn("_text_hash", F.xxhash64(text))
+    rows = marked.join(kept.select("_key", "_mark").distinct(), F.col(key).cast("long").eqNullSafe(F.col("_key")) & (F.col("_text_hash") == F.col("_mark")), "left_semi")
+    order = Window.partitionBy(key, "_text_hash").orderBy(*[F.xxhash64(c) for c in docs.columns])
+    return rows.withColumn("_copy", F.row_number().over(order)).where("_copy = 1").select(*docs.columns)
+
+
 def _id(column):
     column = F.col(column) if isinstance(column, str) else column
     return F.when(column != _LAST, column)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import embedding_dedup, language_id, mixing, ngram_join, quality, substring_dedup, token_packing, toxicity
+from starloom.llm import decontaminate, embedding_dedup, language_id, mixing, ngram_join, quality, substring_dedup, token_packing, toxicity
 from starloom.llm.words import crc_fold
 from starloom.runtime import cut_lineage
 
@@ -78,7 +78,7 @@ def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame):
 
 @query
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.similar(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return ngram_join.similar(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text_hash")
 
 
 #: All pairs of texts that share a shingle, counted exactly.
@@ -107,6 +107,11 @@ FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN low ON low.x = d.doc_id
 """
 
 
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_fold(table(spark, sf_dir, "documents").select("doc_id", "text"), 5, 0)
@@ -151,18 +156,18 @@ FROM v JOIN low ON low.x = v.vec_id LEFT JOIN many ON many.x = v.vec_id
 """
 
 
-def mixing_rates(spark: SparkSession, sf_dir: str, docs: DataFrame, keep: list[str]) -> tuple[list[str], DataFrame]:
-    """The domains, and ``keep`` with the rates that bring the languages to LANGUAGE_TARGETS. Known languages are those of the rows in ``labels``."""
+def language_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> mixing.DomainModel:
+    """Domains are languages, learned from the documents that ``labels`` covers."""
     labelled = docs.select("doc_id", "lang").join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
-    model = mixing.fit(docs.select("doc_id", "text"), labelled, "lang")
-    members = cut_lineage(mixing.memberships(docs, model, keep=keep))
-    return model.domains, mixing.rates(members, mixing.spread(LANGUAGE_TARGETS, model.domains))
+    return mixing.fit(docs.select("doc_id", "text"), labelled, "lang")
 
 
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    domains, rated = mixing_rates(spark, sf_dir, docs, ["doc_id"])
-    names = F.array(*[F.lit(d) for d in domains])
+    model = language_model(spark, sf_dir, docs)
+    members = cut_lineage(mixing.memberships(docs, model, keep=["doc_id"]))
+    rated, _ = mixing.rates(members, mixing.spread(LANGUAGE_TARGETS, model.domains))
+    names = F.array(*[F.lit(d) for d in model.domains])
     best = F.when(F.col("mix_tokens") > 0, names[F.array_position("mix_p", F.array_max("mix_p")).cast("int") - 1])
     return rated.select("doc_id", F.col("mix_tokens").alias("n_tokens"), best.alias("domain"), F.col("mix_p").alias("membership"), F.col("mix_rate").alias("rate"), mixing.copies("mix_rate", "doc_id").alias("copies"))
