@@ -364,9 +364,9 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     Rows without a word are components of their own, one for each key.
     """
     found = similar(docs.select(key, text), key=key, text=text, **options)
-    kept = found.where(F.col(key).eqNullSafe(F.col("component_id"))).groupBy(F.col(key).alias("_key"), "component_id", F.col("n_shingles") > 0).agg(F.min("text_hash").alias("_mark"))
+    kept = found.where(F.col(key).eqNullSafe(F.col("component_id"))).groupBy(F.col(key).alias("_component_key"), "component_id", F.col("n_shingles") > 0).agg(F.min("text_hash").alias("_component_mark"))
     marked = docs.withColumn("_text_hash", F.xxhash64(text))
-    rows = marked.join(kept.select("_key", "_mark").distinct(), F.col(key).cast("long").eqNullSafe(F.col("_key")) & (F.col("_text_hash") == F.col("_mark")), "left_semi")
+    rows = marked.join(kept.select("_component_key", "_component_mark").distinct(), F.col(key).cast("long").eqNullSafe(F.col("_component_key")) & (F.col("_text_hash") == F.col("_component_mark")), "left_semi")
     order = Window.partitionBy(key, "_text_hash").orderBy(*[F.xxhash64(c) for c in docs.columns])
     return rows.withColumn("_copy", F.row_number().over(order)).where("_copy = 1").select(*docs.columns)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, embedding_dedup, language_id, mixing, ngram_join, quality, substring_dedup, token_packing, toxicity
+from starloom.llm import decontaminate, embedding_dedup, html_extract, language_id, mixing, ngram_join, quality, substring_dedup, token_packing, toxicity
 from starloom.llm.words import crc_fold
 from starloom.runtime import cut_lineage
 
@@ -126,6 +126,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, labels))
 
 
+@query
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 @query
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.deduplicate(table(spark, sf_dir, "embeddings"))
