@@ -117,7 +117,7 @@ def signatures(tokens: np.ndarray, classes: np.ndarray, sizes: tuple[int, ...],
 
 def _combinations(tokens: np.ndarray, k: int, seed: np.uint64) -> np.ndarray:
     """A hash of each k-combination; tokens come in the global order."""
-    value, last = mix(tokens + seed * _ODD), np.arange(len(tokens))
+    value, last = mix(tokens + np.array([seed]) * _ODD), np.arange(len(tokens))
     for _ in range(k - 1):
         many = len(tokens) - 1 - last
         keep = np.repeat(np.arange(len(value)), many)
