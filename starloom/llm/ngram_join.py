@@ -28,6 +28,8 @@ share the id as a label. A null id is the largest. Texts of any length are read
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -261,7 +263,7 @@ def _sets(column, size: int) -> list[np.ndarray]:
 
 
 def verify_pairs(pairs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links among ``pairs`` (a, b); sets has fp and text."""
+    """Links among ``pairs`` (a, b); sets has fp, n and text."""
 
     def run(batches):
         for batch in batches:
@@ -298,14 +300,24 @@ def _block_links(fps, sides, tokens, percent):
 
 
 def verify_blocks(members: DataFrame, sets: DataFrame, size: int, percent: int, block: int) -> DataFrame:
-    """Links among the members of each signature, as spanning forests of pairs of blocks."""
-    home = members.groupBy(F.col("a").alias("fp")).agg(F.min("sig").alias("home"))
-    counts = home.groupBy("home").agg(F.ceil(F.count("*") / block).alias("parts"))
-    blocks = cut_lineage(home.join(counts, "home").select("fp", F.xxhash64("home", F.pmod(F.xxhash64("fp"), F.col("parts"))).alias("block")))
-    holds = cut_lineage(members.select("sig", F.col("a").alias("fp")).join(blocks, "fp").select("sig", "block").distinct())
-    other = holds.select("sig", F.col("block").alias("other"))
-    pairs = holds.join(other, "sig").where("block <= other").select("block", "other").distinct()
-    side = blocks.join(sets, "fp")
+    """Links among the members of each signature, as spanning forests of pairs of blocks.
+
+    A set's home is the signature with most members among its own, so that sets which meet often lie in one block.
+    Blocks hold sets of about one size, and only blocks of neighbouring sizes are compared: linked sizes differ by
+    less than one step.
+    """
+    step = math.log(101 / percent)
+    sizes = members.groupBy("sig").agg(F.count("*").alias("many"))
+    home = members.join(sizes, "sig").groupBy(F.col("a").alias("fp")).agg(F.max_by("sig", "many").alias("home"))
+    placed = home.join(sets.select("fp", "n"), "fp").select("fp", "home", F.floor(F.log(F.col("n")) / step).alias("size"))
+    counts = placed.groupBy("home", "size").agg(F.ceil(F.count("*") / block).alias("parts"))
+    number = F.xxhash64("home", "size", F.pmod(F.xxhash64("fp"), F.col("parts")))
+    blocks = cut_lineage(cut_lineage(placed).join(counts, ["home", "size"]).select("fp", "size", number.alias("block")))
+    holds = cut_lineage(members.select("sig", F.col("a").alias("fp")).join(blocks, "fp").select("sig", "block", "size").distinct())
+    other = holds.select("sig", F.col("block").alias("other"), F.col("size").alias("other_size"))
+    near = (F.col("block") <= F.col("other")) & (F.abs(F.col("size") - F.col("other_size")) <= 1)
+    pairs = cut_lineage(holds.join(other, "sig").where(near).select("block", "other").distinct())
+    side = blocks.select("fp", "block").join(sets.select("fp", "text"), "fp")
     first = pairs.join(side, "block").select("block", "other", F.lit(0).alias("side"), "fp", "text")
     second = pairs.where("block < other").join(side.withColumnRenamed("block", "other"), "other").select("block", "other", F.lit(1).alias("side"), "fp", "text")
 
@@ -345,7 +357,7 @@ def similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, classes=C
     shared = members.groupBy("sig").agg(F.min("a").alias("low"), F.max("a").alias("high")).where("low < high").select("sig")
     pairs, members = cut_lineage(pairs), cut_lineage(members.join(shared, "sig", "left_semi").select("sig", "a"))
     wanted = pairs.select("a").union(pairs.select("b")).union(members.select("a")).distinct().withColumnRenamed("a", "fp")
-    chosen = known.where("n > 0").groupBy("fp").agg(F.min("id").alias("id")).join(wanted, "fp", "left_semi")
+    chosen = known.where("n > 0").groupBy("fp", "n").agg(F.min("id").alias("id")).join(wanted, "fp", "left_semi")
     sets = cut_lineage(_of_fingerprint(texts.join(chosen, "id"), size))
     links = verify_pairs(pairs, sets, size, percent).union(verify_blocks(members, sets, size, percent, block))
     member = cut_lineage(components(cut_lineage(links)))
@@ -377,13 +389,13 @@ def _id(column):
 
 
 def _of_fingerprint(rows: DataFrame, size: int) -> DataFrame:
-    """(fp, text) of the rows whose text has the fingerprint that is sought; an id may be there with several texts."""
+    """(fp, n, text) of the rows whose text has the fingerprint that is sought; an id may be there with several texts."""
 
     def run(batches):
         for batch in batches:
             for piece in pieces(batch, "text"):
-                own = pa.array([fingerprint(s) for s in _sets(piece.column(1), size)], pa.int64())
+                own = pa.array([fingerprint(s) for s in _sets(piece.column(2), size)], pa.int64())
                 good = pa.array(np.asarray(own) == np.asarray(piece.column(0)))
-                yield pa.RecordBatch.from_arrays([piece.column(0).filter(good), piece.column(1).filter(good)], ["fp", "text"])
+                yield pa.RecordBatch.from_arrays([c.filter(good) for c in piece.columns], ["fp", "n", "text"])
 
-    return rows.where("text is not null").select("fp", "text").mapInArrow(run, "fp long, text string")
+    return rows.where("text is not null").select("fp", "n", "text").mapInArrow(run, "fp long, n long, text string")
