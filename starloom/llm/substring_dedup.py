@@ -16,7 +16,8 @@ back to the first window of the anchor, are their left contexts.
    first there are decided by the longest prefix of all, the whole window, of which each
    subtree sends at most one. So no task gets a group that grows with the corpus but by its salts.
 
-Words travel as 40-bit hashes; a false repeat needs 20 of them to agree.
+Equal texts are one text from the start: the one with the smallest id stands for all, and all windows
+of the others are repeats. Words travel as 40-bit hashes; a false repeat needs 20 of them to agree.
 
 Defined results: null text has no words. A window is earlier by smaller id, then by smaller start; a null id counts as the
 largest. Rows that repeat id and text are one document and get equal results; windows at
@@ -69,27 +70,39 @@ def anchors_of(hashes: np.ndarray, first: np.ndarray, size: int, prefix: int):
 
 
 def _ids(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text")).where("text is not null")
+    """(id, doc, text); doc is a hash of id and text."""
+    ident = F.coalesce(F.col(key).cast("long"), F.lit(_LAST))
+    return docs.where(F.col(text).isNotNull()).select(ident.alias("id"), F.xxhash64(ident, text).alias("doc"), F.col(text).alias("text"))
+
+
+def leaders(texts: DataFrame) -> DataFrame:
+    """(doc) of the smallest id of every distinct text."""
+    same = [F.xxhash64("text").alias("h"), F.hash("text").alias("g"), F.length("text").alias("n")]
+    return texts.select(*same, "id", "doc").groupBy("h", "g", "n").agg(F.min_by("doc", "id").alias("doc")).select("doc")
 
 
 def anchors(texts: DataFrame, size: int, prefix: int) -> DataFrame:
-    """(id, mark, anchor, at, lo, hi) of all texts; ``texts`` has id, mark and text."""
+    """(anchor, doc, place) of all texts. place holds the position and, in 8 bits each, how far before it the first and the last window begin."""
 
     def run(batches):
         for batch in batches:
             for piece in pieces(batch, "text"):
                 w = words(piece.column(2))
                 row, value, at, lo, hi = anchors_of(w.hashes, w.first, size, prefix)
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column(0).take(pa.array(row)), piece.column(1).take(pa.array(row)), pa.array(value.view(np.int64)), *(pa.array(x.astype(np.int32)) for x in (at, lo, hi))],
-                    ["id", "mark", "anchor", "at", "lo", "hi"],
-                )
+                place = at << 16 | (at - lo) << 8 | (at - hi)
+                yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), piece.column(1).take(pa.array(row)), pa.array(place)], ["anchor", "doc", "place"])
 
-    return texts.mapInArrow(run, "id long, mark long, anchor long, at int, lo int, hi int")
+    return texts.mapInArrow(run, "anchor long, doc long, place long")
+
+
+def _places(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Position, first and last window."""
+    at = place >> 16
+    return at, at - (place >> 8 & 255), at - (place & 255)
 
 
 def _contexts(joined: DataFrame, size: int, group: int) -> DataFrame:
-    """The suffixes with their words from the first to the end of the last window. joined: id, mark, text, found."""
+    """The suffixes with their words from the first to the end of the last window. joined: id, doc, text, found. salt is -1 but for parts of a hot prefix."""
 
     def run(batches):
         for batch in batches:
@@ -97,22 +110,22 @@ def _contexts(joined: DataFrame, size: int, group: int) -> DataFrame:
                 w = words(piece.column(2))
                 found = piece.column(3)
                 row = np.repeat(np.arange(piece.num_rows), np.diff(np.asarray(found.offsets)))
-                anchor, at, lo, hi, n = (np.asarray(x) for x in found.flatten().flatten())
+                anchor, place, n = (np.asarray(x) for x in found.flatten().flatten())
+                at, lo, hi = _places(place)
                 many = hi + size - lo
                 stop = np.cumsum(many)
                 flat = np.repeat(w.first[row] + lo - (stop - many), many) + np.arange(stop[-1] if len(stop) else 0)
                 packed = np.ascontiguousarray(w.hashes[flat].view(np.uint8).reshape(-1, 8)[:, :5])
                 offsets = np.concatenate([[0], stop * 5]).astype(np.int32)
                 context = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
-                ids, marks = piece.column(0).take(pa.array(row)), piece.column(1).take(pa.array(row))
+                ids, docs = piece.column(0).take(pa.array(row)), piece.column(1).take(pa.array(row))
                 spread = (np.asarray(ids).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + at.astype(np.uint64)) * np.uint64(0xD1342543DE82EF95) >> np.uint64(33)
-                salt = np.where(n > group, spread % (n // group + 1).astype(np.uint64), 0).astype(np.int32)
+                salt = np.where(n > group, (spread % (n // group + 1).astype(np.uint64)).astype(np.int64), -1).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor), pa.array(salt), pa.array(n > group), ids, marks, *(pa.array(x) for x in (at, lo, hi)), context],
-                    ["anchor", "salt", "hot", "id", "mark", "at", "lo", "hi", "context"],
+                    [pa.array(anchor), pa.array(salt), ids, docs, pa.array(place), context], ["anchor", "salt", "id", "doc", "place", "context"]
                 )
 
-    return joined.mapInArrow(run, "anchor long, salt int, hot boolean, id long, mark long, at int, lo int, hi int, context binary")
+    return joined.mapInArrow(run, "anchor long, salt int, id long, doc long, place long, context binary")
 
 
 def _nodes(groups: np.ndarray, table: np.ndarray) -> list[np.ndarray]:
@@ -171,25 +184,25 @@ def _runs(suffix: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _subtrees(contexts: DataFrame, size: int, prefix: int) -> DataFrame:
-    """(key, open, id, mark, start, stop): runs of repeats, and with open = 1 the first windows of the parts of a hot prefix, keyed by the whole window."""
-    order = ["anchor", "salt", "id", "at"]
+    """(key, open, id, doc, span): runs of repeats by their first and last window, and with open = 1 the first windows of the parts of a hot prefix, keyed by the whole window."""
+    order = ["anchor", "salt", "id", "place"]
 
     def run(batches):
         held: list[pa.RecordBatch] = []
 
         def build(table: pa.Table):
-            col = {k: np.asarray(table.column(k).combine_chunks()) for k in ("anchor", "salt", "id", "mark", "at", "lo", "hi")}
-            hot = np.asarray(table.column("hot").combine_chunks())
+            col = {k: np.asarray(table.column(k).combine_chunks()) for k in ("anchor", "salt", "id", "doc", "place")}
+            hot = col["salt"] >= 0
             joined = table.column("context").combine_chunks()
             raw = np.frombuffer(b"".join(joined.to_pylist()), np.uint8).reshape(-1, 5)
             wide = np.zeros((len(raw), 8), np.uint8)
             wide[:, :5] = raw
             flat = wide.view(np.uint64).ravel()
-            many = col["hi"].astype(np.int64) + size - col["lo"]
+            at, lo, hi = _places(col["place"])
+            many = hi + size - lo
             offset = np.cumsum(many) - many
             change = (col["anchor"][1:] != col["anchor"][:-1]) | (col["salt"][1:] != col["salt"][:-1])
             groups = np.concatenate([[0], np.cumsum(change)])
-            at, lo, hi = (col[k].astype(np.int64) for k in ("at", "lo", "hi"))
             again, start, lead, begin = repeats(groups, col["id"], at, lo, hi, flat, offset, size, prefix)
             go = hot[lead]
             lead, begin = lead[go], begin[go]
@@ -199,9 +212,9 @@ def _subtrees(contexts: DataFrame, size: int, prefix: int) -> DataFrame:
                 key ^= key >> np.uint64(29)
             again, start, stop = _runs(again, start)
             rows, starts, stops = np.concatenate([again, lead]), np.concatenate([start, begin]), np.concatenate([stop, begin])
-            keys = np.concatenate([col["id"][again] * 31 + col["mark"][again], key.view(np.int64)])
+            keys = np.concatenate([col["doc"][again], key.view(np.int64)])
             kind = np.concatenate([np.zeros(len(again), np.int8), np.ones(len(lead), np.int8)])
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(kind), pa.array(col["id"][rows]), pa.array(col["mark"][rows]), pa.array(starts.astype(np.int32)), pa.array(stops.astype(np.int32))], ["key", "open", "id", "mark", "start", "stop"])
+            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(kind), pa.array(col["id"][rows]), pa.array(col["doc"][rows]), pa.array(starts << 32 | stops)], ["key", "open", "id", "doc", "span"])
 
         count = 0
         for batch in batches:
@@ -221,16 +234,16 @@ def _subtrees(contexts: DataFrame, size: int, prefix: int) -> DataFrame:
         if count:
             yield build(pa.Table.from_batches(held))
 
-    return contexts.repartition("anchor", "salt").sortWithinPartitions(*order).mapInArrow(run, "key long, open byte, id long, mark long, start int, stop int")
+    return contexts.repartition("anchor", "salt").sortWithinPartitions(*order).mapInArrow(run, "key long, open byte, id long, doc long, span long")
 
 
 def _decide(found: DataFrame) -> DataFrame:
-    """(id, mark, start, stop) of all repeats: of the open windows of a key all but the first."""
+    """(doc, span) of all repeats: of the open windows of a key all but the first."""
 
     def run(batches):
         last = (None, None, None)
         for batch in batches:
-            key, kind, ids, start = (np.asarray(batch.column(k)) for k in ("key", "open", "id", "start"))
+            key, kind, ids, start = (np.asarray(batch.column(k)) for k in ("key", "open", "id", "span"))
             again = kind == 0
             for i in np.flatnonzero(kind == 1):
                 k = int(key[i])
@@ -239,50 +252,50 @@ def _decide(found: DataFrame) -> DataFrame:
                 else:
                     last = (k, int(ids[i]), int(start[i]))
             chosen = pa.array(np.flatnonzero(again))
-            yield pa.RecordBatch.from_arrays([batch.column(k).take(chosen) for k in ("id", "mark", "start", "stop")], ["id", "mark", "start", "stop"])
+            yield pa.RecordBatch.from_arrays([batch.column(k).take(chosen) for k in ("doc", "span")], ["doc", "span"])
 
-    return found.repartition("key").sortWithinPartitions("key", "open", "id", "start").mapInArrow(run, "id long, mark long, start int, stop int")
+    return found.repartition("key").sortWithinPartitions("key", "open", "id", "span").mapInArrow(run, "doc long, span long")
 
 
-def repeated_windows(docs: DataFrame, size: int = WINDOW, prefix: int = PREFIX, group: int = GROUP, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, mark, start, stop): runs of windows whose words also start earlier, by their first words; mark is the text's hash."""
-    texts = _ids(docs, key, text)
+def repeated_windows(texts: DataFrame, first: DataFrame, size: int, prefix: int, group: int) -> DataFrame:
+    """(doc, span) of the runs of windows of the documents in ``first`` whose words also start earlier."""
     found = anchors(texts, size, prefix)
     counts = cut_lineage(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"))
-    alive = found.join(counts, "anchor").groupBy("id", "mark").agg(F.collect_list(F.struct("anchor", "at", "lo", "hi", "n")).alias("found"))
-    contexts = _contexts(texts.join(alive, ["id", "mark"]).select("id", "mark", "text", "found"), size, group)
+    alive = found.join(counts, "anchor").groupBy("doc").agg(F.collect_list(F.struct("anchor", "place", "n")).alias("found")).join(first, "doc", "left_semi")
+    contexts = _contexts(texts.join(alive, "doc").select("id", "doc", "text", "found"), size, group)
     return _decide(_subtrees(contexts, size, prefix))
 
 
 def remove_repeats(docs: DataFrame, size: int = WINDOW, prefix: int = PREFIX, group: int = GROUP, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The key of every row with n_words, n_removed and kept_text, the words left joined by one space. Other columns are not read."""
     new = ("n_words", "n_removed", "kept_text")
-    spans = repeated_windows(docs, size, prefix, group, key, text).groupBy("id", "mark").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     texts = _ids(docs, key, text)
+    first = cut_lineage(leaders(texts))
+    spans = repeated_windows(texts, first, size, prefix, group).groupBy("doc").agg(F.collect_list("span").alias("spans"))
     # the texts are joined in the form in which the trees read them, so that one exchange of them serves both
-    whole = texts.join(spans, ["id", "mark"], "left")
+    whole = texts.join(spans, "doc", "left").join(first.select("doc", F.lit(True).alias("first")), "doc", "left")
 
     def run(batches):
         for batch in batches:
             for piece in pieces(batch, "text"):
                 n, removed, kept = [], [], []
-                for value, found in zip(piece.column(1), piece.column(2)):
+                for value, found, leads in zip(piece.column(1), piece.column(2), piece.column(3).to_pylist()):
                     parts = value.as_py().encode().split()
                     n.append(len(parts))
-                    if found.is_valid and len(found):
+                    gone = None
+                    if not leads:
+                        gone = np.full(len(parts), len(parts) >= size)
+                    elif found.is_valid and len(found):
                         edge = np.zeros(len(parts) + 1, np.int64)
-                        start, stop = (np.asarray(x) for x in found.values.flatten())
-                        np.add.at(edge, start, 1)
-                        np.add.at(edge, stop + size, -1)
+                        span = np.asarray(found.values)
+                        np.add.at(edge, span >> 32, 1)
+                        np.add.at(edge, (span & (1 << 32) - 1) + size, -1)
                         gone = np.cumsum(edge[:-1]) > 0
-                        removed.append(int(gone.sum()))
-                        parts = [p for p, g in zip(parts, gone.tolist()) if not g]
-                    else:
-                        removed.append(0)
-                    kept.append(b" ".join(parts).decode())
+                    removed.append(0 if gone is None else int(gone.sum()))
+                    kept.append(b" ".join(parts if gone is None else [p for p, g in zip(parts, gone.tolist()) if not g]).decode())
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], [key, *new])
 
     schema = extended(docs.select(F.col(key).cast("long")).schema, "n_words long, n_removed long, kept_text string")
-    done = whole.select(F.when(F.col("id") != _LAST, F.col("id")).alias(key), "text", "spans").mapInArrow(run, schema)
+    done = whole.select(F.when(F.col("id") != _LAST, F.col("id")).alias(key), "text", "spans", "first").mapInArrow(run, schema)
     none = docs.where(F.col(text).isNull()).select(F.col(key).cast("long"), F.lit(0).cast("long"), F.lit(0).cast("long"), F.lit("")).toDF(key, *new)
     return done.union(none)
