@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from starloom.functions.scalar import survey_date, try_convert
 
 _OPTIONS = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE"}
-MAX_ELEMENT_NAMES = 10_000
 
 # Leaf elements of the two surveys.
 PERSON_SURVEY = [
@@ -95,12 +94,34 @@ def with_warranty(df: DataFrame, doc_col: str) -> DataFrame:
     )
 
 
+def _alike(names: Sequence[str]) -> set[str]:
+    """The names that differ from another one by case only; a struct cannot tell them apart."""
+    lower = [n.lower() for n in names]
+    return {n for n in names if lower.count(n.lower()) > 1}
+
+
+def _texts(doc: Column, parsed: Column, name: str, alike: set[str]) -> Column:
+    """Texts of the children with a name: from the parsed struct, or by path where the struct would mix names."""
+    found = parsed.getField(name)
+    if name not in alike:
+        return found
+    return F.when(found.isNotNull(), F.xpath(doc, F.lit(f"/*/*[local-name()='{name}']/text()")))
+
+
+def _fields(names: Sequence[str]) -> list[str]:
+    """One name for each struct field."""
+    return list({n.lower(): n for n in names}.values())
+
+
 def shred(df: DataFrame, id_cols: Sequence[str], doc_col: str, names: Sequence[str]) -> DataFrame:
     """Rows ``(ids, ElementName, ElementValue)``, one per child element with one of the given names."""
+    if not names:
+        return df.select(*id_cols, F.lit("").alias("ElementName"), F.lit("").alias("ElementValue")).limit(0)
     docs = df.filter(F.col(doc_col).isNotNull())
-    parsed = docs.select(*id_cols, parse_leaves(F.col(doc_col), names).alias("_p"))
+    alike = _alike(names)
+    parsed = docs.select(*id_cols, F.col(doc_col).alias("_doc"), parse_leaves(F.col(doc_col), _fields(names)).alias("_p"))
     pairs = F.array(*[
-        F.struct(F.lit(n).alias("ElementName"), F.col("_p").getField(n).alias("_values")) for n in names
+        F.struct(F.lit(n).alias("ElementName"), _texts(F.col("_doc"), F.col("_p"), n, alike).alias("_values")) for n in names
     ])
     return (
         parsed.select(*id_cols, F.inline(F.filter(pairs, lambda p: p["_values"].isNotNull())))
@@ -110,7 +131,7 @@ def shred(df: DataFrame, id_cols: Sequence[str], doc_col: str, names: Sequence[s
 
 def _tag_names(df: DataFrame, doc_col: str) -> DataFrame:
     """Distinct names of start tags: a superset of the child elements, reduced inside each task first."""
-    tags = F.regexp_extract_all(F.col(doc_col), F.lit(r"<(?:[\w.-]+:)?([A-Za-z_][\w.-]*)"), 1)
+    tags = F.regexp_extract_all(F.col(doc_col), F.lit(r"(?U)<(?:[\w.-]+:)?([\p{L}_][\w.\u00B7-]*)"), 1)
     return df.select(F.explode(F.array_distinct(tags)).alias("ElementName")).distinct()
 
 
@@ -118,28 +139,24 @@ def element_names(df: DataFrame, doc_col: str) -> list[str]:
     """Names of the child elements over all documents, sorted.
 
     Tag names are found first, then one parse keeps those that really occur as
-    children. The list describes the document type, so it is short; more than
-    ``MAX_ELEMENT_NAMES`` raises an error.
+    children. The list is as long as the document type has names, not as there are documents.
     """
-    found = [r[0] for r in _tag_names(df, doc_col).limit(MAX_ELEMENT_NAMES + 1).collect()]
-    if len(found) > MAX_ELEMENT_NAMES:
-        raise ValueError(f"more than {MAX_ELEMENT_NAMES} element names")
+    found = sorted(r[0] for r in _tag_names(df, doc_col).collect())
     if not found:
         return []
-    found.sort()
-    parsed = df.filter(F.col(doc_col).isNotNull()).select(parse_leaves(F.col(doc_col), found).alias("_p"))
-    seen = parsed.agg(*[F.bool_or(F.col("_p").getField(n).isNotNull()).alias(f"c{i}") for i, n in enumerate(found)])
-    row = seen.first()
+    alike = _alike(found)
+    parsed = df.filter(F.col(doc_col).isNotNull()).select(F.col(doc_col).alias("_doc"), parse_leaves(F.col(doc_col), _fields(found)).alias("_p"))
+    texts = [_texts(F.col("_doc"), F.col("_p"), n, alike) for n in found]
+    row = parsed.agg(*[F.bool_or(t.isNotNull() & (F.lit(n not in alike) | (F.size(t) > 0))).alias(f"c{i}") for i, (n, t) in enumerate(zip(found, texts))]).first()
     return [n for i, n in enumerate(found) if row[i]]
 
 
 def pivot_long(df: DataFrame, id_cols: Sequence[str], name_col: str, value_col: str, names: Sequence[str] | None = None) -> DataFrame:
     """Name/value rows to one column per name, largest value; the names are discovered if not given."""
     if names is None:
-        found = df.select(name_col).distinct().limit(MAX_ELEMENT_NAMES + 1).collect()
-        if len(found) > MAX_ELEMENT_NAMES:
-            raise ValueError(f"more than {MAX_ELEMENT_NAMES} element names")
-        names = sorted(r[0] for r in found if r[0] is not None)
+        names = sorted(r[0] for r in df.select(name_col).distinct().collect() if r[0] is not None)
+    if not names:
+        return df.select(*id_cols).distinct()
     return df.groupBy(*id_cols).pivot(name_col, list(names)).agg(F.max(value_col))
 
 
@@ -161,6 +178,10 @@ def pivot_elements(
     elements never travel one by one. Ids without any element give no row.
     """
     names = element_names(df, doc_col) if names is None else list(names)
+    if not names:
+        return df.select(*id_cols).limit(0)
+    if _alike(names):
+        raise ValueError("names that differ by case only cannot be columns; use shred for the long form")
     parsed = df.filter(F.col(doc_col).isNotNull()).select(*id_cols, parse_leaves(F.col(doc_col), names).alias("_p"))
     wide = parsed.select(*id_cols, *[F.array_max(F.col("_p").getField(n)).alias(n) for n in names])
     filled = wide.filter(F.coalesce(*[F.col(f"`{n}`") for n in names]).isNotNull())

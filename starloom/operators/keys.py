@@ -11,12 +11,11 @@ from pyspark.sql.window import Window
 from starloom.runtime import cut_lineage
 
 UNKNOWN_KEY = -1
-MAX_BROADCAST_FILES = 200_000
 
 
 def next_key(df: DataFrame, key_col: str) -> DataFrame:
-    """One row ``next_key``: the largest key plus one, 1 for an empty table."""
-    return df.agg((F.coalesce(F.max(key_col), F.lit(0)).cast("long") + 1).alias("next_key"))
+    """One row ``next_key``: the largest key plus one, 1 where there is none above 0 (an empty table, or the unknown member alone)."""
+    return df.agg((F.greatest(F.coalesce(F.max(key_col), F.lit(0)), F.lit(0)).cast("long") + 1).alias("next_key"))
 
 
 def assign_keys(
@@ -60,16 +59,15 @@ def number_stored_rows(df: DataFrame, key_col: str) -> DataFrame:
     """Dense keys for a table stored as Parquet, without a shuffle of its rows.
 
     The position of a row in its file is fixed, so only the row counts per file
-    are needed. ``df`` must be a plain scan. The counts are broadcast up to
-    ``MAX_BROADCAST_FILES`` files and joined by a shuffle beyond.
+    are needed. ``df`` must be a plain scan. How the counts are joined is left to
+    Spark, which sees their size.
     """
-    few = len(df.inputFiles()) <= MAX_BROADCAST_FILES
     scan = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     sizes = scan.groupBy("_file").agg(F.count("*").alias("_size"))
     # one row per file
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_file", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    out = scan.join(F.broadcast(starts) if few else starts, "_file")
+    out = scan.join(starts, "_file")
     return out.select((F.col("_start") + F.col("_row") + 1).alias(key_col), *[F.col(f"`{c}`") for c in df.columns])
 
 

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from starloom.functions.dates import date_key
 from starloom.functions.scalar import allocate, line_amounts, ntz, row_max
-from starloom.operators.keys import assign_keys
-from starloom.operators.lookup import Lookup, insert_only, resolve_keys
+from starloom.operators.allocate import allocate_exactly
+from starloom.operators.keys import UNKNOWN_KEY, assign_keys
+from starloom.operators.lookup import Lookup, current_rows, insert_only, resolve_keys, touched_only
 
 MEASURES = [
     "OrderQty", "UnitPrice", "UnitPriceDiscount", "OrderDateKey", "DueDateKey", "ShipDateKey", "Status",
@@ -32,15 +33,17 @@ FACT_LOOKUPS = [
 ]
 
 
-def date_roles(headers: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Order, ship and due date keys by exact match with the calendar; a date outside it drops the order.
+def date_roles(headers: DataFrame, calendar: DataFrame, how: str = "inner") -> DataFrame:
+    """Order, ship and due date keys by exact match with the calendar.
 
+    An order with a date that is null or outside the calendar is dropped by an
+    inner join; a left join keeps it with a null key.
     The calendar has one row per day, so its three copies stay below the broadcast threshold.
     """
     days = calendar.select("Date", "DateKey")
     for column, key in (("OrderDate", "OrderDateKey"), ("ShipDate", "ShipDateKey"), ("DueDate", "DueDateKey")):
         role = days.select(F.col("Date").alias(column), F.col("DateKey").alias(key))
-        headers = headers.join(role, column)
+        headers = headers.join(role, column, how)
     return headers
 
 
@@ -54,9 +57,11 @@ def _header_amount(mode: str, name: str):
     whole = F.col(name).cast("decimal(19,4)")
     if mode == "replicate":
         return whole
+    if mode == "reconcile":
+        return F.lit(None).cast("decimal(19,4)")
     if mode == "allocate":
         return allocate(F.col(name), F.col("LineTotal"), F.col("SubTotal"))
-    raise ValueError("header_amounts must be replicate or allocate")
+    raise ValueError("header_amounts must be replicate, allocate or reconcile")
 
 
 def _measures(header_amounts: str) -> dict:
@@ -84,32 +89,48 @@ def _headers(src) -> DataFrame:
     return src["order_header"].withColumnRenamed("ModifiedDate", "HeaderModified")
 
 
-def build_fact(src, dims: dict[str, DataFrame], header_amounts: str = "allocate", lines_unique: bool = False) -> DataFrame:
+def build_fact(src, dims: dict[str, DataFrame], header_amounts: str = "allocate", lines_unique: bool = False, unmatched: str = "drop") -> DataFrame:
     """Full load at the grain order line x sales reason.
 
+    ``header_amounts="reconcile"`` spreads tax and freight over the rows as written, so that they add up to the header.
+    ``dims`` holds one row per business key: the members that are current now. A
+    line whose order or keys find no match is dropped, as by inner joins; with
+    ``unmatched="unknown"`` it is kept with key -1 (a null date key for a null date), as the delta keeps it.
+
     Everything known per order is joined while there is still one row per
     order; the lines come in on the order id, which the reason join has
     already partitioned by. Duplicates can only stem from the lines, so they
     are removed there and not from the widened result.
     """
+    if unmatched not in ("drop", "unknown"):
+        raise ValueError("unmatched must be drop or unknown")
+    how = "inner" if unmatched == "drop" else "left"
     lines = _lines(src) if lines_unique else _lines(src).distinct()
     whole = F.col("LineTotal").cast("int") if header_amounts == "replicate" else F.col("LineTotal").cast("decimal(19,4)")
     customers = dims["DimCustomer"].select("CustomerID", "CustomerKey").join(
         store_of_customer(src["customer"], dims["DimStore"]), "CustomerID", "left"
     )
     headers = (
-        date_roles(_headers(src), dims["DimDate"])
-        .join(dims["DimTerritory"].select("TerritoryID", "TerritoryKey"), "TerritoryID")
-        .join(dims["DimShipMethod"].select("ShipMethodID", "ShipMethodKey"), "ShipMethodID")
-        .join(customers, "CustomerID")
+        date_roles(_headers(src), dims["DimDate"], how)
+        .join(dims["DimTerritory"].select("TerritoryID", "TerritoryKey"), "TerritoryID", how)
+        .join(dims["DimShipMethod"].select("ShipMethodID", "ShipMethodKey"), "ShipMethodID", how)
+        .join(customers, "CustomerID", how)
         .join(dims["DimSalesReason"].select("SalesOrderID", "SalesReasonKey"), "SalesOrderID", "left")
     )
     rows = (
         headers.join(lines, "SalesOrderID")
-        .join(dims["DimPromotion"].select(F.col("SpecialOfferID").alias("PromotionID"), "PromotionKey"), "PromotionID")
-        .join(dims["DimProduct"].select("ProductID", "ProductKey"), "ProductID")
+        .join(dims["DimPromotion"].select(F.col("SpecialOfferID").alias("PromotionID"), "PromotionKey"), "PromotionID", how)
+        .join(dims["DimProduct"].select("ProductID", "ProductKey"), "ProductID", how)
     )
-    return rows.withColumns({**_measures(header_amounts), "LineAmountSource": whole}).select(*FACT_COLUMNS)
+    if unmatched == "unknown":
+        rows = rows.withColumns({k: F.coalesce(F.col(k), F.lit(UNKNOWN_KEY).cast("long")) for k in KEYS})
+    rows = rows.withColumns({**_measures(header_amounts), "LineAmountSource": whole})
+    if header_amounts == "reconcile":
+        parts = {"TaxAllocated": "TaxAmt", "Freight_Allocated": "Freight"}
+        rows = allocate_exactly(rows, "SalesOrderID", "LineTotal", parts, ["SalesOrderDetail", "SalesReasonKey"])
+        due = F.col("LineAmount_Net") + F.col("TaxAllocated").cast("double") + F.col("Freight_Allocated").cast("double")
+        rows = rows.withColumn("TotalDue_Line", due)
+    return rows.select(*FACT_COLUMNS)
 
 
 def fact_delta(src, since, header_amounts: str = "allocate") -> DataFrame:
@@ -143,7 +164,23 @@ def fact_delta(src, since, header_amounts: str = "allocate") -> DataFrame:
     )
 
 
-def merge_fact(target: DataFrame, delta: DataFrame, dims: dict[str, DataFrame], key_col: str = "FactSalesKey") -> DataFrame:
-    """Rows to append: lines the fact lacks, keys resolved to current members, numbered after the last key."""
-    fresh = resolve_keys(insert_only(target, delta, GRAIN), dims, FACT_LOOKUPS)
-    return assign_keys(fresh.select(*FACT_COLUMNS), key_col, GRAIN, after=target, after_col=key_col)
+def merge_fact(target: DataFrame, delta: DataFrame, dims: dict[str, DataFrame], key_col: str = "FactSalesKey", reasons: str = "all") -> DataFrame:
+    """Rows to append: lines the fact lacks, keys resolved to current members, numbered after the last key.
+
+    A line gets a row for each current reason of its order, as in the full load;
+    ``reasons="one"`` takes the smallest key only. Dimensions are cut to the keys of the batch first.
+    """
+    if reasons not in ("all", "one"):
+        raise ValueError("reasons must be all or one")
+    lookups = FACT_LOOKUPS if reasons == "one" else [k for k in FACT_LOOKUPS if k.surrogate_key != "SalesReasonKey"]
+    fresh = insert_only(target, delta, GRAIN)
+    near = dict(dims)
+    for lookup in FACT_LOOKUPS:
+        wanted = fresh.select(F.col(lookup.fact_column).alias(lookup.business_key))
+        near[lookup.dimension] = touched_only(dims[lookup.dimension], wanted, [lookup.business_key])
+    fresh = resolve_keys(fresh, near, lookups)
+    if reasons == "all":
+        known = current_rows(near["DimSalesReason"]).select("SalesOrderID", "SalesReasonKey")
+        fresh = fresh.join(known, "SalesOrderID", "left")
+        fresh = fresh.withColumn("SalesReasonKey", F.coalesce("SalesReasonKey", F.lit(UNKNOWN_KEY).cast("long")))
+    return assign_keys(fresh.select(*FACT_COLUMNS), key_col, [*GRAIN, "SalesReasonKey"], after=target, after_col=key_col)

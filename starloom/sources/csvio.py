@@ -26,8 +26,8 @@ def write_csv(df: DataFrame, path: str, convention: str = "delta", mode: str = "
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str, convention: str = "delta", multi_line: bool = True
+    spark: SparkSession, path: str, schema: T.StructType | str, convention: str = "delta", multi_line: bool = False
 ) -> DataFrame:
-    """``multi_line`` keeps line breaks inside texts but reads each file in one task; turn it off for large files without them."""
+    """Files are split over tasks; ``multi_line`` keeps line breaks inside texts, but then each file is read by one task."""
     options = {**_options(READ, convention), "multiLine": str(multi_line).lower()}
     return spark.read.schema(schema).options(**options).csv(path)

@@ -35,11 +35,14 @@ class Split:
 
 
 def read_options(target: JdbcTarget, source: str, split: Split | None = None, fetch_size: int = 10_000) -> dict[str, str]:
-    return {**target.options(), "dbtable": source, "fetchsize": str(fetch_size), **(split.options() if split else {})}
+    """Timestamps without a zone stay so: marks compared with them are then pushed to the database."""
+    fixed = {"dbtable": source, "fetchsize": str(fetch_size), "preferTimestampNTZ": "true"}
+    return {**target.options(), **fixed, **(split.options() if split else {})}
 
 
-def write_options(target: JdbcTarget, table: str, batch_size: int = 10_000, partitions: int = 4) -> dict[str, str]:
-    return {**target.options(), "dbtable": table, "batchsize": str(batch_size), "numPartitions": str(partitions)}
+def write_options(target: JdbcTarget, table: str, batch_size: int = 10_000, partitions: int | None = None) -> dict[str, str]:
+    limit = {} if partitions is None else {"numPartitions": str(partitions)}
+    return {**target.options(), "dbtable": table, "batchsize": str(batch_size), **limit}
 
 
 def changed_rows_query(table: str, columns: list[str], date_column: str, since) -> str:
@@ -57,7 +60,8 @@ def read_sources(spark: SparkSession, target: JdbcTarget, tables: dict[str, str]
     return {name: read_jdbc(spark, target, table, (splits or {}).get(name)) for name, table in tables.items()}
 
 
-def write_jdbc(df: DataFrame, target: JdbcTarget, table: str, mode: str = "overwrite", partitions: int = 4) -> None:
+def write_jdbc(df: DataFrame, target: JdbcTarget, table: str, mode: str = "overwrite", partitions: int | None = None) -> None:
+    """Every partition is a connection; ``partitions`` bounds them where the database needs it."""
     if mode not in ("overwrite", "append"):
         raise ValueError("mode must be overwrite or append")
     df.write.format("jdbc").mode(mode).options(**write_options(target, table, partitions=partitions)).save()

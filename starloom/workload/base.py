@@ -1,6 +1,6 @@
 """Registration of queries with their oracle SQL and a common output form.
 
-Both sides give timestamps and dates as ISO text, decimals and numbers that may
+Both sides give timestamps (to the microsecond) and dates as ISO text, decimals and numbers that may
 be null as doubles, and flags as 0 or 1, so that values compare equal between
 the engines whatever client type a null turns them into.
 """
@@ -18,7 +18,7 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 _KINDS = {
-    "t": "strftime({0}, '%Y-%m-%d %H:%M:%S')", "d": "CAST({0} AS DOUBLE)", "D": "strftime({0}, '%Y-%m-%d')",
+    "t": r"regexp_replace(strftime({0}, '%Y-%m-%d %H:%M:%S.%f'), '\.?0+$', '')", "d": "CAST({0} AS DOUBLE)", "D": "strftime({0}, '%Y-%m-%d')",
     "b": "CAST({0} AS INTEGER)", "i": "CAST({0} AS BIGINT)", "s": "CAST({0} AS VARCHAR)",
 }
 
@@ -28,7 +28,7 @@ def plain(df: DataFrame, nullable: Collection[str] = ()) -> DataFrame:
     for f in df.schema:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)):
-            c = F.left(c.cast("string"), F.lit(19))
+            c = c.cast("string")
         elif isinstance(f.dataType, T.DateType):
             c = c.cast("string")
         elif isinstance(f.dataType, T.DecimalType):

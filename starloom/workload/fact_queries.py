@@ -11,6 +11,7 @@ from starloom.operators.keys import assign_keys, number_stored_rows, next_key
 from starloom.operators.lookup import Lookup, insert_only, resolve_key
 from starloom.plans.calendar import build_calendar, date_spine_of
 from starloom.plans.fact import FACT_COLUMNS, GRAIN, MEASURES, build_fact, date_roles, fact_delta, merge_fact, store_of_customer
+from starloom.plans.full_load import order_days as calendar_days
 from starloom.plans.registry import DIMENSIONS, REGISTRY
 from starloom.runtime import cut_lineage
 from starloom.workload.base import query
@@ -96,6 +97,25 @@ def fact_full_query(spark, sf):
     return full_fact(spark, sf, "replicate")
 
 
+@query("allocate_reconciles", f"""
+    SELECT SalesOrderID, max(TaxAllocated) AS Tax, max(Freight_Allocated) AS Freight FROM ({full_sql("replicate")}) whole GROUP BY SalesOrderID""")
+def reconciled_query(spark, sf):
+    """Tax and freight of the written rows of every order, against those of its header."""
+    sums = full_fact(spark, sf, "reconcile").groupBy("SalesOrderID")
+    return sums.agg(*[F.sum(c).cast("double").alias(n) for c, n in (("TaxAllocated", "Tax"), ("Freight_Allocated", "Freight"))])
+
+
+@query("fact_date_roles_all", with_sources("""
+    SELECT CASE WHEN h.OrderDate IS NULL THEN 0 ELSE 1 END AS ordered, CASE WHEN h.ShipDate IS NULL THEN 0 ELSE 1 END AS shipped,
+           CASE WHEN h.DueDate IS NULL THEN 0 ELSE 1 END AS due, count(*) AS n FROM order_header h GROUP BY ALL"""))
+def date_roles_all_query(spark, sf):
+    """Every order by which of its dates have a day in the calendar of the orders; none is dropped."""
+    sources = OltpSources(spark, sf)
+    placed = date_roles(sources["order_header"], build_calendar(calendar_days(sources), fiscal=None), "left")
+    flags = [F.col(c).isNotNull().cast("int").alias(n) for c, n in (("OrderDateKey", "ordered"), ("ShipDateKey", "shipped"), ("DueDateKey", "due"))]
+    return placed.groupBy(*flags).agg(F.count("*").alias("n"))
+
+
 @query("fact_sales_allocated", full_sql("allocate"), nullable="StoreKey SalesReasonKey")
 def fact_allocated_query(spark, sf):
     return full_fact(spark, sf, "allocate")
@@ -217,7 +237,7 @@ def merge_query(spark, sf):
     loaded = read(spark, sf, "orders").filter(F.col("o_orderdate") <= F.lit(CUTOFF).cast("timestamp_ntz")).select(F.col("o_orderkey").alias("SalesOrderID"))
     lines = OltpSources(spark, sf, CUTOFF)["order_detail"].select("SalesOrderID", F.col("SalesOrderDetailID").alias("SalesOrderDetail"))
     target = assign_keys(lines.join(loaded, "SalesOrderID").distinct(), "FactSalesKey", GRAIN)
-    return merge_fact(target, cut_lineage(fact_delta(new, CUTOFF)), keyed_dimensions(new))
+    return merge_fact(target, cut_lineage(fact_delta(new, CUTOFF)), keyed_dimensions(new), reasons="one")
 
 
 @query("assign_surrogate_key", """

@@ -11,7 +11,7 @@ from starloom.operators.quality import EmptyLoad
 from starloom.plans import registry
 from starloom.plans.calendar import date_spine
 from starloom.plans.fact import build_fact, fact_delta
-from starloom.plans.full_load import full_load, load_dimension, staging_to_warehouse
+from starloom.plans.full_load import extend_calendar, full_load, load_dimension, load_fact, staging_to_warehouse
 from starloom.plans.incremental import advance_watermark, read_watermark, run_incremental
 from starloom.sources.tables import TableStore
 from tests.conftest import rows
@@ -94,7 +94,7 @@ def loaded(spark, tmp_path_factory):
 def test_full_load(loaded):
     store, result, _ = loaded
     assert result["counts"] == [("DimCustomer", 3), ("DimProduct", 3), ("DimPromotion", 2), ("DimSalesReason", 3), ("DimShipMethod", 3),
-                                ("DimStore", 2), ("DimTerritory", 2), ("FactSales", 4)]
+                                ("DimStore", 2), ("DimTerritory", 2), ("FactSales", 5)]
     ann = store.read("dwh", "DimCustomer", 1).filter("CustomerID = 11").first()
     assert (ann.FirstName, ann.EmailAddress, ann.AddressLine1, ann.CountryRegionName, ann.Gender, ann.TotalChildren) == ("Ann", "a@x", "1 Road", "Country", "F", 1)
     shop = store.read("dwh", "DimStore", 1).filter("StoreID = 100").first()
@@ -108,11 +108,11 @@ def test_full_load(loaded):
 def test_fact_grain_and_amounts(loaded):
     store, _, _ = loaded
     fact = store.read("dwh", "FactSales", 1)
-    assert rows(fact.select("SalesOrderID", "SalesOrderDetail").distinct()) == [(1000, 1), (1000, 2)]
-    assert fact.count() == 4
+    assert rows(fact.select("SalesOrderID", "SalesOrderDetail").distinct()) == [(1000, 1), (1000, 2), (1001, 3)]
+    assert fact.count() == 5
     line = fact.filter("SalesOrderDetail = 1").first()
     assert (line.TaxAllocated, line.Freight_Allocated, line.TotalDue_Line) == (Decimal("2.5000"), Decimal("1.0000"), 13.5)
-    assert sorted(r.FactSalesKey for r in fact.collect()) == [1, 2, 3, 4]
+    assert sorted(r.FactSalesKey for r in fact.collect()) == [1, 2, 3, 4, 5]
     assert {r.OrderMonth for r in fact.collect()} == {202001}
 
 
@@ -139,7 +139,7 @@ def test_fact_delta_has_unknown_members(loaded):
     store, _, _ = loaded
     fact = store.read("dwh", "FactSales")
     line = fact.filter("SalesOrderID = 1002").first()
-    assert (line.ProductKey, line.CustomerKey, line.SalesReasonKey) == (-1, -1, -1) and line.StoreKey > 0 and line.FactSalesKey == 5
+    assert (line.ProductKey, line.CustomerKey, line.SalesReasonKey) == (-1, -1, -1) and line.StoreKey > 0 and line.FactSalesKey == 6
     relations = {n: (k, store.read("dwh", n), k) for n, k in (("DimProduct", "ProductKey"), ("DimCustomer", "CustomerKey"), ("DimStore", "StoreKey"),
                                                               ("DimSalesReason", "SalesReasonKey"))}
     assert {r.n_orphans for r in q.foreign_key_report(fact, relations).collect()} == {0}
@@ -199,6 +199,33 @@ def test_delta_counts_a_line_once(loaded):
     assert everything.count() == 4 and everything.select(F.count_distinct("SalesOrderDetail")).first()[0] == 4
 
 
+def test_reload_after_a_delta_takes_open_members_only(loaded):
+    store, _, sources = loaded
+    assert load_fact(store, sources).count() == 6
+
+
+def test_lines_without_a_match_stay_with_key_minus_one(loaded):
+    store, _, _ = loaded
+    late = store.read("dwh", "FactSales", 1).filter("SalesOrderID = 1001").first()
+    assert late.ShipDateKey is None and late.OrderDateKey == 20200102 and late.SalesReasonKey == -1
+
+
+def test_calendar_covers_the_orders(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    data = source_rows()
+    data["order_header"][1].append((1003, 11, 1, 1, 1, datetime(1990, 6, 1), datetime(1990, 6, 9), datetime(1990, 6, 5), 5, True, Decimal("1"), Decimal("0"), Decimal("0"), Decimal("1"), D1))
+    data["order_detail"][1].append((1003, 9, 1, 1, 1, Decimal("1"), Decimal("0"), Decimal("1"), D1))
+    full_load(store, frames(spark, data))
+    days = store.read("dwh", "DimDate").agg(F.min("DateKey"), F.max("DateKey")).first()
+    assert tuple(days) == (19900101, 20201231)
+    far = spark.createDataFrame([(20310506, 20310507, None)], "OrderDateKey int, DueDateKey int, ShipDateKey int")
+    extend_calendar(store, far)
+    assert store.read("dwh", "DimDate").agg(F.max("DateKey")).first()[0] == 20311231
+    version = store.version("dwh", "DimDate")
+    extend_calendar(store, far)
+    assert store.version("dwh", "DimDate") == version
+
+
 def test_append_to_the_warehouse(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     store.write(spark.createDataFrame([(1, " a ")], "k int, v string"), "staging", "t")

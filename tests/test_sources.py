@@ -70,9 +70,9 @@ def test_kept_partitions_are_not_rewritten(spark, store):
 def test_csv_conventions(spark, tmp_path):
     df = spark.createDataFrame([(1, "a,b"), (2, ""), (3, None), (4, 'q"x'), (5, "two\nlines")], "k int, v string")
     csvio.write_csv(df, str(tmp_path / "delta"))
-    assert rows(csvio.read_csv(spark, str(tmp_path / "delta"), df.schema)) == rows(df)
+    assert rows(csvio.read_csv(spark, str(tmp_path / "delta"), df.schema, multi_line=True)) == rows(df)
     csvio.write_csv(df, str(tmp_path / "full"), "full")
-    assert {r.k for r in csvio.read_csv(spark, str(tmp_path / "full"), df.schema, "full").filter("v IS NULL").collect()} == {2, 3}
+    assert {r.k for r in csvio.read_csv(spark, str(tmp_path / "full"), df.schema, "full", multi_line=True).filter("v IS NULL").collect()} == {2, 3}
     with pytest.raises(ValueError):
         csvio.write_csv(df, str(tmp_path / "x"), "other")
 
@@ -84,7 +84,7 @@ def test_jdbc_options():
     assert "partitionColumn" not in jdbc.read_options(target, "staging.t")
     assert jdbc.write_options(target, "dwh.t") == {
         "url": "jdbc:postgresql://host/db", "user": "u", "password": "p", "driver": "org.postgresql.Driver",
-        "dbtable": "dwh.t", "batchsize": "10000", "numPartitions": "4"}
+        "dbtable": "dwh.t", "batchsize": "10000"}
     assert jdbc.changed_rows_query("s.t", ["a", "b"], "m", datetime(2020, 1, 2, 3, 4, 5, 6)) == (
         "(SELECT a, b FROM s.t WHERE m > '2020-01-02 03:04:05') AS delta")
     with pytest.raises(ValueError):

@@ -67,3 +67,19 @@ def test_names_shred_and_pivot(spark, surveys):
 def test_names_in_comments_are_not_elements(spark):
     docs = spark.createDataFrame([("<S><!-- <Ghost>1</Ghost> --><A>1<Inner>2</Inner></A></S>",)], "doc string")
     assert X.element_names(docs, "doc") == ["A"]
+
+
+def test_unicode_names_and_names_that_differ_by_case(spark):
+    docs = [(1, "<a><Größe>01.50</Größe><Name>x</Name><name>y</name><n:Élan xmlns:n='q'>z</n:Élan></a>"), (2, None)]
+    df = spark.createDataFrame(docs, "id int, doc string")
+    names = X.element_names(df, "doc")
+    assert set(names) == {"Größe", "Name", "name", "Élan"}
+    assert rows(X.shred(df, ["id"], "doc", names)) == [(1, "Größe", "01.50"), (1, "Name", "x"), (1, "name", "y"), (1, "Élan", "z")]
+    with pytest.raises(ValueError):
+        X.pivot_elements(df, ["id"], "doc")
+
+
+def test_no_documents(spark):
+    df = spark.createDataFrame([], "id int, doc string")
+    assert X.element_names(df, "doc") == [] and X.shred(df, ["id"], "doc", []).count() == 0
+    assert X.pivot_elements(df, ["id"], "doc").count() == 0
