@@ -11,10 +11,11 @@ The number of subclasses follows the size of the larger set, so a set whose
 partners may lie in two size bands indexes combinations for both.
 
 Equal sets are one class from the start: a 64-bit fingerprint of the set takes
-their place, so groups of copies meet nowhere. Pairs that meet at two rare tokens are verified
-one by one. The members of combinations, and of rare tokens that turn out common, are put in
+their place, so groups of copies meet nowhere. Two sets whose prefixes are all rare must share as many
+rare tokens as their sizes demand, others two; such pairs, and pairs that meet in a small combination, are verified
+one by one. The members of combinations with many sets, and of rare tokens that turn out common, are put in
 blocks; pairs of blocks that share a signature are verified as a matrix product, so no
-pair within a group is ever a row. Verified links are contracted to components.
+pair within such a group is ever a row. Verified links are contracted to components.
 
 Frequent tokens are those that a share of all texts has (and at least ``FLOOR``
 texts); counts come from all texts, chunk by chunk, leaving out what a chunk has
@@ -117,6 +118,25 @@ def signatures(tokens: np.ndarray, classes: np.ndarray, sizes: tuple[int, ...],
     return tokens[:longest], np.concatenate(combos) if combos else tokens[:0]
 
 
+def _leading_count(n, percent: int):
+    """Tokens that a set shows before its text is sent anywhere: somewhat more than its prefix."""
+    return np.minimum(n, n - -(-percent * n // 100) + 2 + n // 10)
+
+
+def leading(tokens: np.ndarray, classes: np.ndarray, percent: int) -> np.ndarray:
+    """The first tokens in the global order as sorted 32-bit hashes; tokens that fall together are there once."""
+    rank = mix(tokens * _ODD)
+    first = np.lexsort((rank, classes))[: int(_leading_count(len(tokens), percent))]
+    return np.unique((mix(tokens[first]) >> np.uint64(32)).astype(np.uint32))
+
+
+def _classes(tokens: np.ndarray, known: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(len(tokens), int)
+    at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
+    return np.where(known[at] == tokens, kinds[at], 0)
+
+
 def _combinations(tokens: np.ndarray, k: int, seed: np.uint64) -> np.ndarray:
     """A hash of each k-combination; tokens come in the global order."""
     value, last = mix(tokens + np.array([seed]) * _ODD), np.arange(len(tokens))
@@ -164,7 +184,7 @@ def frequent(found: DataFrame, classes, floor: int) -> tuple[np.ndarray, np.ndar
 
 
 def index(docs: DataFrame, size: int, percent: int, tokens: np.ndarray, kinds: np.ndarray, ks: tuple[int, ...]) -> DataFrame:
-    """(sig, salt, fp, n, combined): the signatures of every text; copies in a batch are indexed once."""
+    """(sig, salt, fp, n, combined): the signatures of every text; copies in a batch are indexed once. n is negative where the prefix is not all rare."""
 
     def run(batches):
         for batch in batches:
@@ -176,15 +196,12 @@ def index(docs: DataFrame, size: int, percent: int, tokens: np.ndarray, kinds: n
                     if not len(s) or own in seen:
                         continue
                     seen.add(own)
-                    if len(tokens):
-                        at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
-                        classes = np.where(tokens[at] == s, kinds[at], 0)
-                    else:
-                        classes = np.zeros(len(s), int)
-                    for part, kind in zip(signatures(s, classes, ks, percent), (False, True)):
+                    found = signatures(s, _classes(s, tokens, kinds), ks, percent)
+                    rare = len(found[0]) == _missing(len(s), percent) + 2 and not len(found[1])
+                    for part, kind in zip(found, (False, True)):
                         sig.append(part)
                         fp.append(np.full(len(part), own))
-                        n.append(np.full(len(part), len(s), np.int32))
+                        n.append(np.full(len(part), len(s) if rare else -len(s), np.int32))
                         combined.append(np.full(len(part), kind))
                 if sig:
                     fps, kind = np.concatenate(fp), np.concatenate(combined)
@@ -198,7 +215,7 @@ def index(docs: DataFrame, size: int, percent: int, tokens: np.ndarray, kinds: n
 
 
 def candidates(indexed: DataFrame, percent: int, small: int) -> DataFrame:
-    """(sig, a, b): two sets that meet at a rare token, or with b null a member of a combination or of a token with over ``small`` sets."""
+    """(sig, a, b, n): two sets that meet at a rare token, n being how often they must; or with b null a member, of size n, of a combination or of a token with over ``small`` sets."""
 
     def run(batches):
         held = None  # the last signature's rows so far, and whether they have been seen to be many
@@ -217,7 +234,7 @@ def candidates(indexed: DataFrame, percent: int, small: int) -> DataFrame:
             last = int(before[-1]) + 1 if len(before) else 0
             tail = len(sig) - last
             if tail > small or (many_before and last == 0):
-                yield _members(sig[last:], fp[last:])
+                yield _members(sig[last:], fp[last:], n[last:])
                 held = (sig[-1:], fp[-1:], n[-1:], combined[-1:], True)  # its last row stays, to tell a repeat
             else:
                 held = (sig[last:], fp[last:], n[last:], combined[last:], False)
@@ -225,11 +242,22 @@ def candidates(indexed: DataFrame, percent: int, small: int) -> DataFrame:
         if held is not None and not held[4]:
             yield from _meet(*held[:4], percent, small, False)
 
-    return indexed.repartition("sig", "salt").sortWithinPartitions("sig", "salt", F.xxhash64("fp"), "fp").mapInArrow(run, "sig long, a long, b long")
+    return indexed.repartition("sig", "salt").sortWithinPartitions("sig", "salt", F.xxhash64("fp"), "fp").mapInArrow(run, "sig long, a long, b long, n long")
 
 
-def _members(sig, fp):
-    return pa.RecordBatch.from_arrays([pa.array(sig), pa.array(fp), pa.nulls(len(sig), pa.int64())], ["sig", "a", "b"])
+def _members(sig, fp, n):
+    return pa.RecordBatch.from_arrays([pa.array(sig), pa.array(fp), pa.nulls(len(sig), pa.int64()), pa.array(np.abs(n).astype(np.int64))], ["sig", "a", "b", "n"])
+
+
+def least_shared(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Rare tokens that the prefixes of two linked sets of these sizes have in common; 2 where a size is negative.
+
+    Of the tokens in both sets no more than a set has behind its prefix can lie there.
+    """
+    x, y = np.abs(n).astype(np.int64), np.abs(m).astype(np.int64)
+    both = -(-percent * (x + y) // (100 + percent))
+    behind = [z - (z - -(-percent * z // 100) + 2) for z in (x, y)]
+    return np.where((n > 0) & (m > 0), np.maximum(2, both - np.maximum(*behind)), 2)
 
 
 def _meet(sig, fp, n, combined, percent, small, first_is_many):
@@ -241,7 +269,7 @@ def _meet(sig, fp, n, combined, percent, small, first_is_many):
     many[0] |= first_is_many
     many, size = np.repeat(many, size), np.repeat(size, size)
     if many.any():
-        yield _members(sig[many], fp[many])
+        yield _members(sig[many], fp[many], n[many])
     few = np.flatnonzero(~many & (size > 1))
     sig, fp, n = sig[few], fp[few], n[few].astype(np.int64)
     for lag in range(1, min(small, int(size[few].max()) if len(few) else 0)):
@@ -249,8 +277,11 @@ def _meet(sig, fp, n, combined, percent, small, first_is_many):
         if not len(i):
             break
         j = i + lag
-        i, j = (x[100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])] for x in (i, j))
-        yield pa.RecordBatch.from_arrays([pa.array(sig[i]), pa.array(np.minimum(fp[i], fp[j])), pa.array(np.maximum(fp[i], fp[j]))], ["sig", "a", "b"])
+        x, y = np.abs(n[i]), np.abs(n[j])
+        near = 100 * np.minimum(x, y) >= percent * np.maximum(x, y)
+        i, j = i[near], j[near]
+        pair = [np.minimum(fp[i], fp[j]), np.maximum(fp[i], fp[j]), least_shared(n[i], n[j], percent)]
+        yield pa.RecordBatch.from_arrays([pa.array(sig[i]), *(pa.array(p) for p in pair)], ["sig", "a", "b", "n"])
 
 
 def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -276,10 +307,8 @@ def verify_pairs(pairs: DataFrame, sets: DataFrame, size: int, percent: int) ->
     return left.join(sets.select(F.col("fp").alias("b"), F.col("text").alias("right")), "b").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def _block_links(fps, sides, tokens, percent):
-    """A spanning forest of the links between the two sides (within the side if there is one)."""
-    a = [k for k, s in enumerate(sides) if s == 0]
-    b = [k for k, s in enumerate(sides) if s == 1] or a
+def _common(tokens: list[np.ndarray], a: list[int], b: list[int]) -> np.ndarray:
+    """How many tokens each of a's sets has in common with each of b's, as a matrix product over the tokens of both sides."""
     shared = np.intersect1d(np.concatenate([tokens[k] for k in a]), np.concatenate([tokens[k] for k in b]))
     both = np.zeros((len(a), len(b)))
     for start in range(0, len(shared), 2_000):
@@ -293,56 +322,107 @@ def _block_links(fps, sides, tokens, percent):
                 m[r, at[part[at] == t]] = 1
             grid.append(m)
         both += grid[0] @ grid[1].T
+    return both
+
+
+def _sides(sides: list[int]) -> tuple[list[int], list[int]]:
+    a = [k for k, s in enumerate(sides) if s == 0]
+    b = [k for k, s in enumerate(sides) if s == 1]
+    return a, b
+
+
+def may_link(sizes: list[int], first: list[np.ndarray], a: list[int], b: list[int], percent: int) -> np.ndarray:
+    """Pairs of sets whose sizes and leading tokens leave a link possible."""
+    n = np.array(sizes, np.int64)
+    count = _leading_count(n, percent)
+    behind = n - count + (count - np.array([len(f) for f in first]))  # tokens behind the leading ones, or fallen together
+    x, y = n[a][:, None], n[b][None, :]
+    need = -(-percent * (x + y) // (100 + percent)) - np.maximum(behind[a][:, None], behind[b][None, :])
+    near = 100 * np.minimum(x, y) >= percent * np.maximum(x, y)
+    return near & (_common(first, a, b) >= np.maximum(need, 0))
+
+
+def _block_links(fps, sides, tokens, percent):
+    """A spanning forest of the links between the two sides (within the side if the block is paired with itself)."""
+    a, b = _sides(sides)
+    b = b or a
+    if not a:
+        return []
+    both = _common(tokens, a, b)
     na, nb = (np.array([len(tokens[k]) for k in side]) for side in (a, b))
     i, j = np.nonzero(100 * both >= percent * (na[:, None] + nb[None, :] - both))
     up = roots([fps[a[k]] for k in i.tolist()], [fps[b[k]] for k in j.tolist()])
     return [(r, x) for x, r in up.items() if r != x]
 
 
+def _by_pair(batches, text: bool, size: int):
+    """The rows of each pair of blocks: keys, sides, fingerprints and the rest; rows of a pair come together."""
+    key, rows = None, []
+    for batch in batches:
+        for piece in pieces(batch, "text") if text else [batch]:
+            last = _sets(piece.column("text"), size) if text else zip(piece.column("n").to_pylist(), piece.column("first").to_pylist())
+            for x, y, side, fp, value in zip(*(piece.column(c).to_pylist() for c in ("block", "other", "side", "fp")), last):
+                if (x, y) != key:
+                    if rows:
+                        yield key, rows
+                    key, rows = (x, y), []
+                rows.append((side, fp, value))
+    if rows:
+        yield key, rows
+
+
+def hopeful(rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """Of the sets of each pair of blocks those with a possible link there; rows: block, other, side, fp, n, first."""
+
+    def run(batches):
+        for (x, y), own in _by_pair(batches, False, size):
+            a, b = _sides([r[0] for r in own])
+            if not a or x != y and not b:
+                continue
+            first = [np.frombuffer(r[2][1], "<u4") for r in own]
+            may = may_link([r[2][0] for r in own], first, a, b or a, percent)
+            if x == y:
+                np.fill_diagonal(may, False)
+            keep = {a[k] for k in np.flatnonzero(may.any(axis=1))} | {(b or a)[k] for k in np.flatnonzero(may.any(axis=0))}
+            found = [own[k] for k in sorted(keep)]
+            columns = [[x] * len(found), [y] * len(found), [r[0] for r in found], [r[1] for r in found]]
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["block", "other", "side", "fp"])
+
+    return rows.repartition("block", "other").sortWithinPartitions("block", "other").mapInArrow(run, "block long, other long, side int, fp long")
+
+
 def verify_blocks(members: DataFrame, sets: DataFrame, size: int, percent: int, block: int) -> DataFrame:
     """Links among the members of each signature, as spanning forests of pairs of blocks.
 
     A set's home is the signature with most members among its own, so that sets which meet often lie in one block.
     Blocks hold sets of about one size, and only blocks of neighbouring sizes are compared: linked sizes differ by
-    less than one step.
+    less than one step. Leading tokens travel first; texts follow only where they leave a link possible.
     """
     step = math.log(101 / percent)
     sizes = members.groupBy("sig").agg(F.count("*").alias("many"))
     home = members.join(sizes, "sig").groupBy(F.col("a").alias("fp")).agg(F.max_by("sig", "many").alias("home"))
-    placed = home.join(sets.select("fp", "n"), "fp").select("fp", "home", F.floor(F.log(F.col("n")) / step).alias("size"))
+    placed = cut_lineage(home.join(sets.select("fp", "n"), "fp").select("fp", "home", F.floor(F.log(F.col("n")) / step).alias("size")))
     counts = placed.groupBy("home", "size").agg(F.ceil(F.count("*") / block).alias("parts"))
     number = F.xxhash64("home", "size", F.pmod(F.xxhash64("fp"), F.col("parts")))
-    blocks = cut_lineage(cut_lineage(placed).join(counts, ["home", "size"]).select("fp", "size", number.alias("block")))
+    blocks = cut_lineage(placed.join(counts, ["home", "size"]).select("fp", "size", number.alias("block")))
     holds = cut_lineage(members.select("sig", F.col("a").alias("fp")).join(blocks, "fp").select("sig", "block", "size").distinct())
     other = holds.select("sig", F.col("block").alias("other"), F.col("size").alias("other_size"))
     near = (F.col("block") <= F.col("other")) & (F.abs(F.col("size") - F.col("other_size")) <= 1)
     pairs = cut_lineage(holds.join(other, "sig").where(near).select("block", "other").distinct())
-    side = blocks.select("fp", "block").join(sets.select("fp", "text"), "fp")
-    first = pairs.join(side, "block").select("block", "other", F.lit(0).alias("side"), "fp", "text")
-    second = pairs.where("block < other").join(side.withColumnRenamed("block", "other"), "other").select("block", "other", F.lit(1).alias("side"), "fp", "text")
+    shown = blocks.select("fp", "block").join(sets.select("fp", "n", "first"), "fp")
+    left = pairs.join(shown, "block").select("block", "other", F.lit(0).alias("side"), "fp", "n", "first")
+    right = pairs.where("block < other").join(shown.withColumnRenamed("block", "other"), "other")
+    rows = left.union(right.select("block", "other", F.lit(1).alias("side"), "fp", "n", "first"))
+    chosen = cut_lineage(hopeful(rows, size, percent))
 
     def run(batches):
-        key, fps, sides, tokens = None, [], [], []
-
-        def flush():
-            found = _block_links(fps, sides, tokens, percent)
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
-
-        for batch in batches:
-            for piece in pieces(batch, "text"):
-                sets_here = _sets(piece.column(4), size)
-                for x, y, s, fp, t in zip(*(piece.column(k).to_pylist() for k in range(4)), sets_here):
-                    if (x, y) != key:
-                        if fps:
-                            yield flush()
-                        key, fps, sides, tokens = (x, y), [], [], []
-                    fps.append(fp)
-                    sides.append(s)
-                    tokens.append(t)
-        if fps:
-            yield flush()
+        for _, own in _by_pair(batches, True, size):
+            found = _block_links([r[1] for r in own], [r[0] for r in own], [r[2] for r in own], percent)
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    return first.union(second).repartition("block", "other").sortWithinPartitions("block", "other").mapInArrow(run, "a long, b long")
+    texts = chosen.join(sets.select("fp", "text"), "fp").select("block", "other", "side", "fp", "text")
+    return texts.repartition("block", "other").sortWithinPartitions("block", "other").mapInArrow(run, "a long, b long")
 
 
 def similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, classes=CLASSES, key: str = "doc_id", text: str = "text", floor: int = FLOOR, small: int = SMALL, block: int = BLOCK) -> DataFrame:
@@ -352,13 +432,16 @@ def similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, classes=C
     known = found.where("token is null").select("id", "mark", "n", "fp")
     tokens, kinds = frequent(found, classes, floor)
     met = cut_lineage(candidates(index(texts, size, percent, tokens, kinds, tuple(k for _, k in classes)), percent, small))
-    pairs = met.where("b is not null").groupBy("a", "b").agg(F.count("*").alias("n")).where("n >= 2").select("a", "b")
-    members = met.where("b is null")
-    shared = members.groupBy("sig").agg(F.min("a").alias("low"), F.max("a").alias("high")).where("low < high").select("sig")
-    pairs, members = cut_lineage(pairs), cut_lineage(members.join(shared, "sig", "left_semi").select("sig", "a"))
+    pairs = met.where("b is not null").groupBy("a", "b").agg(F.count("*").alias("many"), F.min("n").alias("n")).where("many >= n").select("a", "b")
+    members = cut_lineage(met.where("b is null").select("sig", "a", "n").distinct())
+    counts = cut_lineage(members.groupBy("sig").agg(F.count("*").alias("many")).where("many > 1"))
+    few = members.join(counts.where(F.col("many") <= small), "sig").select("sig", "a", "n")
+    near = (F.col("a") < F.col("b")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
+    pairs = pairs.union(few.join(few.toDF("sig", "b", "m"), "sig").where(near).select("a", "b")).distinct()
+    pairs, members = cut_lineage(pairs), cut_lineage(members.join(counts.where(F.col("many") > small), "sig").select("sig", "a"))
     wanted = pairs.select("a").union(pairs.select("b")).union(members.select("a")).distinct().withColumnRenamed("a", "fp")
     chosen = known.where("n > 0").groupBy("fp", "n").agg(F.min("id").alias("id")).join(wanted, "fp", "left_semi")
-    sets = cut_lineage(_of_fingerprint(texts.join(chosen, "id"), size))
+    sets = cut_lineage(_of_fingerprint(texts.join(chosen, "id"), size, percent, tokens, kinds))
     links = verify_pairs(pairs, sets, size, percent).union(verify_blocks(members, sets, size, percent, block))
     member = cut_lineage(components(cut_lineage(links)))
     placed = known.join(member.where("node is not null"), F.col("fp") == F.col("node"), "left").select("id", "mark", "n", F.coalesce("component", "fp").alias("component"))
@@ -388,14 +471,16 @@ def _id(column):
     return F.when(column != _LAST, column)
 
 
-def _of_fingerprint(rows: DataFrame, size: int) -> DataFrame:
-    """(fp, n, text) of the rows whose text has the fingerprint that is sought; an id may be there with several texts."""
+def _of_fingerprint(rows: DataFrame, size: int, percent: int, tokens: np.ndarray, kinds: np.ndarray) -> DataFrame:
+    """(fp, n, text, first) with the leading tokens, of the rows whose text has the fingerprint that is sought; an id may be there with several texts."""
 
     def run(batches):
         for batch in batches:
             for piece in pieces(batch, "text"):
-                own = pa.array([fingerprint(s) for s in _sets(piece.column(2), size)], pa.int64())
-                good = pa.array(np.asarray(own) == np.asarray(piece.column(0)))
-                yield pa.RecordBatch.from_arrays([c.filter(good) for c in piece.columns], ["fp", "n", "text"])
+                sets = _sets(piece.column(2), size)
+                good = pa.array([fingerprint(s) == fp for s, fp in zip(sets, piece.column(0).to_pylist())], pa.bool_())
+                first = [leading(s, _classes(s, tokens, kinds), percent).astype("<u4").tobytes() for s in sets]
+                columns = [*piece.columns, pa.array(first, pa.binary())]
+                yield pa.RecordBatch.from_arrays([c.filter(good) for c in columns], ["fp", "n", "text", "first"])
 
-    return rows.where("text is not null").select("fp", "n", "text").mapInArrow(run, "fp long, n long, text string")
+    return rows.where("text is not null").select("fp", "n", "text").mapInArrow(run, "fp long, n long, text string, first binary")

@@ -176,7 +176,11 @@ def test_linked_sets_share_what_the_join_needs(frequent_share):
         kinds = {int(t): int(rng.integers(1, 3)) if rng.random() < frequent_share else 0 for t in np.union1d(x, y)}
         found = [ngram_join.signatures(s, np.array([kinds[int(t)] for t in s]), (2, 3), 80) for s in (x, y)]
         rare = len(np.intersect1d(found[0][0], found[1][0]))
-        assert rare >= 2 or len(np.intersect1d(found[0][1], found[1][1])) >= 1
+        pure = [len(f[0]) == len(s) - -(-80 * len(s) // 100) + 2 and not len(f[1]) for f, s in zip(found, (x, y))]
+        need = ngram_join.least_shared(*(np.array([len(s) if p else -len(s)]) for p, s in zip(pure, (x, y))), 80)[0]
+        assert rare >= need or len(np.intersect1d(found[0][1], found[1][1])) >= 1
+        first = [ngram_join.leading(s, np.array([kinds[int(t)] for t in s]), 80) for s in (x, y)]
+        assert ngram_join.may_link([len(x), len(y)], first, [0], [1], 80).all()
 
 
 def test_fingerprints_ignore_order_and_tell_sets_apart():
