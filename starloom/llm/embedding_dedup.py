@@ -1,6 +1,6 @@
 """Near duplicates among embeddings by spherical-cap filters.
 
-Filter directions form a random product code: after a random rotation a vector is
+Filter directions form random product codes: after a random rotation a vector is
 cut into blocks, each block has its own set of random code words, and a direction is one code word
 from each block. Its inner product is the sum of the blocks' products, so all
 directions above the cap height are list-decoded block by block, without
@@ -20,6 +20,9 @@ the component.
 
 from __future__ import annotations
 
+import math
+from statistics import NormalDist
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,15 +31,18 @@ from pyspark.sql import functions as F
 from starloom.llm.components import components, roots
 from starloom.runtime import cut_lineage
 
-#: Code words of each of the two blocks, and the height of the caps in standard deviations.
-CODE_WORDS, HEIGHT = 192, 3.1
+#: Independent product codes, and filters of each that a vector exceeds on average.
+CODES, FILTERS = 3, 8
+#: Vectors that share a filter by chance; it sets the caps' height, so that filters stay as full however many vectors there are.
+BUCKET = 500
+#: Vectors that are compared at once.
 BLOCK = 1_000
 
 
 class ProductCode:
     """Directions [c1, c2] / sqrt(2) with c1 and c2 from two sets of random unit vectors, behind a random rotation."""
 
-    def __init__(self, dim: int, size: int = CODE_WORDS, height: float = HEIGHT, seed: int = 5):
+    def __init__(self, dim: int, size: int, height: float, seed: int = 5):
         rng = np.random.default_rng(seed)
         self.rotation = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
         self.cut = (dim + 1) // 2
@@ -84,9 +90,16 @@ def _units(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
     return np.array(index, int), vectors
 
 
-def filtered(rows: DataFrame, size: int, height: float) -> DataFrame:
+def cap_shape(most: int, filters: int, bucket: int) -> tuple[int, float]:
+    """Code words in a block and the height of the caps, for up to ``most`` vectors of a label."""
+    share = min(0.05, max(bucket / max(most, 1), 1e-9))
+    return max(2, math.ceil(math.sqrt(filters / share))), NormalDist().inv_cdf(1 - share)
+
+
+def filtered(rows: DataFrame, size: int, height: float, count: int) -> DataFrame:
     """(row, kind, filter, filters, vector): a row for each filter that a vector exceeds. kind is label and length."""
-    codes: dict[int, ProductCode] = {}
+    codes: dict[int, list[ProductCode]] = {}
+    single = rows.schema["embedding"].dataType.elementType.typeName() == "float"
 
     def run(batches):
         for batch in batches:
@@ -94,17 +107,22 @@ def filtered(rows: DataFrame, size: int, height: float) -> DataFrame:
                 part = batch.slice(start, 500)
                 index, vectors = _units(part.column("embedding"))
                 out = {k: [] for k in ("row", "kind", "filter", "filters", "vector")}
+                raw = [np.array(v or [], "<f4" if single else "<f8").tobytes() if v and None not in v else b"" for v in part.column("embedding").to_pylist()]
                 ids, labels = part.column("row").to_pylist(), part.column("label").to_pylist()
                 for dim in {len(v) for v in vectors}:
                     own = [k for k, v in enumerate(vectors) if len(v) == dim]
-                    code = codes.setdefault(dim, ProductCode(dim, size, height))
-                    for k, found in zip(own, code.decode(np.stack([vectors[k] for k in own]))):
+                    if dim not in codes:
+                        codes[dim] = [ProductCode(dim, size, height, seed) for seed in range(count)]
+                    unit = np.stack([vectors[k] for k in own])
+                    lists = zip(*(code.decode(unit) for code in codes[dim]))
+                    for k, found in zip(own, lists):
+                        found = np.concatenate([f + c * size * size for c, f in enumerate(found)])
                         n = len(found)
                         out["row"] += [ids[index[k]]] * n
                         out["kind"] += [f"{labels[index[k]]}/{dim}"] * n
                         out["filter"] += found.tolist()
                         out["filters"] += [found.astype("<i4").tobytes()] * n
-                        out["vector"] += [vectors[k].astype("<f8").tobytes()] * n
+                        out["vector"] += [raw[index[k]]] * n
                 kinds = {"row": pa.int64(), "kind": pa.string(), "filter": pa.int32(), "filters": pa.binary(), "vector": pa.binary()}
                 yield pa.RecordBatch.from_arrays([pa.array(out[k], kinds[k]) for k in kinds], list(kinds))
 
@@ -113,13 +131,12 @@ def filtered(rows: DataFrame, size: int, height: float) -> DataFrame:
 
 def dealt(entries: DataFrame, block: int) -> DataFrame:
     """Entries with the group they are compared in: the filter, or a pair of blocks of a filter with many vectors."""
-    counts = entries.groupBy("kind", "filter").agg(F.count("*").alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") * 2 / block).cast("int")
-    side = F.when(F.col("n") > block, F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")).otherwise(F.lit(0))
-    other = F.explode(F.when(F.col("n") > block, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(0))))
+    many = cut_lineage(entries.groupBy("kind", "filter").agg(F.count("*").alias("n")).where(F.col("n") > block))
+    side = F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     return (
-        entries.join(counts, ["kind", "filter"])
-        .withColumn("blocks", blocks)
+        entries.join(many, ["kind", "filter"], "left")
+        .withColumn("blocks", F.coalesce(F.ceil(F.col("n") * 2 / block).cast("int"), F.lit(1)))
         .withColumn("side", side)
         .withColumn("other", other)
         .withColumn("lo", F.least("side", "other"))
@@ -128,12 +145,17 @@ def dealt(entries: DataFrame, block: int) -> DataFrame:
     )
 
 
-def _compare(group: list, least: float):
+def _compare(group: list, least: float, kind: str):
     """Links of one group: counts by row, and a spanning forest. group: (filter, lo, hi, rows, sides, filters, vectors)."""
     here, lo, hi, row, side, filters, vectors = group
     if len(row) < 2:
         return [], []
-    x = np.stack([np.frombuffer(v, "<f8") for v in vectors])
+    x = np.stack([np.frombuffer(v, kind) for v in vectors]).astype(float)
+    size = np.linalg.norm(x, axis=1, keepdims=True)
+    if not np.isfinite(size).all():
+        x = x / np.abs(x).max(axis=1, keepdims=True)
+        size = np.linalg.norm(x, axis=1, keepdims=True)
+    x /= size
     side = np.array(side)
     a = np.flatnonzero(side == lo)
     b = np.flatnonzero(side == hi)
@@ -157,7 +179,7 @@ def _compare(group: list, least: float):
     return [(row[k], int(c)) for k, c in enumerate(counts) if c], [(r, n) for n, r in up.items() if r != n]
 
 
-def links(groups: DataFrame, least: float) -> DataFrame:
+def links(groups: DataFrame, least: float, kind: str) -> DataFrame:
     """(a, b, n): a's number of links in a group where b is null, else an edge of a group's spanning forest."""
     keys = ["kind", "filter", "lo", "hi"]
 
@@ -165,7 +187,7 @@ def links(groups: DataFrame, least: float) -> DataFrame:
         key, group = None, None
 
         def flush():
-            counts, forest = _compare(group, least)
+            counts, forest = _compare(group, least, kind)
             rows = [(a, None, n) for a, n in counts] + [(a, b, None) for a, b in forest]
             return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], ["a", "b", "n"])
 
@@ -184,11 +206,14 @@ def links(groups: DataFrame, least: float) -> DataFrame:
     return groups.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long, n long")
 
 
-def deduplicate(vectors: DataFrame, least: float = 0.98, key: str = "vec_id", vector: str = "embedding", label: str = "label", code_words: int = CODE_WORDS, height: float = HEIGHT, block: int = BLOCK) -> DataFrame:
+def deduplicate(vectors: DataFrame, least: float = 0.98, key: str = "vec_id", vector: str = "embedding", label: str = "label", codes: int = CODES, filters: int = FILTERS, bucket: int = BUCKET, block: int = BLOCK) -> DataFrame:
     """One row per row of ``vectors``: the key, n_links, component_id and kept."""
     rows = cut_lineage(vectors.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(vector).alias("embedding"), F.col(label).alias("label")))
-    entries = cut_lineage(filtered(rows.where("label is not null and embedding is not null").select("row", "embedding", "label"), code_words, height))
-    found = cut_lineage(links(dealt(entries, block), least))
+    able = rows.where("label is not null and embedding is not null").select("row", "embedding", "label")
+    most = able.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    entries = cut_lineage(filtered(able, *cap_shape(most, filters, bucket), codes))
+    single = rows.schema["embedding"].dataType.elementType.typeName() == "float"
+    found = cut_lineage(links(dealt(entries, block), least, "<f4" if single else "<f8"))
     counts = found.where("b is null").groupBy(F.col("a").alias("row")).agg(F.sum("n").alias("n_links"))
     member = cut_lineage(components(found.where("b is not null").select("a", "b")))
     known = rows.select("row", "key").join(member, F.col("row") == F.col("node"), "left").withColumn("component", F.coalesce("component", "row"))
