@@ -46,7 +46,8 @@ class ProductCode:
         rng = np.random.default_rng(seed)
         self.rotation = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
         self.cut = (dim + 1) // 2
-        self.size, self.height = size, height / np.sqrt(dim)
+        # the inner product of a random unit vector that is as rare as ``height`` standard deviations of a normal one
+        self.size, self.height = size, math.sqrt(1 - math.exp(-height * height / max(dim - 1.5, 0.5)))
         self.codes = []
         for width in (self.cut, dim - self.cut):
             code = rng.normal(size=(size, width))
