@@ -139,7 +139,7 @@ def _name_score(attributes: str) -> float:
 
 def score(block: Block) -> float:
     """The classifier: above 0 speaks for content."""
-    total, inside = -0.4, False
+    total, inside = -0.4 if block.path else 0.2, False
     for _, tag, names in block.path:
         total += names
         if tag in HOME:

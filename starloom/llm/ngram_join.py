@@ -13,7 +13,7 @@ partners may lie in two size bands indexes combinations for both.
 Equal sets are one class from the start: a 64-bit fingerprint of the set takes
 their place, so groups of copies meet nowhere. Two sets whose prefixes are all rare must share as many
 rare tokens as their sizes demand, others two; such pairs, and pairs that meet in a small combination, are verified
-one by one. The members of combinations with many sets, and of rare tokens that turn out common, are put in
+with their neighbours. The members of combinations with many sets, and of rare tokens that turn out common, are put in
 blocks; pairs of blocks that share a signature are verified as a matrix product, so no
 pair within such a group is ever a row. Verified links are contracted to components.
 
@@ -184,7 +184,7 @@ def frequent(found: DataFrame, classes, floor: int) -> tuple[np.ndarray, np.ndar
 
 
 def index(docs: DataFrame, size: int, percent: int, tokens: np.ndarray, kinds: np.ndarray, ks: tuple[int, ...]) -> DataFrame:
-    """(sig, salt, fp, n, combined): the signatures of every text; copies in a batch are indexed once. n is negative where the prefix is not all rare."""
+    """(sig, salt, fp, n, combined): the signatures of every text; copies in a batch are indexed once. n is negative where the prefix is not all rare. 48 bits of a signature travel: where two fall together, sets meet once more."""
 
     def run(batches):
         for batch in batches:
@@ -207,7 +207,7 @@ def index(docs: DataFrame, size: int, percent: int, tokens: np.ndarray, kinds: n
                     fps, kind = np.concatenate(fp), np.concatenate(combined)
                     salt = np.where(kind, fps % SALTS, 0).astype(np.int8)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(sig).view(np.int64)), pa.array(salt), pa.array(fps), pa.array(np.concatenate(n)), pa.array(kind)],
+                        [pa.array((np.concatenate(sig) >> np.uint64(16)).view(np.int64)), pa.array(salt), pa.array(fps), pa.array(np.concatenate(n)), pa.array(kind)],
                         ["sig", "salt", "fp", "n", "combined"],
                     )
 
@@ -281,7 +281,7 @@ def _meet(sig, fp, n, combined, percent, small, first_is_many):
         near = 100 * np.minimum(x, y) >= percent * np.maximum(x, y)
         i, j = i[near], j[near]
         pair = [np.minimum(fp[i], fp[j]), np.maximum(fp[i], fp[j]), least_shared(n[i], n[j], percent)]
-        yield pa.RecordBatch.from_arrays([pa.array(sig[i]), *(pa.array(p) for p in pair)], ["sig", "a", "b", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(i), np.int64)), *(pa.array(p) for p in pair)], ["sig", "a", "b", "n"])
 
 
 def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -293,18 +293,20 @@ def _sets(column, size: int) -> list[np.ndarray]:
     return shingle_sets(words(column, lower=True), size)
 
 
-def verify_pairs(pairs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links among ``pairs`` (a, b); sets has fp, n and text."""
+def pair_rows(pairs: DataFrame, block: int) -> DataFrame:
+    """(block, other, side, fp): the sets of pairs (a, b), put together so that a set travels once for its neighbours.
 
-    def run(batches):
-        for batch in batches:
-            for piece in pieces(batch, "left"):
-                x, y = _sets(piece.column(2), size), _sets(piece.column(3), size)
-                good = pa.array([linked(p, q, percent) for p, q in zip(x, y)], pa.bool_())
-                yield pa.RecordBatch.from_arrays([piece.column(0).filter(good), piece.column(1).filter(good)], ["a", "b"])
-
-    left = pairs.join(sets.select(F.col("fp").alias("a"), F.col("text").alias("left")), "a")
-    return left.join(sets.select(F.col("fp").alias("b"), F.col("text").alias("right")), "b").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
+    A set's home is the smallest fingerprint among itself and its partners; the sets of a home are dealt over blocks.
+    """
+    both = pairs.union(pairs.select("b", "a")).toDF("fp", "partner")
+    home = cut_lineage(both.groupBy("fp").agg(F.least(F.min("partner"), F.col("fp")).alias("home")))
+    counts = home.groupBy("home").agg(F.ceil(F.count("*") / block).alias("parts"))
+    number = F.xxhash64(F.lit(3), "home", F.pmod(F.xxhash64("fp"), F.col("parts")))
+    blocks = cut_lineage(home.join(counts, "home").select("fp", number.alias("block")))
+    placed = pairs.join(blocks.toDF("a", "of_a"), "a").join(blocks.toDF("b", "of_b"), "b")
+    low, high = F.least("of_a", "of_b"), F.greatest("of_a", "of_b")
+    rows = [placed.select(low.alias("block"), high.alias("other"), (F.col(own) > low).cast("int").alias("side"), F.col(x).alias("fp")) for x, own in (("a", "of_a"), ("b", "of_b"))]
+    return rows[0].union(rows[1]).distinct()
 
 
 def _common(tokens: list[np.ndarray], a: list[int], b: list[int]) -> np.ndarray:
@@ -392,12 +394,12 @@ def hopeful(rows: DataFrame, size: int, percent: int) -> DataFrame:
     return rows.repartition("block", "other").sortWithinPartitions("block", "other").mapInArrow(run, "block long, other long, side int, fp long")
 
 
-def verify_blocks(members: DataFrame, sets: DataFrame, size: int, percent: int, block: int) -> DataFrame:
-    """Links among the members of each signature, as spanning forests of pairs of blocks.
+def block_rows(members: DataFrame, sets: DataFrame, size: int, percent: int, block: int) -> DataFrame:
+    """(block, other, side, fp): the members of signatures in pairs of blocks, where a link is possible.
 
     A set's home is the signature with most members among its own, so that sets which meet often lie in one block.
     Blocks hold sets of about one size, and only blocks of neighbouring sizes are compared: linked sizes differ by
-    less than one step. Leading tokens travel first; texts follow only where they leave a link possible.
+    less than one step. Only leading tokens travel here; texts follow where they leave a link possible.
     """
     step = math.log(101 / percent)
     sizes = members.groupBy("sig").agg(F.count("*").alias("many"))
@@ -414,7 +416,11 @@ def verify_blocks(members: DataFrame, sets: DataFrame, size: int, percent: int,
     left = pairs.join(shown, "block").select("block", "other", F.lit(0).alias("side"), "fp", "n", "first")
     right = pairs.where("block < other").join(shown.withColumnRenamed("block", "other"), "other")
     rows = left.union(right.select("block", "other", F.lit(1).alias("side"), "fp", "n", "first"))
-    chosen = cut_lineage(hopeful(rows, size, percent))
+    return hopeful(rows, size, percent)
+
+
+def verify(chosen: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between the sets of each pair of blocks, as spanning forests."""
 
     def run(batches):
         for _, own in _by_pair(batches, True, size):
@@ -442,7 +448,8 @@ def similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, classes=C
     wanted = pairs.select("a").union(pairs.select("b")).union(members.select("a")).distinct().withColumnRenamed("a", "fp")
     chosen = known.where("n > 0").groupBy("fp", "n").agg(F.min("id").alias("id")).join(wanted, "fp", "left_semi")
     sets = cut_lineage(_of_fingerprint(texts.join(chosen, "id"), size, percent, tokens, kinds))
-    links = verify_pairs(pairs, sets, size, percent).union(verify_blocks(members, sets, size, percent, block))
+    chosen = cut_lineage(pair_rows(pairs, block).union(block_rows(members, sets, size, percent, block)))
+    links = verify(chosen, sets, size, percent)
     member = cut_lineage(components(cut_lineage(links)))
     placed = known.join(member.where("node is not null"), F.col("fp") == F.col("node"), "left").select("id", "mark", "n", F.coalesce("component", "fp").alias("component"))
     least = cut_lineage(placed.where("n > 0").groupBy("component").agg(F.min("id").alias("component_id")))

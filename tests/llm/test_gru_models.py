@@ -66,10 +66,13 @@ def test_quality_and_toxicity_on_held_out_documents(spark):
     good = queries.QUERIES["op6_quality"](spark, SF).toPandas().set_index("doc_id")
     good = good[good["held_out"]].join(labels, how="inner")
     assert ((good["tail_prob"] >= 0.5) == (good["quality"] == 1)).mean() > 0.95
-    toxic = queries.QUERIES["op7_toxicity"](spark, SF).toPandas().set_index("doc_id")
+    more = SF.replace("0.01", "0.1")  # rare words take more labels than the small tables have
+    labels = spark.read.parquet(f"{more}/labels.parquet").toPandas().set_index("doc_id")
+    toxic = queries.QUERIES["op7_toxicity"](spark, more).toPandas().set_index("doc_id")
     assert ((toxic["score"] >= 0.5) == (toxic["predicted"] == 1)).all()
     toxic = toxic[toxic["held_out"]].join(labels, how="inner")
-    assert toxic[toxic["toxic"] == 1]["score"].mean() > toxic[toxic["toxic"] == 0]["score"].mean() + 0.2
+    assert toxic[toxic["toxic"] == 1]["predicted"].mean() > 0.65
+    assert toxic[toxic["toxic"] == 0]["predicted"].mean() < 0.03
 
 
 @pytest.mark.parametrize("grades", [2, 4])

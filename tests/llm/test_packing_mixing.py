@@ -74,7 +74,7 @@ def test_rates_reach_targets_and_match_a_local_solution(spark):
     rng = np.random.default_rng(4)
     p = rng.dirichlet([0.3, 0.3, 0.3], 500)
     tokens = rng.integers(1, 200, 500)
-    frame = pd.DataFrame({"doc_id": range(500), "mix_tokens": tokens, "mix_p": list(p)})
+    frame = pd.DataFrame({"doc_id": range(500), "mix_tokens": tokens, "mix_p": p.tolist()})
     members = cut_lineage(spark.createDataFrame(frame, "doc_id long, mix_tokens long, mix_p array<double>"))
     shares = np.array([0.2, 0.5, 0.3])
     rated, moves = mixing.rates(members, shares, rounds=200)
