@@ -40,6 +40,7 @@ def test_odd_documents_pass_every_stage(spark, odd_docs, no_docs):
         many = docs.count()
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, docs, SF)
-            assert out.count() <= 10 * many
-            if name != "token_packing":
-                assert out.columns == docs.columns
+            if name == "token_packing":
+                assert (out.count() > 0) == (many > 0)
+            else:
+                assert out.columns == docs.columns and out.count() <= 10 * many
