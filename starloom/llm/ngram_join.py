@@ -394,7 +394,7 @@ def hopeful(rows: DataFrame, size: int, percent: int) -> DataFrame:
     return rows.repartition("block", "other").sortWithinPartitions("block", "other").mapInArrow(run, "block long, other long, side int, fp long")
 
 
-def block_rows(members: DataFrame, sets: DataFrame, size: int, percent: int, block: int) -> DataFrame:
+def block_rows(members: DataFrame, shows: DataFrame, size: int, percent: int, block: int) -> DataFrame:
     """(block, other, side, fp): the members of signatures in pairs of blocks, where a link is possible.
 
     A set's home is the signature with most members among its own, so that sets which meet often lie in one block.
@@ -404,7 +404,7 @@ def block_rows(members: DataFrame, sets: DataFrame, size: int, percent: int, blo
     step = math.log(101 / percent)
     sizes = members.groupBy("sig").agg(F.count("*").alias("many"))
     home = members.join(sizes, "sig").groupBy(F.col("a").alias("fp")).agg(F.max_by("sig", "many").alias("home"))
-    placed = cut_lineage(home.join(sets.select("fp", "n"), "fp").select("fp", "home", F.floor(F.log(F.col("n")) / step).alias("size")))
+    placed = cut_lineage(home.join(shows.select("fp", "n"), "fp").select("fp", "home", F.floor(F.log(F.col("n")) / step).alias("size")))
     counts = placed.groupBy("home", "size").agg(F.ceil(F.count("*") / block).alias("parts"))
     number = F.xxhash64("home", "size", F.pmod(F.xxhash64("fp"), F.col("parts")))
     blocks = cut_lineage(placed.join(counts, ["home", "size"]).select("fp", "size", number.alias("block")))
@@ -412,22 +412,21 @@ def block_rows(members: DataFrame, sets: DataFrame, size: int, percent: int, blo
     other = holds.select("sig", F.col("block").alias("other"), F.col("size").alias("other_size"))
     near = (F.col("block") <= F.col("other")) & (F.abs(F.col("size") - F.col("other_size")) <= 1)
     pairs = cut_lineage(holds.join(other, "sig").where(near).select("block", "other").distinct())
-    shown = blocks.select("fp", "block").join(sets.select("fp", "n", "first"), "fp")
+    shown = blocks.select("fp", "block").join(shows, "fp")
     left = pairs.join(shown, "block").select("block", "other", F.lit(0).alias("side"), "fp", "n", "first")
     right = pairs.where("block < other").join(shown.withColumnRenamed("block", "other"), "other")
     rows = left.union(right.select("block", "other", F.lit(1).alias("side"), "fp", "n", "first"))
     return hopeful(rows, size, percent)
 
 
-def verify(chosen: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links between the sets of each pair of blocks, as spanning forests."""
+def verify(texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between the sets of each pair of blocks, as spanning forests; texts: block, other, side, fp, text."""
 
     def run(batches):
         for _, own in _by_pair(batches, True, size):
             found = _block_links([r[1] for r in own], [r[0] for r in own], [r[2] for r in own], percent)
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    texts = chosen.join(sets.select("fp", "text"), "fp").select("block", "other", "side", "fp", "text")
     return texts.repartition("block", "other").sortWithinPartitions("block", "other").mapInArrow(run, "a long, b long")
 
 
@@ -445,11 +444,14 @@ def similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, classes=C
     near = (F.col("a") < F.col("b")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
     pairs = pairs.union(few.join(few.toDF("sig", "b", "m"), "sig").where(near).select("a", "b")).distinct()
     pairs, members = cut_lineage(pairs), cut_lineage(members.join(counts.where(F.col("many") > small), "sig").select("sig", "a"))
-    wanted = pairs.select("a").union(pairs.select("b")).union(members.select("a")).distinct().withColumnRenamed("a", "fp")
-    chosen = known.where("n > 0").groupBy("fp", "n").agg(F.min("id").alias("id")).join(wanted, "fp", "left_semi")
-    sets = cut_lineage(_of_fingerprint(texts.join(chosen, "id"), size, percent, tokens, kinds))
-    chosen = cut_lineage(pair_rows(pairs, block).union(block_rows(members, sets, size, percent, block)))
-    links = verify(chosen, sets, size, percent)
+    inside = members.select(F.col("a").alias("fp")).distinct()
+    shows = shown(texts, size, percent, tokens, kinds).join(inside, "fp", "left_semi").groupBy("fp", "n").agg(F.first("first").alias("first"))
+    chosen = cut_lineage(pair_rows(pairs, block).union(block_rows(members, cut_lineage(shows), size, percent, block)))
+    # a text that several sets of rows wait for travels once, with the list of its pairs of blocks
+    waits = chosen.groupBy("fp").agg(F.collect_list(F.struct("block", "other", "side")).alias("waits"))
+    waits = cut_lineage(known.where("n > 0").groupBy("fp").agg(F.min("id").alias("id")).join(waits, "fp"))
+    found = _of_fingerprint(texts.join(waits, "id"), size).select(F.inline("waits"), "fp", "text")
+    links = verify(found.select("block", "other", "side", "fp", "text"), size, percent)
     member = cut_lineage(components(cut_lineage(links)))
     placed = known.join(member.where("node is not null"), F.col("fp") == F.col("node"), "left").select("id", "mark", "n", F.coalesce("component", "fp").alias("component"))
     least = cut_lineage(placed.where("n > 0").groupBy("component").agg(F.min("id").alias("component_id")))
@@ -478,16 +480,28 @@ def _id(column):
     return F.when(column != _LAST, column)
 
 
-def _of_fingerprint(rows: DataFrame, size: int, percent: int, tokens: np.ndarray, kinds: np.ndarray) -> DataFrame:
-    """(fp, n, text, first) with the leading tokens, of the rows whose text has the fingerprint that is sought; an id may be there with several texts."""
+def shown(docs: DataFrame, size: int, percent: int, tokens: np.ndarray, kinds: np.ndarray) -> DataFrame:
+    """(fp, n, first): size and leading tokens of every text."""
 
     def run(batches):
         for batch in batches:
             for piece in pieces(batch, "text"):
-                sets = _sets(piece.column(2), size)
-                good = pa.array([fingerprint(s) == fp for s, fp in zip(sets, piece.column(0).to_pylist())], pa.bool_())
+                sets = [s for s in _sets(piece.column(1), size) if len(s)]
                 first = [leading(s, _classes(s, tokens, kinds), percent).astype("<u4").tobytes() for s in sets]
-                columns = [*piece.columns, pa.array(first, pa.binary())]
-                yield pa.RecordBatch.from_arrays([c.filter(good) for c in columns], ["fp", "n", "text", "first"])
+                columns = [pa.array([fingerprint(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(first, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["fp", "n", "first"])
 
-    return rows.where("text is not null").select("fp", "n", "text").mapInArrow(run, "fp long, n long, text string, first binary")
+    return docs.select("id", "text").mapInArrow(run, "fp long, n long, first binary")
+
+
+def _of_fingerprint(rows: DataFrame, size: int) -> DataFrame:
+    """(fp, text, waits) of the rows whose text has the fingerprint that is sought; an id may be there with several texts."""
+    rows = rows.where("text is not null").select("fp", "text", "waits")
+
+    def run(batches):
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                good = [fingerprint(s) == fp for s, fp in zip(_sets(piece.column(1), size), piece.column(0).to_pylist())]
+                yield piece.filter(pa.array(good, pa.bool_()))
+
+    return rows.mapInArrow(run, rows.schema)
