@@ -23,6 +23,7 @@ HEADLINE = [
     "fact_sales_full", "fact_line_amounts", "delta_fact_sales", "fact_key_lookup_unknown", "fact_insert_only",
     "assign_surrogate_key", "number_stored_fact", "scd2_merge_profile", "scd2_merge_sales_reason", "watermark_extract",
     "cleanse_table", "xml_survey_struct", "xml_pivot_dynamic", "dq_foreign_keys", "dq_duplicate_grain",
+    "fact_merge", "fact_sales_allocated", "customer_by_ship_to", "scd2_merge_customer", "incremental_run_status",
 ]
 
 
