@@ -119,15 +119,15 @@ def signatures(tokens: np.ndarray, classes: np.ndarray, sizes: tuple[int, ...],
 
 
 def _leading_count(n, percent: int):
-    """Tokens that a set shows before its text is sent anywhere: somewhat more than its prefix."""
-    return np.minimum(n, n - -(-percent * n // 100) + 2 + n // 10)
+    """Tokens that a set shows before its text is sent anywhere: as many as a prefix of rare tokens has."""
+    return np.minimum(n, n - -(-percent * n // 100) + 2)
 
 
 def leading(tokens: np.ndarray, classes: np.ndarray, percent: int) -> np.ndarray:
-    """The first tokens in the global order as sorted 32-bit hashes; tokens that fall together are there once."""
+    """The first tokens in the global order as sorted 16-bit hashes; tokens that fall together are there once."""
     rank = mix(tokens * _ODD)
     first = np.lexsort((rank, classes))[: int(_leading_count(len(tokens), percent))]
-    return np.unique((mix(tokens[first]) >> np.uint64(32)).astype(np.uint32))
+    return np.unique((mix(tokens[first]) >> np.uint64(48)).astype(np.uint16))
 
 
 def _classes(tokens: np.ndarray, known: np.ndarray, kinds: np.ndarray) -> np.ndarray:
@@ -381,7 +381,7 @@ def hopeful(rows: DataFrame, size: int, percent: int) -> DataFrame:
             a, b = _sides([r[0] for r in own])
             if not a or x != y and not b:
                 continue
-            first = [np.frombuffer(r[2][1], "<u4") for r in own]
+            first = [np.frombuffer(r[2][1], "<u2") for r in own]
             may = may_link([r[2][0] for r in own], first, a, b or a, percent)
             if x == y:
                 np.fill_diagonal(may, False)
@@ -487,7 +487,7 @@ def shown(docs: DataFrame, size: int, percent: int, tokens: np.ndarray, kinds: n
         for batch in batches:
             for piece in pieces(batch, "text"):
                 sets = [s for s in _sets(piece.column(1), size) if len(s)]
-                first = [leading(s, _classes(s, tokens, kinds), percent).astype("<u4").tobytes() for s in sets]
+                first = [leading(s, _classes(s, tokens, kinds), percent).astype("<u2").tobytes() for s in sets]
                 columns = [pa.array([fingerprint(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(first, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["fp", "n", "first"])
 
