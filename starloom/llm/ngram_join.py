@@ -430,8 +430,8 @@ def verify(texts: DataFrame, size: int, percent: int) -> DataFrame:
     return texts.repartition("block", "other").sortWithinPartitions("block", "other").mapInArrow(run, "a long, b long")
 
 
-def similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, classes=CLASSES, key: str = "doc_id", text: str = "text", floor: int = FLOOR, small: int = SMALL, block: int = BLOCK) -> DataFrame:
-    """(key, n_shingles, component_id, text_hash) of every row; component_id is the smallest key reachable by links. Other columns are not read."""
+def _placed(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, classes=CLASSES, key: str = "doc_id", text: str = "text", floor: int = FLOOR, small: int = SMALL, block: int = BLOCK) -> DataFrame:
+    """(id, mark, n, component) of every row; component is the smallest fingerprint reachable by links, null without a word."""
     texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("mark"))
     found = cut_lineage(survey(texts, size, classes[0][0]))
     known = found.where("token is null").select("id", "mark", "n", "fp")
@@ -453,25 +453,33 @@ def similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, classes=C
     found = _of_fingerprint(texts.join(waits, "id"), size).select(F.inline("waits"), "fp", "text")
     links = verify(found.select("block", "other", "side", "fp", "text"), size, percent)
     member = cut_lineage(components(cut_lineage(links)))
-    placed = known.join(member.where("node is not null"), F.col("fp") == F.col("node"), "left").select("id", "mark", "n", F.coalesce("component", "fp").alias("component"))
+    return known.join(member.where("node is not null"), F.col("fp") == F.col("node"), "left").select(
+        "id", "mark", "n", F.when(F.col("n") > 0, F.coalesce("component", "fp")).alias("component")
+    )
+
+
+def similar(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+    """(key, n_shingles, component_id, text_hash) of every row; component_id is the smallest key reachable by links. Other columns are not read."""
+    placed = _placed(docs, key=key, **options)
     least = cut_lineage(placed.where("n > 0").groupBy("component").agg(F.min("id").alias("component_id")))
-    return (
-        placed.withColumn("component", F.when(F.col("n") > 0, F.col("component")))
-        .join(least, "component", "left")
-        .select(_id("id").alias(key), F.col("n").alias("n_shingles"), _id(F.coalesce("component_id", "id")).alias("component_id"), F.col("mark").alias("text_hash"))
+    return placed.join(least, "component", "left").select(
+        _id("id").alias(key), F.col("n").alias("n_shingles"), _id(F.coalesce("component_id", "id")).alias("component_id"), F.col("mark").alias("text_hash")
     )
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each component: its smallest key; of rows that share that key the one with the smallest text hash.
 
-    Rows without a word are components of their own, one for each key.
+    A component is told by its fingerprint, so unlinked texts under one key, or without a key, all stay.
+    Rows without a word are components of their own, one for each key and text.
     """
-    found = similar(docs.select(key, text), key=key, text=text, **options)
-    kept = found.where(F.col(key).eqNullSafe(F.col("component_id"))).groupBy(F.col(key).alias("_component_key"), "component_id", F.col("n_shingles") > 0).agg(F.min("text_hash").alias("_component_mark"))
-    marked = docs.withColumn("_text_hash", F.xxhash64(text))
-    rows = marked.join(kept.select("_component_key", "_component_mark").distinct(), F.col(key).cast("long").eqNullSafe(F.col("_component_key")) & (F.col("_text_hash") == F.col("_component_mark")), "left_semi")
-    order = Window.partitionBy(key, "_text_hash").orderBy(*[F.xxhash64(c) for c in docs.columns])
+    placed = _placed(docs.select(key, text), key=key, text=text, **options)
+    alone = [F.when(F.col("n") == 0, F.col(c)) for c in ("id", "mark")]
+    kept = placed.groupBy("component", *[c.alias(f"_alone{k}") for k, c in enumerate(alone)]).agg(F.min(F.struct("id", "mark")).alias("first"))
+    kept = kept.select(F.col("first.id").alias("_component_key"), F.col("first.mark").alias("_component_mark"))
+    marked = docs.withColumns({"_text_hash": F.xxhash64(text), "_text_key": F.coalesce(F.col(key).cast("long"), F.lit(_LAST))})
+    rows = marked.join(kept, (F.col("_text_key") == F.col("_component_key")) & (F.col("_text_hash") == F.col("_component_mark")), "left_semi")
+    order = Window.partitionBy("_text_key", "_text_hash").orderBy(*[F.xxhash64(c) for c in docs.columns])
     return rows.withColumn("_copy", F.row_number().over(order)).where("_copy = 1").select(*docs.columns)
 
 

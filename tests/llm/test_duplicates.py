@@ -205,6 +205,17 @@ def test_join_of_odd_documents(spark, odd_docs, no_docs):
     assert ngram_join.one_of_each(no_docs).count() == 0
 
 
+def test_unlinked_texts_under_one_id_or_none_all_stay(spark, odd_docs):
+    kept = [(r.doc_id, r.text) for r in ngram_join.one_of_each(odd_docs).collect()]
+    assert sorted(t for i, t in kept if i == 1) == ["alpha beta gamma delta epsilon zeta eta theta", "another text under the same id"]
+    assert sorted(i or 0 for i, _ in kept) == [0, 1, 1, 2, 3, 4, 5, 7]
+    texts = [" ".join(f"w{k}x{j}" for j in range(12)) for k in range(30)]
+    rows = [(None, t) for t in texts] + [(None, texts[0]), (None, texts[1] + " "), (9, texts[2]), (None, ""), (None, " "), (None, None), (None, None)]
+    kept = [(r.doc_id, r.text) for r in ngram_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert {(t or "").strip() for _, t in kept} == {*texts, ""} and (9, texts[2]) in kept and (None, texts[2]) not in kept
+    assert sorted(repr(t) for _, t in kept if not (t or "").strip()) == ["' '", "''", "None"] and len(kept) == 33
+
+
 def links_by_definition(rows, least=0.98):
     ok = {}
     for k, (i, v, label) in enumerate(rows):
