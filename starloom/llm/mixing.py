@@ -9,7 +9,10 @@ that weighs documents by their tokens:
     rate <- max(0, rate - step * p . (totals - targets) / tokens of the corpus)
 
 Only the totals (one number for each domain) come to the driver in each round; the
-step is the inverse of the largest eigenvalue of the domains' second moments.
+step is the inverse of the largest eigenvalue of the domains' second moments. A domain with a small
+part of the tokens moves slowly by such steps. So where a step leaves more than ``SLOW`` of the distance,
+proximal steps of the same objective follow, each found by Newton's method on totals and second moments, until the tolerance
+is met or, with a warning, nothing is gained.
 
 Defined results: a text that is null or without a word has no tokens and no
 membership, and keeps rate 1. Repeated rows are rated alike. Copies are
@@ -20,6 +23,7 @@ Without labelled rows there is one domain, "all". An empty table gives an empty
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +38,10 @@ from starloom.runtime import cut_lineage
 
 #: Bound of the fitting sample, in labelled rows.
 SAMPLE_ROWS = 2_000
+#: Gradient steps go on while each leaves at most this part of the distance.
+SLOW = 0.75
+#: Bound of the Newton rounds of a proximal step; reaching it is an error.
+NEWTON = 200
 #: Rounds between written copies of the rates, so that plans stay short.
 _WRITE_EVERY = 8
 
@@ -130,11 +138,14 @@ def rates(members: DataFrame, shares: np.ndarray, keep_all: bool = False, rounds
     """``members`` with mix_rate, and the moves that lead there. ``members`` must be a written table: it is read once a round.
 
     The mixture holds as many tokens as the corpus, or with ``keep_all`` so many that no domain has to be cut.
+    At most ``rounds`` rounds are gradient steps; what they leave, or would need many rounds for, proximal steps finish.
+    Targets that no rates meet give the nearest totals and a warning that names the distances.
     """
     k = len(shares)
     p = [F.col("mix_p")[i] for i in range(k)]
     tokens = F.col("mix_tokens")
-    sums = [F.sum(tokens).alias("n")] + [F.sum(tokens * p[i] * p[j]).alias(f"m{i}_{j}") for i in range(k) for j in range(i, k)]
+    products = [(i, j) for i in range(k) for j in range(i, k)]
+    sums = [F.sum(tokens).alias("n")] + [F.sum(tokens * p[i] * p[j]).alias(f"m{i}_{j}") for i, j in products]
     sums += [F.sum(tokens * p[i]).alias(f"t{i}") for i in range(k)]
     first = members.agg(*sums).first()
     size = float(first["n"] or 0)
@@ -142,27 +153,81 @@ def rates(members: DataFrame, shares: np.ndarray, keep_all: bool = False, rounds
     moves: list[np.ndarray] = []
     if size == 0:
         return current, moves
-    moments = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            moments[i, j] = moments[j, i] = first[f"m{i}_{j}"] / size
-    step = 1 / max(float(np.linalg.eigvalsh(moments)[-1]), 1e-9)
+
+    def matrix(row) -> np.ndarray:
+        out = np.zeros((k, k))
+        for i, j in products:
+            out[i, j] = out[j, i] = (row[f"m{i}_{j}"] or 0.0) / size
+        return out
+
+    def moved(move: np.ndarray):
+        return F.greatest(F.lit(0.0), F.col("mix_rate") - sum((p[i] * float(move[i]) for i in range(k)), F.lit(0.0)))
+
+    def look(move: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """After a move: distances to the goal, moments of what has a rate above 0, mean square of the rates."""
+        rate, on = F.col("_rate"), F.col("_rate") > 0
+        asked = [F.sum(rate * tokens * p[i]).alias(f"t{i}") for i in range(k)] + [F.sum(F.when(on, tokens * p[i] * p[j])).alias(f"m{i}_{j}") for i, j in products]
+        row = current.withColumn("_rate", moved(move)).agg(*asked, F.sum(rate * rate * tokens).alias("square")).first()
+        return np.array([(row[f"t{i}"] or 0.0) / size for i in range(k)]) - goal, matrix(row), (row["square"] or 0.0) / size
+
+    moments = matrix(first)
+    values = np.linalg.eigvalsh(moments)
+    step = 1 / max(float(values[-1]), 1e-9)
     goal = shares.copy()
     if keep_all:
         goal *= max(first[f"t{i}"] / size / shares[i] for i in range(k) if shares[i] > 0)
+    gap = np.array([first[f"t{i}"] / size for i in range(k)]) - goal
     for turn in range(1, rounds + 1):
-        found = current.agg(*[F.sum(F.col("mix_rate") * tokens * p[i]).alias(f"t{i}") for i in range(k)]).first()
-        gap = np.array([(found[f"t{i}"] or 0.0) / size for i in range(k)]) - goal
         if np.abs(gap).max() <= tolerance * goal.max():
-            break
+            return current, moves
         moves.append(step * gap)
-        move = sum((p[i] * float(step * gap[i]) for i in range(k)), F.lit(0.0))
-        current = current.withColumn("mix_rate", F.greatest(F.lit(0.0), F.col("mix_rate") - move))
+        current, before = current.withColumn("mix_rate", moved(moves[-1])), gap
         if turn % _WRITE_EVERY == 0:
             current = cut_lineage(current)
+        found = current.agg(*[F.sum(F.col("mix_rate") * tokens * p[i]).alias(f"t{i}") for i in range(k)]).first()
+        gap = np.array([(found[f"t{i}"] or 0.0) / size for i in range(k)]) - goal
+        if np.linalg.norm(gap) > SLOW * np.linalg.norm(before):
+            break
+    near, floor = (max(part * float(values[0]), least) for part, least in ((1e-3, 1e-7), (1e-6, 1e-9)))
+    while np.abs(gap).max() > tolerance * goal.max():
+        current, before = cut_lineage(current), gap
+        move, gap = _proximal(look, goal, near)
+        moves.append(move)
+        current = current.withColumn("mix_rate", moved(move))
+        if near <= floor and np.linalg.norm(gap) > 0.99 * np.linalg.norm(before):
+            warnings.warn(f"no rates meet the targets; totals - targets, as shares of the corpus: {np.round(gap, 6).tolist()}", stacklevel=2)
+            break
+        near = max(near / 30, floor)
     return current, moves
 
 
+def _proximal(look, goal: np.ndarray, near: float) -> tuple[np.ndarray, np.ndarray]:
+    """The move x after which the distances to the goal are ``near`` * x, the proximal step of the squared distance, and these distances.
+
+    x minimises half the mean square of the rates after the move + goal . x + near / 2 * x . x, which is convex with the
+    gradient near * x - distances: Newton's method on the moments of the rates above 0, steps halved until they go down.
+    """
+    x = np.zeros(len(goal))
+    gap, moments, square = look(x)
+    value = square / 2
+    for _ in range(NEWTON):
+        slope = near * x - gap
+        if np.abs(slope).max() <= 1e-9 * max(1.0, goal.max()):
+            return x, gap
+        way, length = -np.linalg.solve(moments + near * np.eye(len(goal)), slope), 1.0
+        while True:
+            y = x + length * way
+            new_gap, new_moments, square = look(y)
+            new = square / 2 + goal @ y + near / 2 * y @ y
+            if new <= value + 1e-4 * length * (slope @ way) or np.abs(near * y - new_gap).max() <= 1e-9 * max(1.0, goal.max()):
+                break
+            if length < 1e-6:  # at the limit of the sums' precision
+                return x, gap
+            length /= 2
+        x, value, gap, moments = y, new, new_gap, new_moments
+    raise RuntimeError(f"the rates did not converge in {NEWTON} Newton rounds; distances to the targets {gap.tolist()}")
+
+
 def copies(rate: str, *keys: str):
     """Whole copies of a document: the rate rounded up or down by a hash of its keys."""
     u = F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in keys], F.lit(11)), F.lit(1 << 40)) / float(1 << 40)

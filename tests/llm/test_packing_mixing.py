@@ -89,6 +89,39 @@ def test_rates_reach_targets_and_match_a_local_solution(spark):
     assert kept.agg({"mix_tokens": "sum"}).first()[0] == tokens.sum() and kept.where("mix_rate < 0.2").count() < 25
 
 
+def members_of(spark, p, tokens):
+    frame = pd.DataFrame({"doc_id": range(len(p)), "mix_tokens": tokens, "mix_p": p.tolist()})
+    return cut_lineage(spark.createDataFrame(frame, "doc_id long, mix_tokens long, mix_p array<double>"))
+
+
+@pytest.mark.parametrize("keep_all", [False, True])
+def test_rare_domains_reach_their_targets_by_default(spark, keep_all):
+    rng = np.random.default_rng(5)
+    goal = np.array([0.4, 0.2, 0.2, 0.2])
+    for sharp in (True, False):
+        domain = np.repeat(np.arange(4), [900, 60, 30, 10])
+        p = np.eye(4)[domain] if sharp else 0.8 * np.eye(4)[domain] + 0.2 * rng.dirichlet([0.5] * 4, 1_000) ** 3
+        p /= p.sum(axis=1, keepdims=True)
+        rated, moves = mixing.rates(members_of(spark, p, np.full(1_000, 50)), goal, keep_all=keep_all)
+        got = rated.orderBy("doc_id").toPandas()["mix_rate"].to_numpy()
+        total = got @ p / 1_000
+        wanted = goal * (max(p.mean(axis=0) / goal) if keep_all else 1)
+        assert (np.abs(total - wanted) <= 0.01 * wanted).all() and np.allclose(got, mixing.rate_of(p, moves))
+
+
+def test_targets_out_of_reach_give_the_nearest_totals_and_a_warning(spark):
+    rng = np.random.default_rng(6)
+    p = 0.5 * rng.dirichlet([1.0] * 3, 200) + np.array([0.3, 0.15, 0.05])
+    goal, rate = np.array([0.05, 0.05, 0.9]), np.ones(200)
+    for _ in range(50_000):
+        rate = np.maximum(0, rate - p @ (rate @ p / 200 - goal))
+    with pytest.warns(UserWarning, match="no rates meet the targets"):
+        rated, _ = mixing.rates(members_of(spark, p, np.full(200, 10)), goal)
+    got = rated.orderBy("doc_id").toPandas()["mix_rate"].to_numpy()
+    distance = [np.linalg.norm(r @ p / 200 - goal) for r in (got, rate)]
+    assert distance[0] <= distance[1] + 1e-3 and distance[1] > 0.1
+
+
 def test_memberships_of_odd_documents(spark, odd_docs, no_docs):
     model = mixing.train(["the and of"] * 4 + ["der und die"] * 4, ["en"] * 4 + ["de"] * 4)
     rows = mixing.memberships(odd_docs, model).collect()
