@@ -8,6 +8,10 @@ from one running sum. A 64-bit fingerprint is cut into ``BLOCKS`` blocks: two wi
 ``RADIUS`` differ by at most RADIUS // BLOCKS bits in some block, and the tables list each item
 under every block value so near, so all fingerprints within the radius are found.
 
+Fingerprints of edited or cut items may lie farther apart. So each item also lists its heaviest
+shingles, as many as weigh more than 1 - ``least`` of it: a stretch that lacks all of them
+cannot reach ``least``, so each place of a text that has one is a candidate too, and none is lost.
+
 A candidate is verified exactly: the share of the item's five-word shingles, by weight, that occur in
 the stretch of the text where the item would lie. A shingle weighs log(1 + items /
 items that have it). From ``least`` on it is a hit.
@@ -53,12 +57,22 @@ class Rung:
     entries: list[np.ndarray]
 
 
+@dataclass
+class Anchors:
+    """The shingles of which a hit has one at least: ascending, with their item and place in it."""
+
+    shingle: np.ndarray
+    item: np.ndarray
+    offset: np.ndarray
+
+
 @dataclass
 class Index:
     rungs: list[Rung]
     ids: list
     lengths: np.ndarray
     shingles: list[dict[int, float]]  # weight of each shingle of an item
+    anchors: dict[int, Anchors]  # by words in a shingle
 
 
 def _ladder(shortest: int, longest: int) -> list[int]:
@@ -97,7 +111,7 @@ def _near(width: int, radius: int) -> np.ndarray:
     return np.array([sum(1 << b for b in bits) for r in range(radius + 1) for bits in combinations(range(width), r)], np.int64)
 
 
-def build(ids: list, texts: list[str]) -> Index:
+def build(ids: list, texts: list[str], least: float = LEAST) -> Index:
     w = words(pa.array(texts, pa.large_string()), NOT_ALNUM, lower=True)
     counts = w.counts
     used = np.flatnonzero(counts > 0)
@@ -133,7 +147,24 @@ def build(ids: list, texts: list[str]) -> Index:
             starts.append(np.searchsorted(around[order], np.arange((1 << _WIDTH) + 1)))
             entries.append(entry[order])
         rungs.append(Rung(int(length), fingerprint, np.concatenate(item), np.concatenate(offset), starts, entries))
-    return Index(rungs, [ids[k] for k in used], lengths, weights)
+    return Index(rungs, [ids[k] for k in used], lengths, weights, _anchors(sequences, weights, least))
+
+
+def _anchors(sequences: list[np.ndarray], weights: list[dict[int, float]], least: float) -> dict[int, Anchors]:
+    found: dict[int, list[tuple[int, int, int]]] = {}
+    for i, (s, own) in enumerate(zip(sequences, weights)):
+        spare, chosen = (1 - least + 1e-9) * sum(own.values()), set()
+        for g, v in sorted(own.items(), key=lambda x: (-x[1], x[0])):
+            chosen.add(g)
+            spare -= v
+            if spare < 0:
+                break
+        found.setdefault(min(SHINGLE, len(s)), []).extend((g, i, k) for k, g in enumerate(_shingles(s).tolist()) if g in chosen)
+    out = {}
+    for size, rows in found.items():
+        rows.sort()
+        out[size] = Anchors(np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows]), np.array([r[2] for r in rows]))
+    return out
 
 
 def _shingles(hashes: np.ndarray) -> np.ndarray:
@@ -166,6 +197,24 @@ def hits(column: pa.Array, index: Index, least: float) -> list[tuple[int, int, i
     sums = _votes(w.hashes, index.rungs[-1].length)
     counts, best = w.counts, {}
     rows = np.flatnonzero(counts)
+    done = set()
+
+    def verify(r: int, i: int, start: int, stride: int) -> None:
+        """Take the stretch of text r where item i would lie that begins about ``start``."""
+        low = max(0, start - stride)
+        high = min(int(counts[r]), start + int(index.lengths[i]) + stride)
+        if (r, i, low, high) in done:
+            return
+        done.add((r, i, low, high))
+        base = int(w.first[r])
+        wanted = index.shingles[i]
+        size = min(SHINGLE, int(index.lengths[i]))
+        there = set(grams(w.hashes[base + low : base + high], size).tolist())
+        # rounded, so that a share of just ``least`` counts however its sum was rounded
+        share = round(sum(v for g, v in wanted.items() if g in there) / sum(wanted.values()), 12)
+        if share >= least and ((r, i) not in best or (share, -low) > (best[r, i][2], -best[r, i][0])):
+            best[r, i] = (low, high - low, share)
+
     for rung in index.rungs:
         length, stride = rung.length, max(1, rung.length // STRIDE)
         n = counts[rows]
@@ -175,21 +224,21 @@ def hits(column: pa.Array, index: Index, least: float) -> list[tuple[int, int, i
         start = np.minimum(start, np.maximum(counts[row] - length, 0))
         first = w.first[row] + start
         window, entry = _near_entries(prints(sums, first, first + np.minimum(length, counts[row])), rung)
-        done = set()
         for k, e in zip(window.tolist(), entry.tolist()):
-            r, i = int(row[k]), int(rung.item[e])
-            low = max(0, int(start[k]) - int(rung.offset[e]) - stride)
-            high = min(int(counts[r]), int(start[k]) - int(rung.offset[e]) + int(index.lengths[i]) + stride)
-            if (r, i, low) in done:
-                continue
-            done.add((r, i, low))
-            base = int(w.first[r])
-            wanted = index.shingles[i]
-            size = min(SHINGLE, int(index.lengths[i]))
-            there = set(grams(w.hashes[base + low : base + high], size).tolist())
-            share = sum(v for g, v in wanted.items() if g in there) / sum(wanted.values())
-            if share >= least and ((r, i) not in best or (share, -low) > (best[r, i][2], -best[r, i][0])):
-                best[r, i] = (low, high - low, share)
+            verify(int(row[k]), int(rung.item[e]), int(start[k]) - int(rung.offset[e]), stride)
+    for size, anchors in index.anchors.items():
+        there = grams(w.hashes, size)
+        begin = np.searchsorted(anchors.shingle, there)
+        at = np.flatnonzero(anchors.shingle[np.minimum(begin, len(anchors.shingle) - 1)] == there)
+        text = np.searchsorted(w.first, at, side="right") - 1
+        inside = at + size <= w.first[text + 1]
+        at, text, begin = at[inside], text[inside], begin[at[inside]]
+        many = np.searchsorted(anchors.shingle, there[at], side="right") - begin
+        ends = np.cumsum(many)
+        entry = np.repeat(begin - (ends - many), many) + np.arange(many.sum())
+        begins = np.repeat(at - w.first[text], many) - anchors.offset[entry]
+        for r, i, start in zip(np.repeat(text, many).tolist(), anchors.item[entry].tolist(), begins.tolist()):
+            verify(r, i, start, max(1, int(index.lengths[i]) // STRIDE))
     return [(r, i, *v) for (r, i), v in sorted(best.items())]
 
 
@@ -204,7 +253,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, key:
     for k in range(passes):
         # a hash deals items a little unevenly; half a pass to spare keeps within the bound in practice
         part = known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k).orderBy("item_id", "text").toPandas()
-        found = _pass(source, build(list(part["item_id"]), list(part["text"])), least, key, schema)
+        found = _pass(source, build(list(part["item_id"]), list(part["text"]), least), least, key, schema)
         out = found if out is None else out.union(found)
     if passes == 1:
         return out

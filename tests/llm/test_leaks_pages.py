@@ -3,6 +3,7 @@ import random
 import re
 
 import duckdb
+import pyarrow as pa
 
 from starloom.llm import decontaminate, html_extract, queries
 
@@ -53,6 +54,30 @@ def test_planted_passages_with_edits_and_clean_texts(spark):
     assert {(r.doc_id, r.item_id, r.similarity) for r in parts.collect()} == {(r.doc_id, r.item_id, r.similarity) for r in found.collect()}
 
 
+def test_cut_and_edited_items_are_found_as_by_brute_force():
+    random.seed(11)
+    vocabulary = [f"v{k}" for k in range(3_000)]
+    for length in (5, 12, 24, 48, 60, 100, 200):
+        items = [random.choices(vocabulary, k=length) for _ in range(40)]
+        texts = []
+        for k, item in enumerate(items):
+            part = list(item)
+            if k % 3 == 0:
+                part = part[: round(0.86 * length)]
+            elif k % 3 == 1:
+                part = part[length - round(0.84 * length) :]
+            else:
+                for at in random.sample(range(length), max(1, length // 29)):
+                    part[at] = "edited"
+            around = random.choices(vocabulary, k=150)
+            texts.append(around[:70] + part + around[70:])
+        found = decontaminate.hits(pa.array([" ".join(t) for t in texts], pa.large_string()), decontaminate.build(list(range(40)), [" ".join(x) for x in items]), 0.8)
+        weighted = [decontaminate.build([0], [" ".join(x)]) for x in items]
+        assert all(len(x.rungs) == 1 and x.rungs[0].length == length for x in weighted)
+        expected = {(d, i) for d, t in enumerate(texts) for i, x in enumerate(items) for s in [shingles(x)] if len(s & shingles(t)) >= 0.8 * len(s)}
+        assert {(r, i) for r, i, *_ in found} == expected and (len(expected) > 5 or length < 24)
+
+
 def test_odd_documents_and_benchmarks(spark, odd_docs, no_docs):
     benchmark = spark.createDataFrame([(1, "ALPHA beta, gamma delta epsilon zeta eta theta"), (1, "alpha beta"), (2, None)], "item_id int, text string")
     rows = decontaminate.find_leaks(odd_docs, benchmark).collect()
