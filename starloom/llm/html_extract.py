@@ -9,7 +9,8 @@ of its own. The minimum cut, found by maximum flow, is the cheapest labelling; b
 content side are the text.
 
 Defined results: null, empty and text-free html give an empty text. Markup that is not closed
-ends with the page; "<" that starts no tag is text. Character references are decoded, white
+ends with the page, a head with the first thing that cannot be in it, and only a closed
+svg, object or select is left out; formulas are text. "<" that starts no tag is text. Character references are decoded, white
 space within a block becomes one space, blocks are joined by one newline. Pages are read whole,
 one by one; repeated rows give repeated results.
 """
@@ -28,7 +29,7 @@ from starloom.llm.words import extended, pieces
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|svg|math|iframe|object|select|head)(?=[\s>/])(?>\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|noscript|template|textarea|iframe|title)(?=[\s>/])(?>\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?>\"[^\"]*\"|'[^']*'|[^'\">])*)>"
     r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest2>[^>]*)>"
     r"|<[!?][^>]*>",
@@ -42,6 +43,12 @@ _SPLIT = re.compile(r"[^a-z]+")
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr output picture q rp rt ruby s samp small source span strike strong sub sup time tt u var wbr".split()
 )
+#: Formulas run within a line; what annotates them is not shown.
+MATH = frozenset("math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics annotation annotation-xml".split())
+#: May stand within a paragraph; their text is none of the page's once they are closed.
+EMBEDDED = frozenset("svg object select".split())
+#: All that can be in a head, besides what is read raw.
+IN_HEAD = frozenset("html head base link meta".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ENDS_ITSELF = {"p": "p", "li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}
 #: What an open item may not be closed across.
@@ -57,6 +64,7 @@ AWAY_NAMES = frozenset(
 HOME_NAMES = frozenset("article content post entry main story articlebody".split())
 
 AWAY_SCORE, HOME_SCORE, AWAY_NAME_SCORE, HOME_NAME_SCORE, PROSE_SCORE = -6.0, 2.5, -6.0, 1.0, 0.8
+EMBEDDED_SCORE = -12.0
 NEIGHBOUR, CONTAINER = 0.8, 0.3
 
 
@@ -71,11 +79,23 @@ def blocks(html: str) -> list[Block]:
     """Text blocks in page order. A path is a tuple of (serial number, tag, score of its names)."""
     out: list[Block] = []
     path: list[tuple[int, str, float]] = []
-    current, anchors, serial, at = None, 0, 0, 0
+    current, anchors, serial, at, muted, deep = None, 0, 0, 0, False, 0
+    ended_by_tag: set[int] = set()
+
+    def cut(k: int) -> None:
+        nonlocal deep
+        deep -= sum(x[1] in EMBEDDED for x in path[k:])
+        del path[k:]
+
+    def leave_head() -> None:
+        if path and path[-1][1] == "head":
+            path.pop()
 
     def add(piece: str) -> None:
         nonlocal current
-        if piece:
+        if piece and not muted:
+            if not piece.isspace():
+                leave_head()
             if current is None:
                 current = Block(tuple(path))
                 out.append(current)
@@ -91,20 +111,31 @@ def blocks(html: str) -> list[Block]:
                 current = None
             continue
         tag, close, rest = tag.lower(), m["close"] or m["close2"], m["rest"] or m["rest2"] or ""
+        if not close and tag not in IN_HEAD:
+            leave_head()
+        if tag in MATH:
+            ends = close and (tag == "math" or tag.startswith("annotation"))
+            muted = not ends and (muted or tag.startswith("annotation"))
+            continue
+        muted = False
         if tag in INLINE:
             if tag == "a":
                 anchors = 0 if close else 1
             elif tag == "br":
                 add(" ")
             continue
-        current, anchors = None, 0
+        current = None
+        if tag not in EMBEDDED and (not deep or tag in PROSE):
+            anchors = 0
         if close:
             for k in range(len(path) - 1, -1, -1):
                 if path[k][1] == tag:
-                    del path[k:]
+                    if tag in EMBEDDED:
+                        ended_by_tag.add(path[k][0])
+                    cut(k)
                     break
             continue
-        if path and path[-1][1] == "p":
+        if path and path[-1][1] == "p" and tag not in EMBEDDED:
             path.pop()
         ended = ENDS_ITSELF.get(tag, "").split()
         if ended and tag != "p":
@@ -113,13 +144,16 @@ def blocks(html: str) -> list[Block]:
                 if path[k][1] in stop:
                     break
                 if path[k][1] in ended:
-                    del path[k:]
+                    cut(k)
                     break
         if tag not in VOID and not rest.endswith("/"):
             serial += 1
             path.append((serial, tag, _name_score(rest)))
+            deep += tag in EMBEDDED
     add(html[at:])
     for b in out:
+        if ended_by_tag:
+            b.path = tuple((k, tag, names + EMBEDDED_SCORE * (k in ended_by_tag)) for k, tag, names in b.path)
         b.text = " ".join(unescape("".join(b.parts)).split())
     return [b for b in out if b.text]
 

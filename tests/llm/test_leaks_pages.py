@@ -112,6 +112,20 @@ def test_page_with_everything_around_the_article():
     )
 
 
+def test_elements_left_open_take_nothing_with_them():
+    text = "A paragraph of the article that is long enough to be told as content by anyone."
+    page = f"<article><p>{text}<p>{text}</article>"
+    for before in ("<html><head><title>T</title><body>", "<html><head><meta charset=utf-8><style>p{}</style><title>T</title>", "<head><link rel=x><script>1</script>"):
+        assert html_extract.main_text(before + page) == f"{text}\n{text}"
+    for tag in ("select", "svg", "object", "math"):
+        assert html_extract.main_text(f"<body><{tag}>" + page) == f"{text}\n{text}"
+        assert html_extract.main_text(f"<article><p>{text}<{tag}></p><p>{text}</p></article>") == f"{text}\n{text}"
+    shut = f"<article><p>{text} <svg><g><text>Label</text></g></svg></p><object data=x>Get the plugin</object><select><option>One<option>Two</select><p>{text}</p></article>"
+    assert html_extract.main_text(shut) == f"{text}\n{text}"
+    formula = f"<article><p>{text} So <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding=tex>x = 2</annotation></semantics></math> holds.</p></article>"
+    assert html_extract.main_text(formula) == f"{text} So x=2 holds."
+
+
 def test_cut_is_the_cheapest_labelling():
     random.seed(10)
     for _ in range(60):
