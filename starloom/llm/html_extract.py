@@ -62,6 +62,10 @@ AWAY_NAMES = frozenset(
     " footer header masthead copyright toolbar pager pagination skip search complementary contentinfo form teaser".split()
 )
 HOME_NAMES = frozenset("article content post entry main story articlebody".split())
+#: What heads an article where its class also names one, such as entry-header.
+HEADS = frozenset("header masthead banner".split())
+#: A class with such a part tells the state of the page, such as has-sidebar or comments-open.
+STATES = frozenset("has no with without open closed".split())
 
 AWAY_SCORE, HOME_SCORE, AWAY_NAME_SCORE, HOME_NAME_SCORE, PROSE_SCORE = -6.0, 2.5, -6.0, 1.0, 0.8
 EMBEDDED_SCORE = -12.0
@@ -79,12 +83,13 @@ def blocks(html: str) -> list[Block]:
     """Text blocks in page order. A path is a tuple of (serial number, tag, score of its names)."""
     out: list[Block] = []
     path: list[tuple[int, str, float]] = []
-    current, anchors, serial, at, muted, deep = None, 0, 0, 0, False, 0
+    current, anchors, serial, at, muted, deep, homes = None, 0, 0, 0, False, 0, 0
     ended_by_tag: set[int] = set()
 
     def cut(k: int) -> None:
-        nonlocal deep
+        nonlocal deep, homes
         deep -= sum(x[1] in EMBEDDED for x in path[k:])
+        homes -= sum(x[1] in HOME for x in path[k:])
         del path[k:]
 
     def leave_head() -> None:
@@ -148,29 +153,60 @@ def blocks(html: str) -> list[Block]:
                     break
         if tag not in VOID and not rest.endswith("/"):
             serial += 1
-            path.append((serial, tag, _name_score(rest)))
+            path.append((serial, tag, 0.0 if tag in ("html", "body") else _name_score(rest, homes > 0)))
+            homes += tag in HOME
             deep += tag in EMBEDDED
     add(html[at:])
     for b in out:
-        if ended_by_tag:
-            b.path = tuple((k, tag, names + EMBEDDED_SCORE * (k in ended_by_tag)) for k, tag, names in b.path)
         b.text = " ".join(unescape("".join(b.parts)).split())
-    return [b for b in out if b.text]
+    found = [b for b in out if b.text]
+    holders = _holders(found)
+    if ended_by_tag or holders:
+        for b in found:
+            b.path = tuple((k, tag, (max(names, 0.0) if k in holders else names) + EMBEDDED_SCORE * (k in ended_by_tag)) for k, tag, names in b.path)
+    return found
 
 
-def _name_score(attributes: str) -> float:
+def _name_score(attributes: str, inside: bool) -> float:
     if not attributes:
         return 0.0
     score = AWAY_NAME_SCORE if _HIDDEN.search(attributes) else 0.0
     for m in _NAMES.finditer(attributes):
-        names = set(_SPLIT.split((m[1] or m[2] or m[3] or "").lower()))
-        if names & AWAY_NAMES:
-            score += AWAY_NAME_SCORE
-        elif names & HOME_NAMES:
-            score += HOME_NAME_SCORE
+        score += _value_score((m[1] or m[2] or m[3] or "").lower(), inside)
     return score
 
 
+def _value_score(value: str, inside: bool) -> float:
+    """A class that is wholly an AWAY name decides, then one with a HOME name, then one with an AWAY part."""
+    home = part = False
+    for name in value.split():
+        parts = set(_SPLIT.split(name)) - {""}
+        away = parts & AWAY_NAMES
+        if away and away == parts:
+            return AWAY_NAME_SCORE
+        if parts & HOME_NAMES and (not away or inside and away <= HEADS):
+            home = True
+        elif away and not parts & STATES:
+            part = True
+    return HOME_NAME_SCORE if home else AWAY_NAME_SCORE if part else 0.0
+
+
+def _holders(found: list[Block]) -> set[int]:
+    """The elements around a main or around the article with most text: their names do not tell what is in these."""
+    sizes: dict[int, int] = {}
+    around: dict[int, tuple[str, list[int]]] = {}
+    for b in found:
+        for k, (serial, tag, _) in enumerate(b.path):
+            if tag in HOME:
+                sizes[serial] = sizes.get(serial, 0) + len(b.text)
+                around.setdefault(serial, (tag, [x[0] for x in b.path[:k]]))
+                if tag == "article":
+                    break
+    articles = [x for x in around if around[x][0] == "article"]
+    chosen = [x for x in around if around[x][0] == "main"] + ([max(articles, key=lambda x: (sizes[x], -x))] if articles else [])
+    return {x for c in chosen for x in around[c][1]}
+
+
 def score(block: Block) -> float:
     """The classifier: above 0 speaks for content."""
     total, inside = -0.4 if block.path else 0.2, False

@@ -126,6 +126,20 @@ def test_elements_left_open_take_nothing_with_them():
     assert html_extract.main_text(formula) == f"{text} So x=2 holds."
 
 
+def test_names_are_scored_for_the_block_they_delimit():
+    text = "A paragraph of the article that is long enough to be told as content by anyone."
+    article = f'<article class="post has-comments"><header class="entry-header"><h1 class="entry-header">Title</h1></header><div class="entry-header"><h2>Second title</h2></div><p>{text}</p><p>{text}</p><div class="share">Share this</div></article>'
+    whole = f"Title\nSecond title\n{text}\n{text}"
+    comments = '<div id="comments"><article class="comment"><p>Nice article, I really liked reading it!</p></article></div><div class="related"><article><p>Another long story that is somewhere else</p></article></div>'
+    for body in ('<body class="single has-sidebar">', '<body class="sidebar">', "<body id=main class='no-sidebar'>"):
+        for wrapper in ('<div class="wrap">', '<div class="sidebar-left widget">', '<div class="entry comments-open">', '<div class="subscribe"><main>'):
+            assert html_extract.main_text(f"{body}{wrapper}{article}</main></div>{comments}") == whole
+    for wrapper in ("entry comments-open", "content ad-free", "wrap has-sidebar", "menu-open page"):
+        assert html_extract.main_text(f'<body><div class="{wrapper}"><p>{text}</p><p>{text}</p></div><div class="main-menu"><p>{text}</p></div>') == f"{text}\n{text}"
+    for away in ("ad", "post-ad", "cookie-notice", "entry comment", "site-header"):
+        assert html_extract.main_text(f'<body><article><p>{text}</p><div class="{away}">Words that are none of the article</div></article>') == text
+
+
 def test_cut_is_the_cheapest_labelling():
     random.seed(10)
     for _ in range(60):
