@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, embedding_dedup, html_extract, language_id, mixing, ngram_join, quality, substring_dedup, token_packing, toxicity
+from starloom.llm import decontaminate, embedding_dedup, html_extract, language_id, line_dedup, mixing, ngram_join, quality, substring_dedup, token_packing, toxicity
 from starloom.llm.words import crc_fold
 from starloom.runtime import cut_lineage
 
@@ -176,3 +176,26 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.array(*[F.lit(d) for d in model.domains])
     best = F.when(F.col("mix_tokens") > 0, names[F.array_position("mix_p", F.array_max("mix_p")).cast("int") - 1])
     return rated.select("doc_id", F.col("mix_tokens").alias("n_tokens"), best.alias("domain"), F.col("mix_p").alias("membership"), F.col("mix_rate").alias("rate"), mixing.copies("mix_rate", "doc_id").alias("copies"))
+
+
+@query
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLE["op12_line_dedup"] = r"""
+WITH split AS (
+    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
+), line AS (
+    SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS p FROM split
+), keyed AS (
+    SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM line
+), judged AS (
+    SELECT *, length(key) >= 10 AND doc_id <> min(doc_id) OVER (PARTITION BY key) AS gone FROM keyed
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
