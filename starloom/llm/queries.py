@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, embedding_dedup, html_extract, language_id, line_dedup, mixing, ngram_join, quality, substring_dedup, token_packing, toxicity
+from starloom.llm import conversation_trie, decontaminate, embedding_dedup, html_extract, language_id, line_dedup, mixing, ngram_join, quality, substring_dedup, token_packing, toxicity
 from starloom.llm.words import crc_fold
 from starloom.runtime import cut_lineage
 
@@ -199,3 +199,67 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """
+
+
+def _crc_table() -> str:
+    """CRC-32 of the 16 values of four bits, as an SQL list."""
+    table = []
+    for v in range(16):
+        for _ in range(4):
+            v = v >> 1 ^ (0xEDB88320 if v & 1 else 0)
+        table.append(v)
+    return str(table)
+
+
+def crc_sql(text: str) -> str:
+    """crc32 of the UTF-8 bytes of a text in SQL: four bits a step, the lower ones of each byte first."""
+    digits = f"hex(encode({text}))"
+    bits = f"list_transform(range(length({digits})), lambda i: instr('0123456789ABCDEF', substr({digits}, 2 * (i // 2) + 2 - i % 2, 1)) - 1)"
+    step = f"xor(c >> 4, list_extract({_crc_table()}::BIGINT[], (xor(c, v) & 15) + 1))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bits}), lambda c, v: {step}), 4294967295)"
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = cut_lineage(conversation_trie.ordered_turns(table(spark, sf_dir, "conversations")))
+    return conversation_trie.trie(conversation_trie.rebuilt(turns, block=100, heads=6))
+
+
+#: Every prefix of every conversation as a list of its turns.
+ORACLE["op13_conversation_trie"] = rf"""
+WITH turn AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), conv AS (
+    SELECT conv_id, count(*) AS n, conv_id - conv_id % 100 AS base, {crc_sql("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM turn GROUP BY conv_id
+), part AS (
+    SELECT c.conv_id, 0 AS side, t.pos, t.role, t.text FROM conv c JOIN turn t ON t.conv_id = c.base AND t.pos < c.h
+    UNION ALL
+    SELECT c.conv_id, 1, t.pos, t.role, t.text FROM conv c JOIN turn t ON t.conv_id = c.conv_id AND t.pos >= c.h
+), path AS (
+    SELECT c.conv_id, coalesce(list({{'role': p.role, 'text': p.text}} ORDER BY p.side, p.pos) FILTER (WHERE p.side IS NOT NULL), []) AS turns
+    FROM conv c LEFT JOIN part p ON p.conv_id = c.conv_id GROUP BY c.conv_id
+), member AS (
+    SELECT conv_id, depth, list_slice(turns, 1, depth) AS prefix, len(turns) = depth AS ending
+    FROM (SELECT *, unnest(range(len(turns) + 1)) AS depth FROM path)
+), node AS (
+    SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ending), '')) AS ends_sha256
+    FROM member GROUP BY prefix, depth
+), edge AS (
+    SELECT p.prefix, p.conv_id AS parent_conv_id, n.prefix AS child FROM node n JOIN node p ON p.depth = n.depth - 1 AND p.prefix = list_slice(n.prefix, 1, n.depth - 1)
+), many AS (
+    SELECT prefix, count(*) AS n_children FROM edge GROUP BY prefix
+), value AS (
+    SELECT n.prefix, n.depth, CASE WHEN many.n_children IS NULL THEN 1 ELSE 0 END AS leaf,
+           CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * length(n.prefix[n.depth].text) END AS saved
+    FROM node n LEFT JOIN many ON many.prefix = n.prefix
+), sums AS (
+    SELECT list_slice(prefix, 1, d) AS prefix, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens
+    FROM (SELECT *, unnest(range(depth + 1)) AS d FROM value) GROUP BY 1
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, edge.parent_conv_id, n.n_convs, coalesce(many.n_children, 0) AS n_children,
+       CAST(sums.n_leaves AS BIGINT) AS n_leaves, CAST(sums.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM node n JOIN sums ON sums.prefix = n.prefix LEFT JOIN many ON many.prefix = n.prefix LEFT JOIN edge ON edge.child = n.prefix
+"""
