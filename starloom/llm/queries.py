@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import conversation_trie, decontaminate, embedding_dedup, html_extract, language_id, line_dedup, mixing, ngram_join, quality, substring_dedup, token_packing, toxicity
+from starloom.llm import conversation_trie, decontaminate, embedding_dedup, html_extract, language_id, line_dedup, mixing, ngram_join, quality, spelling, substring_dedup, token_packing, toxicity
 from starloom.llm.words import crc_fold
 from starloom.runtime import cut_lineage
 
@@ -263,3 +263,44 @@ SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, edge.parent_conv_id, n.n_con
        CAST(sums.n_leaves AS BIGINT) AS n_leaves, CAST(sums.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
 FROM node n JOIN sums ON sums.prefix = n.prefix LEFT JOIN many ON many.prefix = n.prefix LEFT JOIN edge ON edge.child = n.prefix
 """
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+#: Near words by the texts that remain when one code point of each is left out.
+ORACLE["op11_spelling_variants"] = rf"""
+WITH RECURSIVE run AS (
+    SELECT doc_id, run, count(*) AS n FROM (
+        SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+        FROM documents
+    ) WHERE length(run) >= 5 GROUP BY doc_id, run
+), hashed AS (
+    SELECT run, n, {crc_sql("(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)")} AS h FROM run
+), counts AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+        SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed
+    ) WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), less AS (
+    SELECT word, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS p FROM counts)
+), near AS (
+    SELECT a.word, b.word AS other FROM less a JOIN less b ON a.rest = b.rest AND a.p = b.p AND a.word <> b.word
+    UNION
+    SELECT less.word, counts.word FROM less JOIN counts ON counts.word = less.rest
+    UNION
+    SELECT counts.word, less.word FROM less JOIN counts ON counts.word = less.rest
+), best AS (
+    SELECT near.word, count(*) AS n_near, first(c.word ORDER BY c.n DESC, c.word) AS other, max(c.n) AS other_n
+    FROM near JOIN counts c ON c.word = near.other GROUP BY near.word
+), formed AS (
+    SELECT c.word, c.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.other_n >= 2 * c.n THEN b.other END AS form, CASE WHEN b.other_n >= 2 * c.n THEN b.other_n END AS form_n
+    FROM counts c LEFT JOIN best b ON b.word = c.word
+), chain(word, root, form) AS (
+    SELECT word, word, form FROM formed
+    UNION ALL
+    SELECT chain.word, formed.word, formed.form FROM chain JOIN formed ON formed.word = chain.form
+)
+SELECT f.word, f.form, chain.root, f.n, f.n_near, f.form_n FROM formed f JOIN chain ON chain.word = f.word AND chain.form IS NULL
+"""
