@@ -3,11 +3,14 @@
 Each stage takes (spark, docs, sf_dir) and works on what the stage before kept;
 all but the last return the columns of ``documents``. Rows that an operator
 cannot judge follow its docstring: texts without a word fall to the quality stage,
-a null id is an id of its own, extra columns travel along.
+a null id is an id of its own. Extra columns travel along under private names, so
+no column of an operator takes the place of one of theirs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,20 +18,32 @@ from starloom.llm import decontaminate, mixing, ngram_join, quality, queries, to
 from starloom.runtime import cut_lineage
 
 
+#: What operators read; all other columns are out of their sight.
+READ = ("doc_id", "text", "lang")
+
+
+def _apart(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows of ``stage(docs)`` with the columns of ``docs``, those that no operator reads untouched."""
+    hidden = {c: f"_document_column_{k}" for k, c in enumerate(docs.columns) if c not in READ}
+    out = stage(docs.withColumnsRenamed(hidden))
+    return out.select(*[F.col(hidden.get(c, c)).alias(c) for c in docs.columns])
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ordinal regression expects to be of grade 1 or more."""
     model = queries.quality_model(spark, sf_dir, docs.select("doc_id", "text"))
-    return quality.score(docs, model).where("keep").select(*docs.columns)
+    return _apart(docs, lambda rows: quality.score(rows, model).where("keep"))
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that five-word shingles link at a Jaccard similarity of 0.8 or more."""
-    return ngram_join.one_of_each(docs)
+    return _apart(docs, ngram_join.one_of_each)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return decontaminate.without_leaks(docs, queries.table(spark, sf_dir, "benchmark"))
+    items = queries.table(spark, sf_dir, "benchmark")
+    return _apart(docs, lambda rows: decontaminate.without_leaks(rows, items))
 
 
 def mix_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +51,12 @@ def mix_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     model = queries.language_model(spark, sf_dir, docs)
     members = cut_lineage(mixing.memberships(docs, model, keep=["doc_id"]))
     _, moves = mixing.rates(members, mixing.spread(queries.LANGUAGE_TARGETS, model.domains), keep_all=True)
-    rated = mixing.memberships(docs, model, moves=moves)
     times = F.greatest(F.lit(1), mixing.copies("mix_rate", "doc_id", "text"))
-    return rated.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)
+
+    def repeated(rows: DataFrame) -> DataFrame:
+        return mixing.memberships(rows, model, moves=moves).withColumn("mix_copy", F.explode(F.sequence(F.lit(1), times)))
+
+    return _apart(docs, repeated)
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

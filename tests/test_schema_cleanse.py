@@ -121,13 +121,14 @@ def test_star_schema(spark):
     assert rows(star.check_lengths(shaped, "DimProduct")) == [("Size", 1)]
 
 
-def test_jdbc_job_passes_names_through(spark, monkeypatch):
+def test_jdbc_job_passes_names_splits_and_partitions_through(spark, monkeypatch):
     from starloom.plans import cleanse_job
-    from starloom.sources.jdbc import JdbcTarget
+    from starloom.sources.jdbc import JdbcTarget, Split
 
     seen = []
-    monkeypatch.setattr(cleanse_job, "read_jdbc", lambda s, t, name: seen.append(name) or spark.range(2))
-    monkeypatch.setattr(cleanse_job, "write_jdbc", lambda df, t, name, mode: seen.append((name, mode, df.count())))
-    status = cleanse_job.cleanse_over_jdbc(spark, JdbcTarget("u", "a", "b"), "DimA, DimB")
-    assert seen == ["staging.DimA", ("dwh.DimA", "overwrite", 2), "staging.DimB", ("dwh.DimB", "overwrite", 2)]
+    monkeypatch.setattr(cleanse_job, "read_jdbc", lambda s, t, name, split: seen.append((name, split)) or spark.range(2))
+    monkeypatch.setattr(cleanse_job, "write_jdbc", lambda df, t, name, mode, parts: seen.append((name, mode, parts, df.count())))
+    split = Split("id", 1, 100, 4)
+    status = cleanse_job.cleanse_over_jdbc(spark, JdbcTarget("u", "a", "b"), "DimA, DimB", splits={"DimB": split}, write_partitions=3)
+    assert seen == [("staging.DimA", None), ("dwh.DimA", "overwrite", 3, 2), ("staging.DimB", split), ("dwh.DimB", "overwrite", 3, 2)]
     assert status.count() == 2
