@@ -1,7 +1,9 @@
+from collections import Counter
+
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from starloom.llm import queries
+from starloom.llm import mixing, queries
 from tests.llm.test_duplicates import sets_by_definition, smallest_reachable
 from tests.llm.test_leaks_pages import shingles, tokens
 
@@ -35,12 +37,37 @@ def test_stages_take_effect_on_what_the_one_before_kept(spark, tmp_path):
     assert corpus_pipeline.run(spark, SF).agg(F.sum("n_tokens")).first()[0] == sum(r.n_tokens for r in kept["token_packing"])
 
 
+def held_columns(df):
+    """How often each combination of values occurs in the columns that no stage may change, with their types."""
+    extra = [c for c in df.columns if c not in ("doc_id", "text", "lang")]
+    return [(f.name, f.dataType) for f in df.select(extra).schema], Counter(map(repr, df.select("doc_id", *extra).collect()))
+
+
+def tokens_wanted(spark, docs):
+    """Words of a mixture that meets the targets and cuts no language, worked out from the memberships alone."""
+    model = queries.language_model(spark, SF, docs)
+    shares = mixing.spread(queries.LANGUAGE_TARGETS, model.domains)
+    rows = mixing.memberships(docs, model, keep=["doc_id"]).collect()
+    return max(sum(r.mix_tokens * r.mix_p[k] for r in rows) / share for k, share in enumerate(shares) if share > 0)
+
+
 def test_odd_documents_pass_every_stage(spark, odd_docs, no_docs):
     for docs in (odd_docs, no_docs):
-        many = docs.count()
+        types, before = held_columns(docs)
+        words_before = docs.select(F.sum(F.size(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))))).first()[0] or 0
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, docs, SF)
             if name == "token_packing":
-                assert (out.count() > 0) == (many > 0)
-            else:
-                assert out.columns == docs.columns and out.count() <= 10 * many
+                assert (out.count() > 0) == bool(before)
+                continue
+            assert out.columns == docs.columns
+            after_types, after = held_columns(out)
+            assert after_types == types and set(after) <= set(before)
+            if name != "mixing":
+                assert all(n <= before[row] for row, n in after.items())
+                continue
+            # every document stays; how often each is repeated follows from the targets, so the total is bounded by theirs
+            assert set(after) == set(before)
+            words_after = out.select(F.sum(F.size(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))))).first()[0] or 0
+            wanted = tokens_wanted(spark, docs) if before else 0
+            assert words_before <= words_after <= 1.05 * wanted + 2 * words_before
