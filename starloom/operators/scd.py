@@ -119,6 +119,7 @@ def merge_stats(changes: DataFrame) -> DataFrame:
 def scd1_merge(target: DataFrame, staging: DataFrame, spec: DimensionSpec, numbered: DataFrame | None = None) -> DataFrame:
     """Type-1 merge: changed attributes are overwritten in place, new keys are added, no history.
 
+    A row that does not start after the current one is late and changes nothing, as in a type-2 merge.
     ``StartDate`` moves only with a real change, so merging the same batch twice gives the same table.
     """
     keys = list(spec.business_keys)
@@ -126,7 +127,8 @@ def scd1_merge(target: DataFrame, staging: DataFrame, spec: DimensionSpec, numbe
     current = current_rows(target, spec.end)
     t, s = current.alias("t"), newest.withColumn("_hit", F.lit(True)).alias("s")
     on = [F.col(f"s.`{k}`") == F.col(f"t.`{k}`") for k in keys]
-    take = F.col("s._hit").isNotNull() & any_differs(spec.tracked, "s", "t")
+    newer = F.col(f"s.`{spec.start}`") > F.col(f"t.`{spec.start}`")
+    take = F.col("s._hit").isNotNull() & newer & any_differs(spec.tracked, "s", "t")
     columns = []
     for c in spec.columns:
         old = F.col(f"t.`{c}`")

@@ -123,9 +123,11 @@ def dim_customer(src: Sources, since=None) -> DataFrame:
         emails.select("BusinessEntityID", "EmailAddress", F.col("ModifiedDate").alias("EmailDate")),
         ["BusinessEntityID"], "EmailDate", [F.col("EmailAddress").asc_nulls_first()],
     )
-    address = latest_per_key(addresses, ["BusinessEntityID"], "AddressDate", [F.col("AddressID")]).select(
+    # a link that is newer than everything it leads to starts a version of its own: the customer moved
+    located = latest_per_key(addresses, ["BusinessEntityID"], "AddressDate", [F.col("AddressID"), F.col("LinkDate").desc_nulls_last()])
+    address = located.select(
         "BusinessEntityID", "AddressLine1", "City", "StateProvinceName", "CountryRegionName",
-        "AddressDate", "StateDate", "CountryDate",
+        "AddressDate", "StateDate", "CountryDate", "LinkDate",
     )
     base = (
         persons.withColumnRenamed("ModifiedDate", "PersonDate")
@@ -134,7 +136,7 @@ def dim_customer(src: Sources, since=None) -> DataFrame:
         .join(address, "BusinessEntityID", "left")
     )
     answered = with_person_survey(base, "Demographics")
-    start = row_max("CustomerDate", "PersonDate", "EmailDate", "AddressDate", "StateDate", "CountryDate")
+    start = row_max("CustomerDate", "PersonDate", "EmailDate", "AddressDate", "StateDate", "CountryDate", "LinkDate")
     return _finish(answered.withColumn("StartDate", start), CUSTOMER)
 
 

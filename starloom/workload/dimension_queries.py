@@ -19,12 +19,12 @@ DIM_SQL = {
     "dim_customer": f"""
         SELECT c.CustomerID, p.PersonType, p.FirstName, p.LastName, e.EmailAddress, p.EmailPromotion, a.AddressLine1, a.City,
                a.StateProvinceName, a.CountryRegionName, {', '.join('v.' + c for c in SURVEY)},
-               greatest(c.ModifiedDate, p.ModifiedDate, e.ModifiedDate, a.AddressDate, a.StateDate, a.CountryDate) AS StartDate, {END}
+               greatest(c.ModifiedDate, p.ModifiedDate, e.ModifiedDate, a.AddressDate, a.StateDate, a.CountryDate, a.LinkDate) AS StartDate, {END}
         FROM sales_customer c JOIN person p ON p.BusinessEntityID = c.PersonID
         LEFT JOIN (SELECT * FROM email_address QUALIFY row_number() OVER
                    (PARTITION BY BusinessEntityID ORDER BY ModifiedDate DESC, EmailAddress) = 1) e ON e.BusinessEntityID = p.BusinessEntityID
         LEFT JOIN (SELECT * FROM entity_address QUALIFY row_number() OVER
-                   (PARTITION BY BusinessEntityID ORDER BY AddressDate DESC, AddressID) = 1) a ON a.BusinessEntityID = p.BusinessEntityID
+                   (PARTITION BY BusinessEntityID ORDER BY AddressDate DESC, AddressID, LinkDate DESC) = 1) a ON a.BusinessEntityID = p.BusinessEntityID
         LEFT JOIN person_survey v ON v.BusinessEntityID = p.BusinessEntityID
         WHERE c.StoreID IS NULL""",
     "dim_product": f"""

@@ -159,9 +159,9 @@ def default_end_query(spark, sf):
 
 
 @query("scd1_merge", with_sources("""
-    SELECT t.ProfileKey, t.CustomerID, CASE WHEN c.act IN ('change', 'late') THEN c.Priority ELSE t.Priority END AS Priority,
-           CASE WHEN c.act IN ('change', 'late') THEN c.Status ELSE t.Status END AS Status,
-           CASE WHEN c.act IN ('change', 'late') THEN c.StartDate ELSE t.StartDate END AS StartDate, t.EndDate
+    SELECT t.ProfileKey, t.CustomerID, CASE WHEN c.act = 'change' THEN c.Priority ELSE t.Priority END AS Priority,
+           CASE WHEN c.act = 'change' THEN c.Status ELSE t.Status END AS Status,
+           CASE WHEN c.act = 'change' THEN c.StartDate ELSE t.StartDate END AS StartDate, t.EndDate
     FROM base_rows t LEFT JOIN change_rows c ON c.CustomerID = t.CustomerID
     UNION ALL
     SELECT (SELECT coalesce(max(ProfileKey), 0) FROM base_rows) + row_number() OVER (ORDER BY CustomerID), CustomerID, Priority, Status, StartDate,

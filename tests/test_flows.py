@@ -226,6 +226,20 @@ def test_calendar_covers_the_orders(spark, tmp_path):
     assert store.version("dwh", "DimDate") == version
 
 
+def test_a_moved_customer_gets_a_version_that_starts_with_the_link(spark, tmp_path):
+    """The new link leads to an address that is older than the customer's current row."""
+    store = TableStore(spark, str(tmp_path))
+    data = source_rows()
+    data["address"][1].append((9, "9 Old Street", None, "Q", 1, datetime(2020, 1, 11)))
+    full_load(store, frames(spark, data))
+    data["business_entity_address"][1].append((1, 9, 2, D2))
+    status = {r.table_name: r for r in run_incremental(store, frames(spark, data), ["DimCustomer"]).collect()}["DimCustomer"]
+    assert (status.rows_expired, status.rows_inserted, status.rows_late) == (1, 1, 0)
+    ann = store.read("dwh", "DimCustomer").filter("CustomerID = 11").orderBy("StartDate").collect()
+    assert [(r.AddressLine1, r.StartDate, r.EndDate) for r in ann] == [
+        ("1 Road", D1, datetime(2020, 2, 9, 23, 59, 59)), ("9 Old Street", D2, datetime(9999, 12, 31))]
+
+
 def test_append_to_the_warehouse(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     store.write(spark.createDataFrame([(1, " a ")], "k int, v string"), "staging", "t")
