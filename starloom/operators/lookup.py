@@ -81,3 +81,16 @@ def insert_only(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Dat
     known = touched_only(target.select(*keys), batch, keys)
     fresh = batch.join(known, list(keys), "left_anti")
     return drop_key_duplicates(fresh, keys)
+
+
+def insert_only_in_months(target: DataFrame, batch: DataFrame, keys: Sequence[str], month: str, months: DataFrame) -> DataFrame:
+    """``insert_only`` against a target that is partitioned by ``month``; the months of the batch's orders are opened and no others.
+
+    ``months`` says in which months the target holds rows of an order of the batch (the order's key among ``keys``, and ``month``, a number from 0 on). An order
+    that it does not name is new as a whole. More months than needed do no harm; an order that was filed under
+    another month than its date has now is found where it is.
+    """
+    order = [c for c in months.columns if c != month]
+    asked = batch.select(*keys).join(months, order).select(*keys, month).filter(F.col(month) >= 0).distinct()
+    known = target.select(*keys, month).join(asked, [*keys, month], "left_semi").select(*keys)
+    return drop_key_duplicates(batch.join(known, list(keys), "left_anti"), keys)

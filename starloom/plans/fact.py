@@ -11,7 +11,8 @@ from starloom.functions.dates import date_key
 from starloom.functions.scalar import allocate, line_amounts, ntz, row_max
 from starloom.operators.allocate import allocate_exactly
 from starloom.operators.keys import UNKNOWN_KEY, assign_keys
-from starloom.operators.lookup import Lookup, current_rows, insert_only, resolve_keys, touched_only
+from starloom.operators.lookup import Lookup, current_rows, insert_only, insert_only_in_months, resolve_keys, touched_only
+from starloom.runtime import cut_lineage
 
 MEASURES = [
     "OrderQty", "UnitPrice", "UnitPriceDiscount", "OrderDateKey", "DueDateKey", "ShipDateKey", "Status",
@@ -126,13 +127,18 @@ def build_fact(src, dims: dict[str, DataFrame], header_amounts: str = "allocate"
         rows = rows.withColumns({k: F.coalesce(F.col(k), F.lit(UNKNOWN_KEY).cast("long")) for k in KEYS})
     rows = rows.withColumns({**_measures(header_amounts), "LineAmountSource": whole})
     if header_amounts == "reconcile":
-        parts = {"TaxAllocated": "TaxAmt", "Freight_Allocated": "Freight"}
-        rows = allocate_exactly(rows, "SalesOrderID", "LineTotal", parts, ["SalesOrderDetail", "SalesReasonKey"])
-        due = F.col("LineAmount_Net") + F.col("TaxAllocated").cast("double") + F.col("Freight_Allocated").cast("double")
-        rows = rows.withColumn("TotalDue_Line", due)
+        rows = _reconciled(rows)
     return rows.select(*FACT_COLUMNS)
 
 
+def _reconciled(rows: DataFrame) -> DataFrame:
+    """Tax and freight spread over the rows as written, so that those of an order add up to its header."""
+    parts = {"TaxAllocated": "TaxAmt", "Freight_Allocated": "Freight"}
+    rows = allocate_exactly(rows, "SalesOrderID", "LineTotal", parts, ["SalesOrderDetail", "SalesReasonKey"])
+    due = F.col("LineAmount_Net") + F.col("TaxAllocated").cast("double") + F.col("Freight_Allocated").cast("double")
+    return rows.withColumn("TotalDue_Line", due)
+
+
 def fact_delta(src, since, header_amounts: str = "allocate") -> DataFrame:
     """Order lines of which the line or its order changed since the watermark, with business keys.
 
@@ -147,7 +153,13 @@ def fact_delta(src, since, header_amounts: str = "allocate") -> DataFrame:
         headers.join(new_lines, "SalesOrderID"),
         headers.filter(F.col("HeaderModified") > mark).join(old_lines, "SalesOrderID"),
     ]
-    rows = reduce(DataFrame.unionByName, joined)
+    return _business_rows(src, reduce(DataFrame.unionByName, joined), header_amounts).select(
+        *GRAIN, "ProductID", "PromotionID", "CustomerID", "TerritoryID", "StoreID", "ShipMethodID", *MEASURES, "StartDate"
+    )
+
+
+def _business_rows(src, rows: DataFrame, header_amounts: str) -> DataFrame:
+    """Lines joined with their orders, with the store of the customer and the measures."""
     if "customer" in src:
         rows = rows.join(src["customer"].select("CustomerID", "StoreID"), "CustomerID", "left")
 
@@ -159,28 +171,81 @@ def fact_delta(src, since, header_amounts: str = "allocate") -> DataFrame:
         "OrderDateKey": key("OrderDate"), "DueDateKey": key("DueDate"), "ShipDateKey": key("ShipDate"),
         "LineAmountSource": F.col("LineTotal").cast("decimal(19,4)"),
         "StartDate": row_max("HeaderModified", "LineModified"),
-    }).select(
-        *GRAIN, "ProductID", "PromotionID", "CustomerID", "TerritoryID", "StoreID", "ShipMethodID", *MEASURES, "StartDate"
-    )
+    })
+
+
+def _with_reasons(rows: DataFrame, reasons: DataFrame) -> DataFrame:
+    """A row for each current reason of the order, key -1 where it has none."""
+    rows = rows.join(current_rows(reasons).select("SalesOrderID", "SalesReasonKey"), "SalesOrderID", "left")
+    return rows.withColumn("SalesReasonKey", F.coalesce("SalesReasonKey", F.lit(UNKNOWN_KEY).cast("long")))
+
+
+def _near(dims: dict[str, DataFrame], rows: DataFrame) -> dict[str, DataFrame]:
+    """Dimensions cut to the keys of a stored batch."""
+    near = dict(dims)
+    for lookup in FACT_LOOKUPS:
+        wanted = rows.select(F.col(lookup.fact_column).alias(lookup.business_key))
+        near[lookup.dimension] = touched_only(dims[lookup.dimension], wanted, [lookup.business_key])
+    return near
+
+
+_BY_KEY = [k for k in FACT_LOOKUPS if k.surrogate_key != "SalesReasonKey"]
 
 
-def merge_fact(target: DataFrame, delta: DataFrame, dims: dict[str, DataFrame], key_col: str = "FactSalesKey", reasons: str = "all") -> DataFrame:
+def whole_orders(src, orders: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """All fact rows of some orders as the source has them now, with header amounts that add up.
+
+    One changed line moves the parts of all others, so an order is only right as a whole.
+    """
+    key = ["SalesOrderID"]
+    headers, lines = (touched_only(t, orders, key) for t in (_headers(src).drop("StoreID"), _lines(src).distinct()))
+    rows = cut_lineage(_business_rows(src, headers.join(lines, "SalesOrderID"), "reconcile"))
+    near = _near(dims, rows)
+    return _reconciled(_with_reasons(resolve_keys(rows, near, _BY_KEY), near["DimSalesReason"])).select(*FACT_COLUMNS)
+
+
+def replace_orders(near: DataFrame, orders: DataFrame, rows: DataFrame, last_key: int, key_col: str = "FactSalesKey") -> tuple[DataFrame, int]:
+    """``near`` with the rows of ``orders`` retracted and ``rows`` in their place, and how many of these are new.
+
+    ``near`` are the stored rows of the months concerned. Rows of other orders stay as they are; a row that comes
+    back under the same line and reason keeps its key, new ones are numbered after ``last_key``.
+    """
+    grain = [*GRAIN, "SalesReasonKey"]
+    old = touched_only(near, orders, ["SalesOrderID"]).groupBy(*grain).agg(F.min(key_col).alias(key_col))
+    met = cut_lineage(rows.join(old, grain, "left"))
+    new = met.filter(F.col(key_col).isNull())
+    after = near.sparkSession.range(1).select(F.lit(last_key).cast("long").alias(key_col))
+    fresh = assign_keys(new.select(*FACT_COLUMNS), key_col, grain, after=after, after_col=key_col)
+    stays = near.join(orders.select("SalesOrderID").distinct(), "SalesOrderID", "left_anti")
+    columns = [key_col, *FACT_COLUMNS]
+    back = met.filter(F.col(key_col).isNotNull())
+    return reduce(DataFrame.unionByName, [t.select(*columns) for t in (stays, back, fresh)]), new.count()
+
+
+def merge_fact(
+    target: DataFrame,
+    delta: DataFrame,
+    dims: dict[str, DataFrame],
+    key_col: str = "FactSalesKey",
+    reasons: str = "all",
+    months: DataFrame | None = None,
+    last_key: int | None = None,
+) -> DataFrame:
     """Rows to append: lines the fact lacks, keys resolved to current members, numbered after the last key.
 
     A line gets a row for each current reason of its order, as in the full load;
     ``reasons="one"`` takes the smallest key only. Dimensions are cut to the keys of the batch first.
+    With ``months`` (the months in which the fact holds the batch's orders) the test for known lines opens these partitions only;
+    with ``last_key`` the fact is not read for its largest key.
     """
     if reasons not in ("all", "one"):
         raise ValueError("reasons must be all or one")
-    lookups = FACT_LOOKUPS if reasons == "one" else [k for k in FACT_LOOKUPS if k.surrogate_key != "SalesReasonKey"]
-    fresh = insert_only(target, delta, GRAIN)
-    near = dict(dims)
-    for lookup in FACT_LOOKUPS:
-        wanted = fresh.select(F.col(lookup.fact_column).alias(lookup.business_key))
-        near[lookup.dimension] = touched_only(dims[lookup.dimension], wanted, [lookup.business_key])
-    fresh = resolve_keys(fresh, near, lookups)
+    found = insert_only(target, delta, GRAIN) if months is None else insert_only_in_months(target, delta, GRAIN, "OrderMonth", months)
+    fresh = cut_lineage(found)  # the key lists of seven dimensions and the rows themselves come from it
+    near = _near(dims, fresh)
     if reasons == "all":
-        known = current_rows(near["DimSalesReason"]).select("SalesOrderID", "SalesReasonKey")
-        fresh = fresh.join(known, "SalesOrderID", "left")
-        fresh = fresh.withColumn("SalesReasonKey", F.coalesce("SalesReasonKey", F.lit(UNKNOWN_KEY).cast("long")))
-    return assign_keys(fresh.select(*FACT_COLUMNS), key_col, [*GRAIN, "SalesReasonKey"], after=target, after_col=key_col)
+        fresh = _with_reasons(resolve_keys(fresh, near, _BY_KEY), near["DimSalesReason"])
+    else:
+        fresh = resolve_keys(fresh, near, FACT_LOOKUPS)
+    after = target if last_key is None else target.sparkSession.range(1).select(F.lit(last_key).cast("long").alias(key_col))
+    return assign_keys(fresh.select(*FACT_COLUMNS), key_col, [*GRAIN, "SalesReasonKey"], after=after, after_col=key_col)
