@@ -187,9 +187,11 @@ def dim_sales_reason(src: Sources, since=None) -> DataFrame:
     return _finish(rows.withColumn("StartDate", later_of(F.col("ReasonDate"), F.col("LinkDate"))), SALES_REASON).distinct()
 
 
-def dim_ship_method(src: Sources, since=None) -> DataFrame:
+def dim_ship_method(src: Sources, since=None, usage: DataFrame | None = None) -> DataFrame:
     """Ship methods with the latest known ship date.
 
+    ``usage`` (ShipMethodID, ShipDate, OrderDate) are the newest dates of all orders where they are kept; otherwise the orders are read for them.
+
     A full build starts a method at its own date; a delta starts it at the
     newest order too, because a new ship date is what makes a new version.
     """
@@ -200,7 +202,8 @@ def dim_ship_method(src: Sources, since=None) -> DataFrame:
         method = touched_only(method, touched, ["ShipMethodID"])
         orders = touched_only(orders, touched, ["ShipMethodID"])
         start = row_max("ModifiedDate", "OrderDate")
-    usage = orders.groupBy("ShipMethodID").agg(F.max("ShipDate").alias("ShipDate"), F.max("ModifiedDate").alias("OrderDate"))
+    if usage is None:
+        usage = orders.groupBy("ShipMethodID").agg(F.max("ShipDate").alias("ShipDate"), F.max("ModifiedDate").alias("OrderDate"))
     return _finish(method.join(usage, "ShipMethodID", "left").withColumn("StartDate", start), SHIP_METHOD)
 
 

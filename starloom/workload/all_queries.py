@@ -5,6 +5,7 @@ from starloom.workload import (  # noqa: F401
     cleansing_queries,
     dimension_queries,
     fact_queries,
+    flow_queries,
     merge_queries,
     quality_queries,
     watermark_queries,
