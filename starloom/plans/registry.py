@@ -23,7 +23,7 @@ class TableConfig:
     spec: DimensionSpec | None = None
     scd_type: int | None = None
     watermark_column: str = "StartDate"
-    #: Hash buckets of the business key in which a dimension is stored; a merge rewrites those that it changes.
+    #: Hash buckets of the business key in which a large dimension is stored; a merge rewrites those that it changes.
     buckets: int = 1
 
     def __post_init__(self):
@@ -42,13 +42,13 @@ _ADDRESS_SOURCES = ("business_entity_address", "address", "address_type", "state
 REGISTRY: dict[str, TableConfig] = {
     c.name: c
     for c in [
-        _dimension(dim.CUSTOMER, dim.dim_customer, "customer", "person", "email_address", *_ADDRESS_SOURCES, buckets=64),
-        _dimension(dim.PRODUCT, dim.dim_product, "product", "product_model", "product_subcategory", "product_category", buckets=16),
+        _dimension(dim.CUSTOMER, dim.dim_customer, "customer", "person", "email_address", *_ADDRESS_SOURCES, buckets=512),
+        _dimension(dim.PRODUCT, dim.dim_product, "product", "product_model", "product_subcategory", "product_category", buckets=64),
         _dimension(dim.PROMOTION, dim.dim_promotion, "special_offer"),
-        _dimension(dim.SALES_REASON, dim.dim_sales_reason, "sales_reason", "order_reason", buckets=64),
+        _dimension(dim.SALES_REASON, dim.dim_sales_reason, "sales_reason", "order_reason", buckets=2048),
         _dimension(dim.TERRITORY, dim.dim_territory, "sales_territory", "country_region"),
         _dimension(dim.SHIP_METHOD, dim.dim_ship_method, "ship_method", "order_header"),
-        _dimension(dim.STORE, dim.dim_store, "store", *_ADDRESS_SOURCES, buckets=4),
+        _dimension(dim.STORE, dim.dim_store, "store", *_ADDRESS_SOURCES, buckets=64),
         TableConfig("FactSales", "fact", fact_delta, ("order_header", "order_detail")),
     ]
 }
