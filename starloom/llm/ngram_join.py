@@ -18,7 +18,7 @@ blocks; pairs of blocks that share a signature are verified as a matrix product,
 pair within such a group is ever a row. Verified links are contracted to components.
 
 Frequent tokens are those that a share of all texts has (and at least ``FLOOR``
-texts); counts come from all texts, chunk by chunk, leaving out what a chunk has
+texts); counts come from all texts, chunk by chunk, copies in a chunk once, leaving out what a chunk has
 once or twice. The list holds at most (tokens per text) / share entries. It
 only steers the order: any list gives the same links.
 
@@ -42,14 +42,15 @@ from starloom.runtime import cut_lineage
 
 SIZE, PERCENT = 5, 80
 #: (share of the texts, tokens in a combination), ascending; what is rarer than the first is rare.
-CLASSES = ((0.005, 2), (0.05, 3))
+CLASSES = ((0.0005, 2), (0.05, 3))
 FLOOR = 64
 #: A rare token's texts up to this number are compared pair by pair.
 SMALL = 64
 #: Sets in a block.
 BLOCK = 200
 SALTS = 32
-_CHUNK = 2_000
+#: Shingles that are counted together before the rare ones of them are left out.
+_CHUNK = 4_000_000
 _LAST = (1 << 63) - 1
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -151,23 +152,31 @@ def _combinations(tokens: np.ndarray, k: int, seed: np.uint64) -> np.ndarray:
 def survey(docs: DataFrame, size: int, share: float) -> DataFrame:
     """One scan for (id, mark, n, fp) of every text and (token, count) of tokens that a chunk of texts has often."""
 
+    def counted(found):
+        token, count = np.unique(np.concatenate(found), return_counts=True)
+        often = count >= max(3, share * len(found) / 4)
+        token, count = token[often].view(np.int64), count[often].astype(np.int64)
+        none = pa.nulls(len(token), pa.int64())
+        return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(token), pa.array(count)], ["id", "mark", "n", "fp", "token", "count"])
+
     def run(batches):
+        found, held = {}, 0  # different sets since the last count, by fingerprint
         for batch in batches:
-            for a in range(0, batch.num_rows, _CHUNK):
-                chunk, found = batch.slice(a, _CHUNK), []
-                for piece in pieces(chunk, "text"):
-                    sets = shingle_sets(words(piece.column(1), lower=True), size)
-                    n = np.array([len(s) for s in sets], np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [piece.column(0), piece.column(2), pa.array(n), pa.array([fingerprint(s) for s in sets], pa.int64()), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.int64())],
-                        ["id", "mark", "n", "fp", "token", "count"],
-                    )
-                    found += sets
-                token, count = np.unique(np.concatenate(found), return_counts=True)
-                often = count >= max(3, share * len(found) / 4)
-                token, count = token[often].view(np.int64), count[often].astype(np.int64)
-                none = pa.nulls(len(token), pa.int64())
-                yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(token), pa.array(count)], ["id", "mark", "n", "fp", "token", "count"])
+            for piece in pieces(batch, "text"):
+                sets = shingle_sets(words(piece.column(1), lower=True), size)
+                fps = [fingerprint(s) for s in sets]
+                n = pa.array([len(s) for s in sets], pa.int64())
+                none = pa.nulls(len(sets), pa.int64())
+                yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(2), n, pa.array(fps, pa.int64()), none, none], ["id", "mark", "n", "fp", "token", "count"])
+                for own, s in zip(fps, sets):
+                    if own not in found:
+                        found[own] = s
+                        held += len(s)
+                if held >= _CHUNK:
+                    yield counted(list(found.values()))
+                    found, held = {}, 0
+        if found:
+            yield counted(list(found.values()))
 
     return docs.mapInArrow(run, "id long, mark long, n long, fp long, token long, count long")
 
