@@ -15,7 +15,8 @@ their place, so groups of copies meet nowhere. Two sets whose prefixes are all r
 rare tokens as their sizes demand, others two; such pairs, and pairs that meet in a small combination, are verified
 with their neighbours. The members of combinations with many sets, and of rare tokens that turn out common, are put in
 blocks; pairs of blocks that share a signature are verified as a matrix product, so no
-pair within such a group is ever a row. Verified links are contracted to components.
+pair within such a group is ever a row. A set enters a pair of blocks only if it has as many crowded tokens as a link would take;
+pairs with a token outside the crowd are counted with what the crowd may add. Verified links are contracted to components.
 
 Frequent tokens are those that a share of all texts has (and at least ``FLOOR``
 texts); counts come from all texts, chunk by chunk, copies in a chunk once, leaving out what a chunk has
@@ -224,7 +225,7 @@ def index(docs: DataFrame, size: int, percent: int, tokens: np.ndarray, kinds: n
 
 
 def candidates(indexed: DataFrame, percent: int, small: int) -> DataFrame:
-    """(sig, a, b, n): two sets that meet at a rare token, n being how often they must; or with b null a member, of size n, of a combination or of a token with over ``small`` sets."""
+    """(sig, a, b, n): two sets that meet at a rare token, n being how often they must; or with b null a member, of size n (negative as in ``index``), of a combination or of a token with over ``small`` sets."""
 
     def run(batches):
         held = None  # the last signature's rows so far, and whether they have been seen to be many
@@ -255,13 +256,13 @@ def candidates(indexed: DataFrame, percent: int, small: int) -> DataFrame:
 
 
 def _members(sig, fp, n):
-    return pa.RecordBatch.from_arrays([pa.array(sig), pa.array(fp), pa.nulls(len(sig), pa.int64()), pa.array(np.abs(n).astype(np.int64))], ["sig", "a", "b", "n"])
+    return pa.RecordBatch.from_arrays([pa.array(sig), pa.array(fp), pa.nulls(len(sig), pa.int64()), pa.array(n.astype(np.int64))], ["sig", "a", "b", "n"])
 
 
 def least_shared(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     """Rare tokens that the prefixes of two linked sets of these sizes have in common; 2 where a size is negative.
 
-    Of the tokens in both sets no more than a set has behind its prefix can lie there.
+    Of the tokens in both sets no more than a set has behind its prefix can lie there. Crowded tokens, with over ``SMALL`` sets, are among them.
     """
     x, y = np.abs(n).astype(np.int64), np.abs(m).astype(np.int64)
     both = -(-percent * (x + y) // (100 + percent))
@@ -403,29 +404,43 @@ def hopeful(rows: DataFrame, size: int, percent: int) -> DataFrame:
     return rows.repartition("block", "other").sortWithinPartitions("block", "other").mapInArrow(run, "block long, other long, side int, fp long")
 
 
-def block_rows(members: DataFrame, shows: DataFrame, size: int, percent: int, block: int) -> DataFrame:
-    """(block, other, side, fp): the members of signatures in pairs of blocks, where a link is possible.
+def block_rows(members: DataFrame, percent: int, block: int) -> DataFrame:
+    """(block, other, side, fp): the members of signatures in pairs of blocks, where a link is possible; members: sig, a, n, held.
 
     A set's home is the signature with most members among its own, so that sets which meet often lie in one block.
     Blocks hold sets of about one size, and only blocks of neighbouring sizes are compared: linked sizes differ by
-    less than one step. Only leading tokens travel here; texts follow where they leave a link possible.
+    less than one step. ``held`` says how many crowded tokens a set's prefix has: where neither that number nor the largest of the other
+    block reaches what a link with any size there demands, the set stays away (a pair that links all the same has another token in common).
     """
     step = math.log(101 / percent)
     sizes = members.groupBy("sig").agg(F.count("*").alias("many"))
-    home = members.join(sizes, "sig").groupBy(F.col("a").alias("fp")).agg(F.max_by("sig", "many").alias("home"))
-    placed = cut_lineage(home.join(shows.select("fp", "n"), "fp").select("fp", "home", F.floor(F.log(F.col("n")) / step).alias("size")))
+    home = members.join(sizes, "sig").groupBy(F.col("a").alias("fp")).agg(F.max_by("sig", "many").alias("home"), F.first("n").alias("n"), F.first("held").alias("held"))
+    placed = cut_lineage(home.withColumn("size", F.floor(F.log(F.col("n")) / step)))
     counts = placed.groupBy("home", "size").agg(F.ceil(F.count("*") / block).alias("parts"))
     number = F.xxhash64("home", "size", F.pmod(F.xxhash64("fp"), F.col("parts")))
-    blocks = cut_lineage(placed.join(counts, ["home", "size"]).select("fp", "size", number.alias("block")))
+    blocks = cut_lineage(placed.join(counts, ["home", "size"]).select("fp", "size", "n", "held", number.alias("block")))
     holds = cut_lineage(members.select("sig", F.col("a").alias("fp")).join(blocks, "fp").select("sig", "block", "size").distinct())
     other = holds.select("sig", F.col("block").alias("other"), F.col("size").alias("other_size"))
     near = (F.col("block") <= F.col("other")) & (F.abs(F.col("size") - F.col("other_size")) <= 1)
     pairs = cut_lineage(holds.join(other, "sig").where(near).select("block", "other").distinct())
-    shown = blocks.select("fp", "block").join(shows, "fp")
-    left = pairs.join(shown, "block").select("block", "other", F.lit(0).alias("side"), "fp", "n", "first")
-    right = pairs.where("block < other").join(shown.withColumnRenamed("block", "other"), "other")
-    rows = left.union(right.select("block", "other", F.lit(1).alias("side"), "fp", "n", "first"))
-    return hopeful(rows, size, percent)
+    reach = cut_lineage(blocks.groupBy("block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("held").alias("most")))
+    rows = []
+    for side, own, its in ((0, "block", "other"), (1, "other", "block")):
+        wanted = pairs if side == 0 else pairs.where("block < other")
+        met = wanted.join(reach.withColumnRenamed("block", its), its).join(blocks.select(F.col("block").alias(own), "fp", "n", "held"), own)
+        rows.append(met.where(_reaches(percent)).select("block", "other", F.lit(side).alias("side"), "fp"))
+    return rows[0].union(rows[1])
+
+
+def _reaches(percent: int):
+    """Whether a set (n, held) may link with one of a block (lo, hi, most) by crowded tokens alone.
+
+    What two sizes demand (``least_shared``) is smallest at one of the ends of the sizes that can link.
+    """
+    n = F.col("n")
+    ends = [F.greatest("lo", n * percent / 100), F.least("hi", n * 100 / percent)]
+    demand = [(n + m) * percent / (100 + percent) - F.greatest(n, m) * percent / 100 + 1 for m in ends]
+    return (ends[0] <= ends[1]) & (F.least("held", "most") + 1e-6 >= F.least(*demand))
 
 
 def verify(texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -446,16 +461,22 @@ def _placed(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, classes=C
     known = found.where("token is null").select("id", "mark", "n", "fp")
     tokens, kinds = frequent(found, classes, floor)
     met = cut_lineage(candidates(index(texts, size, percent, tokens, kinds, tuple(k for _, k in classes)), percent, small))
-    pairs = met.where("b is not null").groupBy("a", "b").agg(F.count("*").alias("many"), F.min("n").alias("n")).where("many >= n").select("a", "b")
     members = cut_lineage(met.where("b is null").select("sig", "a", "n").distinct())
     counts = cut_lineage(members.groupBy("sig").agg(F.count("*").alias("many")).where("many > 1"))
-    few = members.join(counts.where(F.col("many") <= small), "sig").select("sig", "a", "n")
+    few = members.join(counts.where(F.col("many") <= small), "sig").select("sig", "a", F.abs("n").alias("n"))
     near = (F.col("a") < F.col("b")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
-    pairs = pairs.union(few.join(few.toDF("sig", "b", "m"), "sig").where(near).select("a", "b")).distinct()
-    pairs, members = cut_lineage(pairs), cut_lineage(members.join(counts.where(F.col("many") > small), "sig").select("sig", "a"))
-    inside = members.select(F.col("a").alias("fp")).distinct()
-    shows = shown(texts, size, percent, tokens, kinds).join(inside, "fp", "left_semi").groupBy("fp", "n").agg(F.first("first").alias("first"))
-    chosen = cut_lineage(pair_rows(pairs, block).union(block_rows(members, cut_lineage(shows), size, percent, block)))
+    crowded = cut_lineage(members.join(counts.where(F.col("many") > small), "sig").select("sig", "a", "n"))
+    # a set whose prefix is not all rare may meet others in a single combination, so any number of crowded tokens is enough
+    held = cut_lineage(crowded.groupBy("a").agg(F.when(F.min("n") < 0, F.lit(_LAST)).otherwise(F.count("*")).alias("held")))
+    often = met.where("b is not null").groupBy("a", "b").agg(F.count("*").alias("many"), F.min("n").alias("n"))
+    often = often.join(held, "a", "left").join(held.toDF("b", "held_b"), "b", "left")
+    common = F.least(F.coalesce("held", F.lit(0)), F.coalesce("held_b", F.lit(0)), "n")
+    pairs = often.where(F.col("many") + common >= F.col("n")).select("a", "b")
+    pairs = cut_lineage(pairs.union(few.join(few.toDF("sig", "b", "m"), "sig").where(near).select("a", "b")).distinct())
+    members = crowded.join(held, "a").select("sig", "a", F.abs("n").alias("n"), "held")
+    rows = cut_lineage(block_rows(cut_lineage(members), percent, block))
+    shows = shown(texts, size, percent, tokens, kinds).join(rows.select("fp").distinct(), "fp", "left_semi").groupBy("fp", "n").agg(F.first("first").alias("first"))
+    chosen = cut_lineage(pair_rows(pairs, block).union(hopeful(rows.join(shows, "fp"), size, percent)))
     # a text that several sets of rows wait for travels once, with the list of its pairs of blocks
     waits = chosen.groupBy("fp").agg(F.collect_list(F.struct("block", "other", "side")).alias("waits"))
     waits = cut_lineage(known.where("n > 0").groupBy("fp").agg(F.min("id").alias("id")).join(waits, "fp"))

@@ -183,6 +183,59 @@ def test_linked_sets_share_what_the_join_needs(frequent_share):
         assert ngram_join.may_link([len(x), len(y)], first, [0], [1], 80).all()
 
 
+def passage_texts(seed, many):
+    """Texts of their own round passages that many share, some with a near copy; and texts that are little else than a passage."""
+    rng = random.Random(seed)
+    passages = [" ".join(f"p{k}w{j}" for j in range(60)) for k in range(3)]
+    rows = []
+    for k in range(many):
+        own = [f"u{rng.randrange(10**9)}" for _ in range(rng.choice((70, 150, 260)))]
+        at = rng.randrange(len(own))
+        text = own[:at] + rng.choice(passages).split() + own[at:]
+        rows.append(" ".join(text))
+        if k % 9 == 0:
+            text[rng.randrange(len(text))] = "edited"
+            rows.append(" ".join(text[rng.randrange(15) :]))
+        if k % 15 == 0:
+            rows.append(" ".join(own[:5] + passages[k % 3].split()))
+    return list(enumerate(rows, start=5))
+
+
+@pytest.mark.parametrize("small,block,floor", [(3, 7, 10_000), (10, 200, 10_000), (10, 20, 40), (64, 200, 64)])
+def test_texts_that_share_a_passage(spark, small, block, floor):
+    rows = passage_texts(small, 240)
+    sets = [(k, frozenset(sets_by_definition(t))) for k, t in rows]
+    links = [(a, b) for i, (a, x) in enumerate(sets) for b, y in sets[:i] if 100 * len(x & y) >= 80 * len(x | y)]
+    expected = smallest_reachable([k for k, _ in rows], links)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = ngram_join.similar(frame, small=small, block=block, floor=floor).collect()
+    assert {r.doc_id: r.component_id for r in got} == expected
+    assert len(links) > 30 and len(set(expected.values())) > 200
+
+
+def test_few_crowded_tokens_keep_a_set_out_of_blocks(spark):
+    """Forty texts of 210 shingles share some tokens: with 5 none can link, with 40 any may; two sizes whose link takes few keep them."""
+    for held, n, rows in ((5, [210] * 40, 0), (40, [210] * 40, 40), (5, [210] * 20 + [168] * 20, 40)):
+        members = spark.createDataFrame([(1, k, n[k], held) for k in range(40)], "sig long, a long, n long, held long")
+        assert ngram_join.block_rows(members, 80, 200).select("fp").distinct().count() == rows
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_what_two_sizes_demand_is_least_at_an_end(spark, percent):
+    """``_reaches`` lets every set through that has as many crowded tokens as ``least_shared`` demands for some size of the block."""
+    rng = random.Random(percent)
+    cases = []
+    for _ in range(300):
+        n, lo = rng.randrange(4, 900), rng.randrange(4, 900)
+        cases.append((n, lo, lo + rng.randrange(200), rng.randrange(1, 60), rng.randrange(1, 60)))
+    frame = spark.createDataFrame(cases, "n long, lo long, hi long, held long, most long")
+    got = [r.may for r in frame.select(ngram_join._reaches(percent).alias("may")).collect()]
+    for may, (n, lo, hi, held, most) in zip(got, cases):
+        sizes = np.array([m for m in range(lo, hi + 1) if 100 * min(n, m) >= percent * max(n, m)])
+        if len(sizes) and (ngram_join.least_shared(np.full(len(sizes), n), sizes, percent) <= min(held, most)).any():
+            assert may
+
+
 def test_fingerprints_ignore_order_and_tell_sets_apart():
     a = np.array([3, 5, 9], np.uint64)
     assert ngram_join.fingerprint(a) == ngram_join.fingerprint(a[::-1].copy()) != ngram_join.fingerprint(a[:2])
