@@ -13,8 +13,8 @@ segment), and for each segment the document and its first token's place there.
 
 Defined results: null and empty texts have no segment. Repeated rows are packed
 as often as they occur; equal lengths are packed in input order. Other columns
-are ignored. A run of over ``LONGEST_RUN`` characters without white space is encoded in
-pieces of that size, which keeps the bytes and bounds the encoder's time.
+are ignored. A run of over ``LONGEST_RUN`` characters all of which are white space, or none, is
+encoded in pieces of that size, which keeps the bytes and bounds the encoder's time and stack.
 """
 
 from __future__ import annotations
@@ -35,7 +35,10 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the split pattern that belongs to this vocabulary.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LONGEST_RUN = 4_096
-_LONG = re.compile(rf"\S{{{LONGEST_RUN + 1},}}")
+#: Fixed value: white space of the split pattern, which does not count the separators 1C to 1F.
+_BLANK, _SOLID = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
+#: A match starts where a run starts, so a text is scanned once.
+_LONG = re.compile("|".join(rf"(?<!{c}){c}{{{LONGEST_RUN + 1},}}" for c in (_BLANK, _SOLID)))
 _encoders: dict[int, tiktoken.Encoding] = {}
 
 SCHEMA = (
@@ -58,9 +61,11 @@ def encode(text: str, enc: tiktoken.Encoding) -> np.ndarray:
         return enc.encode_to_numpy(text, disallowed_special=())
     parts, done = [], 0
     for m in _LONG.finditer(text):
+        cuts = range(m.start(), m.end(), LONGEST_RUN)
         parts.append(text[done : m.start()])
-        parts += [text[i : min(i + LONGEST_RUN, m.end())] for i in range(m.start(), m.end(), LONGEST_RUN)]
-        done = m.end()
+        parts += [text[i : i + LONGEST_RUN] for i in cuts[:-1]]
+        # the rest of a run stays with what follows, as a blank belongs to the word behind it
+        done = cuts[-1]
     parts.append(text[done:])
     return np.concatenate([enc.encode_to_numpy(p, disallowed_special=()) for p in parts if p])
 

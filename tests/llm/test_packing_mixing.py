@@ -141,3 +141,25 @@ def test_mixing_query_moves_the_corpus_to_its_targets(spark):
     total = np.sum(np.stack(found["membership"]) * (found["rate"] * found["n_tokens"]).to_numpy()[:, None], axis=0) / found["n_tokens"].sum()
     assert np.allclose(total, [0.2, 0.4, 0.2, 0.2], atol=2e-3)
     assert found["copies"].mean() == pytest.approx(found["rate"].mean(), abs=0.06)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [" " * 2_000_000, "\n" * 2_000_000, "a" + "\t" * 2_000_000 + "word", " " * 50_000, "\x1c" * 50_000, ("x" * 5_000 + " " * 5_000) * 3, "!" * 4_096 + "\x1d" * 4_096],
+    ids=["blanks", "newlines", "tabs", "wide", "separators", "mixed", "joined"],
+)
+def test_long_runs_come_back_whole(text):
+    with open(token_packing.VOCABULARY, "rb") as file:
+        enc = token_packing.encoder(file.read())
+    ids = token_packing.encode(text, enc)
+    assert enc.decode_bytes(ids.tolist()) == text.encode()
+
+
+def test_short_runs_are_encoded_as_before():
+    with open(token_packing.VOCABULARY, "rb") as file:
+        enc = token_packing.encoder(file.read())
+    n = token_packing.LONGEST_RUN
+    for text in (" " * n + "word", "x" * n + " word", "a  b\n\n c\x1c d's"):
+        assert token_packing.encode(text, enc).tolist() == enc.encode(text, disallowed_special=())
+    # the last piece of a long run stays with the word behind it
+    assert token_packing.encode(" " * (n + 1) + "word", enc).tolist() == enc.encode(" " * n) + enc.encode(" word")
