@@ -16,7 +16,9 @@ rare tokens as their sizes demand, others two; such pairs, and pairs that meet i
 with their neighbours. The members of combinations with many sets, and of rare tokens that turn out common, are put in
 blocks; pairs of blocks that share a signature are verified as a matrix product, so no
 pair within such a group is ever a row. A set enters a pair of blocks only if it has as many crowded tokens as a link would take;
-pairs with a token outside the crowd are counted with what the crowd may add. Verified links are contracted to components.
+pairs with a token outside the crowd are counted with what the crowd may add. Before any text moves, the sets of a pair of blocks
+show sketches, counts of tokens over hash buckets, which bound what two sets share; only sets with a possible partner are
+verified. Verified links are contracted to components.
 
 Frequent tokens are those that a share of all texts has (and at least ``FLOOR``
 texts); counts come from all texts, chunk by chunk, copies in a chunk once, leaving out what a chunk has
@@ -120,16 +122,42 @@ def signatures(tokens: np.ndarray, classes: np.ndarray, sizes: tuple[int, ...],
     return tokens[:longest], np.concatenate(combos) if combos else tokens[:0]
 
 
-def _leading_count(n, percent: int):
-    """Tokens that a set shows before its text is sent anywhere: as many as a prefix of rare tokens has."""
-    return np.minimum(n, n - -(-percent * n // 100) + 2)
+#: The largest count of a bucket that a sketch tells; it stands for itself and all above.
+_FULL = 15
 
 
-def leading(tokens: np.ndarray, classes: np.ndarray, percent: int) -> np.ndarray:
-    """The first tokens in the global order as sorted 16-bit hashes; tokens that fall together are there once."""
-    rank = mix(tokens * _ODD)
-    first = np.lexsort((rank, classes))[: int(_leading_count(len(tokens), percent))]
-    return np.unique((mix(tokens[first]) >> np.uint64(48)).astype(np.uint16))
+def sketch(tokens: np.ndarray) -> bytes:
+    """How many tokens fall into each of n/4 to n/2 hash buckets, two counts a byte."""
+    many = max(2, 1 << max(0, len(tokens).bit_length() - 2))
+    at = (mix(tokens) >> np.uint64(32)) & np.uint64(many - 1)
+    count = np.minimum(np.bincount(at.astype(np.int64), minlength=many), _FULL).astype(np.uint8)
+    return (count[0::2] | count[1::2] << np.uint8(4)).tobytes()
+
+
+def _unpacked(sketches: list[bytes], many: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of sketches of one length over ``many`` buckets, and where they may be larger."""
+    packed = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1)
+    count = np.stack([packed & np.uint8(15), packed >> np.uint8(4)], axis=2).reshape(len(sketches), -1, many)
+    return count.sum(axis=1, dtype=np.uint16), (count == _FULL).any(axis=1)
+
+
+def at_most_common(x: list[bytes], y: list[bytes]) -> np.ndarray:
+    """An upper bound of the tokens that each set of x has in common with each of y: the smaller count of every bucket.
+
+    The sketches of a side have one length. The longer ones are folded to the buckets of the shorter.
+    """
+    many = 2 * min(len(x[0]), len(y[0]))
+    (p, full_p), (q, full_q) = _unpacked(x, many), _unpacked(y, many)
+    bound = np.zeros((len(x), len(y)))
+    for start in range(0, many, 4_096):
+        part = slice(start, start + 4_096)
+        bound += np.float64(1 << 40) * (full_p[:, part].astype(np.float32) @ full_q[:, part].T.astype(np.float32))
+        highest = max(int(p[:, part][~full_p[:, part]].max(initial=0)), int(q[:, part][~full_q[:, part]].max(initial=0)))
+        for least in range(1, highest + 1):
+            left, right = (p[:, part] >= least) | full_p[:, part], (q[:, part] >= least) | full_q[:, part]
+            met = left.any(axis=0) & right.any(axis=0)
+            bound += left[:, met].astype(np.float32) @ right[:, met].T.astype(np.float32)
+    return bound
 
 
 def _classes(tokens: np.ndarray, known: np.ndarray, kinds: np.ndarray) -> np.ndarray:
@@ -343,15 +371,20 @@ def _sides(sides: list[int]) -> tuple[list[int], list[int]]:
     return a, b
 
 
-def may_link(sizes: list[int], first: list[np.ndarray], a: list[int], b: list[int], percent: int) -> np.ndarray:
-    """Pairs of sets whose sizes and leading tokens leave a link possible."""
+def may_link(sizes: list[int], sketches: list[bytes], a: list[int], b: list[int], percent: int) -> np.ndarray:
+    """Pairs of sets whose sizes and sketches leave a link possible."""
     n = np.array(sizes, np.int64)
-    count = _leading_count(n, percent)
-    behind = n - count + (count - np.array([len(f) for f in first]))  # tokens behind the leading ones, or fallen together
     x, y = n[a][:, None], n[b][None, :]
-    need = -(-percent * (x + y) // (100 + percent)) - np.maximum(behind[a][:, None], behind[b][None, :])
-    near = 100 * np.minimum(x, y) >= percent * np.maximum(x, y)
-    return near & (_common(first, a, b) >= np.maximum(need, 0))
+    may = 100 * np.minimum(x, y) >= percent * np.maximum(x, y)
+    length = np.array([len(s) for s in sketches])
+    for one in np.unique(length[a]).tolist():
+        for two in np.unique(length[b]).tolist():
+            i, j = np.flatnonzero(length[a] == one), np.flatnonzero(length[b] == two)
+            near = np.ix_(i, j)
+            if may[near].any():
+                bound = at_most_common([sketches[a[k]] for k in i], [sketches[b[k]] for k in j])
+                may[near] &= (100 + percent) * bound >= percent * (n[a][i][:, None] + n[b][j][None, :])
+    return may
 
 
 def _block_links(fps, sides, tokens, percent):
@@ -372,7 +405,7 @@ def _by_pair(batches, text: bool, size: int):
     key, rows = None, []
     for batch in batches:
         for piece in pieces(batch, "text") if text else [batch]:
-            last = _sets(piece.column("text"), size) if text else zip(piece.column("n").to_pylist(), piece.column("first").to_pylist())
+            last = _sets(piece.column("text"), size) if text else zip(piece.column("n").to_pylist(), piece.column("sketch").to_pylist())
             for x, y, side, fp, value in zip(*(piece.column(c).to_pylist() for c in ("block", "other", "side", "fp")), last):
                 if (x, y) != key:
                     if rows:
@@ -384,15 +417,14 @@ def _by_pair(batches, text: bool, size: int):
 
 
 def hopeful(rows: DataFrame, size: int, percent: int) -> DataFrame:
-    """Of the sets of each pair of blocks those with a possible link there; rows: block, other, side, fp, n, first."""
+    """Of the sets of each pair of blocks those with a possible link there; rows: block, other, side, fp, n, sketch."""
 
     def run(batches):
         for (x, y), own in _by_pair(batches, False, size):
             a, b = _sides([r[0] for r in own])
             if not a or x != y and not b:
                 continue
-            first = [np.frombuffer(r[2][1], "<u2") for r in own]
-            may = may_link([r[2][0] for r in own], first, a, b or a, percent)
+            may = may_link([r[2][0] for r in own], [r[2][1] for r in own], a, b or a, percent)
             if x == y:
                 np.fill_diagonal(may, False)
             keep = {a[k] for k in np.flatnonzero(may.any(axis=1))} | {(b or a)[k] for k in np.flatnonzero(may.any(axis=0))}
@@ -407,14 +439,15 @@ def hopeful(rows: DataFrame, size: int, percent: int) -> DataFrame:
 def block_rows(members: DataFrame, percent: int, block: int) -> DataFrame:
     """(block, other, side, fp): the members of signatures in pairs of blocks, where a link is possible; members: sig, a, n, held.
 
-    A set's home is the signature with most members among its own, so that sets which meet often lie in one block.
+    A set's home is the signature with most members among its own (of equal ones the largest, so that sets of one passage agree),
+    so that sets which meet often lie in one block.
     Blocks hold sets of about one size, and only blocks of neighbouring sizes are compared: linked sizes differ by
     less than one step. ``held`` says how many crowded tokens a set's prefix has: where neither that number nor the largest of the other
     block reaches what a link with any size there demands, the set stays away (a pair that links all the same has another token in common).
     """
     step = math.log(101 / percent)
     sizes = members.groupBy("sig").agg(F.count("*").alias("many"))
-    home = members.join(sizes, "sig").groupBy(F.col("a").alias("fp")).agg(F.max_by("sig", "many").alias("home"), F.first("n").alias("n"), F.first("held").alias("held"))
+    home = members.join(sizes, "sig").groupBy(F.col("a").alias("fp")).agg(F.max(F.struct("many", "sig"))["sig"].alias("home"), F.first("n").alias("n"), F.first("held").alias("held"))
     placed = cut_lineage(home.withColumn("size", F.floor(F.log(F.col("n")) / step)))
     counts = placed.groupBy("home", "size").agg(F.ceil(F.count("*") / block).alias("parts"))
     number = F.xxhash64("home", "size", F.pmod(F.xxhash64("fp"), F.col("parts")))
@@ -475,8 +508,9 @@ def _placed(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, classes=C
     pairs = cut_lineage(pairs.union(few.join(few.toDF("sig", "b", "m"), "sig").where(near).select("a", "b")).distinct())
     members = crowded.join(held, "a").select("sig", "a", F.abs("n").alias("n"), "held")
     rows = cut_lineage(block_rows(cut_lineage(members), percent, block))
-    shows = shown(texts, size, percent, tokens, kinds).join(rows.select("fp").distinct(), "fp", "left_semi").groupBy("fp", "n").agg(F.first("first").alias("first"))
-    chosen = cut_lineage(pair_rows(pairs, block).union(hopeful(rows.join(shows, "fp"), size, percent)))
+    rows = cut_lineage(rows.union(pair_rows(pairs, block)))
+    shows = shown(texts, size).join(rows.select("fp").distinct(), "fp", "left_semi").groupBy("fp", "n").agg(F.first("sketch").alias("sketch"))
+    chosen = cut_lineage(hopeful(rows.join(shows, "fp"), size, percent))
     # a text that several sets of rows wait for travels once, with the list of its pairs of blocks
     waits = chosen.groupBy("fp").agg(F.collect_list(F.struct("block", "other", "side")).alias("waits"))
     waits = cut_lineage(known.where("n > 0").groupBy("fp").agg(F.min("id").alias("id")).join(waits, "fp"))
@@ -518,18 +552,17 @@ def _id(column):
     return F.when(column != _LAST, column)
 
 
-def shown(docs: DataFrame, size: int, percent: int, tokens: np.ndarray, kinds: np.ndarray) -> DataFrame:
-    """(fp, n, first): size and leading tokens of every text."""
+def shown(docs: DataFrame, size: int) -> DataFrame:
+    """(fp, n, sketch): size and sketch of every text."""
 
     def run(batches):
         for batch in batches:
             for piece in pieces(batch, "text"):
                 sets = [s for s in _sets(piece.column(1), size) if len(s)]
-                first = [leading(s, _classes(s, tokens, kinds), percent).astype("<u2").tobytes() for s in sets]
-                columns = [pa.array([fingerprint(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(first, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["fp", "n", "first"])
+                columns = [pa.array([fingerprint(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["fp", "n", "sketch"])
 
-    return docs.select("id", "text").mapInArrow(run, "fp long, n long, first binary")
+    return docs.select("id", "text").mapInArrow(run, "fp long, n long, sketch binary")
 
 
 def _of_fingerprint(rows: DataFrame, size: int) -> DataFrame:

@@ -179,8 +179,35 @@ def test_linked_sets_share_what_the_join_needs(frequent_share):
         pure = [len(f[0]) == len(s) - -(-80 * len(s) // 100) + 2 and not len(f[1]) for f, s in zip(found, (x, y))]
         need = ngram_join.least_shared(*(np.array([len(s) if p else -len(s)]) for p, s in zip(pure, (x, y))), 80)[0]
         assert rare >= need or len(np.intersect1d(found[0][1], found[1][1])) >= 1
-        first = [ngram_join.leading(s, np.array([kinds[int(t)] for t in s]), 80) for s in (x, y)]
-        assert ngram_join.may_link([len(x), len(y)], first, [0], [1], 80).all()
+        assert ngram_join.may_link([len(x), len(y)], [ngram_join.sketch(s) for s in (x, y)], [0], [1], 80).all()
+
+
+@pytest.mark.parametrize("percent", [5, 50, 80, 100])
+def test_sketches_lose_no_link_and_tell_most_strangers(percent):
+    rng = np.random.default_rng(percent)
+    pool = rng.integers(1, 2**62, 3_000).astype(np.uint64)
+    sets = [np.unique(rng.choice(pool[: int(rng.choice([8, 60, 700, 3_000]))], int(rng.integers(1, 900)))) for _ in range(60)]
+    sets += [np.sort(rng.permutation(s)[: max(1, int(len(s) * 0.93))]) for s in sets[:20]]
+    sizes, sketches, all_sets = [len(s) for s in sets], [ngram_join.sketch(s) for s in sets], list(range(len(sets)))
+    may = ngram_join.may_link(sizes, sketches, all_sets[:50], all_sets[50:], percent)
+    for i, x in enumerate(sets[:50]):
+        for j, y in enumerate(sets[50:]):
+            assert may[i, j] or not ngram_join.linked(x, y, percent)
+    strangers = [np.sort(rng.integers(1, 2**62, 500).astype(np.uint64)) for _ in range(20)]
+    few = ngram_join.may_link([500] * 20, [ngram_join.sketch(s) for s in strangers], list(range(10)), list(range(10, 20)), 80)
+    assert not few.any()
+
+
+def test_a_full_bucket_bounds_nothing():
+    """Two sets all of whose tokens lie in one bucket: the sketch cannot tell how many they share."""
+    from starloom.llm.words import mix
+
+    tokens = np.arange(1, 40_000, dtype=np.uint64)
+    one = tokens[(mix(tokens) >> np.uint64(32)) & np.uint64(31) == 0][:64]
+    bound = ngram_join.at_most_common([ngram_join.sketch(one)], [ngram_join.sketch(one)])
+    assert len(one) == 64 and bound[0, 0] >= 64
+    few = ngram_join.at_most_common([ngram_join.sketch(one)], [ngram_join.sketch(one[:5])])
+    assert 5 <= few[0, 0] <= 64
 
 
 def passage_texts(seed, many):
