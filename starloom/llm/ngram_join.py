@@ -54,6 +54,8 @@ BLOCK = 200
 SALTS = 32
 #: Shingles that are counted together before the rare ones of them are left out.
 _CHUNK = 4_000_000
+#: Keys up to this number (16 MB) go to all tasks to pick rows before a shuffle; with more, the rows are shuffled once.
+SENT_KEYS = 2_000_000
 _LAST = (1 << 63) - 1
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -476,6 +478,11 @@ def _reaches(percent: int):
     return (ends[0] <= ends[1]) & (F.least("held", "most") + 1e-6 >= F.least(*demand))
 
 
+def only(rows: DataFrame, keys: DataFrame, sent_keys: int = SENT_KEYS) -> DataFrame:
+    """The rows whose key is among ``keys``, a stored table of one column."""
+    return rows.join(F.broadcast(keys) if keys.count() <= sent_keys else keys, keys.columns[0], "left_semi")
+
+
 def verify(texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Links between the sets of each pair of blocks, as spanning forests; texts: block, other, side, fp, text."""
 
@@ -509,12 +516,12 @@ def _placed(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, classes=C
     members = crowded.join(held, "a").select("sig", "a", F.abs("n").alias("n"), "held")
     rows = cut_lineage(block_rows(cut_lineage(members), percent, block))
     rows = cut_lineage(rows.union(pair_rows(pairs, block)))
-    shows = shown(texts, size).join(rows.select("fp").distinct(), "fp", "left_semi").groupBy("fp", "n").agg(F.first("sketch").alias("sketch"))
+    shows = only(shown(texts, size), cut_lineage(rows.select("fp").distinct())).groupBy("fp", "n").agg(F.first("sketch").alias("sketch"))
     chosen = cut_lineage(hopeful(rows.join(shows, "fp"), size, percent))
     # a text that several sets of rows wait for travels once, with the list of its pairs of blocks
     waits = chosen.groupBy("fp").agg(F.collect_list(F.struct("block", "other", "side")).alias("waits"))
     waits = cut_lineage(known.where("n > 0").groupBy("fp").agg(F.min("id").alias("id")).join(waits, "fp"))
-    found = _of_fingerprint(texts.join(waits, "id"), size).select(F.inline("waits"), "fp", "text")
+    found = _of_fingerprint(only(texts, waits.select("id")).join(waits, "id"), size).select(F.inline("waits"), "fp", "text")
     links = verify(found.select("block", "other", "side", "fp", "text"), size, percent)
     member = cut_lineage(components(cut_lineage(links)))
     return known.join(member.where("node is not null"), F.col("fp") == F.col("node"), "left").select(

@@ -210,6 +210,14 @@ def test_a_full_bucket_bounds_nothing():
     assert 5 <= few[0, 0] <= 64
 
 
+@pytest.mark.parametrize("sent_keys", [1, 100])
+def test_keys_pick_the_same_rows_sent_or_not(spark, sent_keys):
+    rows = spark.createDataFrame([(k % 7 if k else None, k) for k in range(40)], "id long, v long")
+    keys = spark.createDataFrame([(1,), (3,), (3,), (None,)], "id long")
+    got = ngram_join.only(rows, keys, sent_keys)
+    assert sorted(r.v for r in got.collect()) == [k for k in range(1, 40) if k % 7 in (1, 3)]
+
+
 def passage_texts(seed, many):
     """Texts of their own round passages that many share, some with a near copy; and texts that are little else than a passage."""
     rng = random.Random(seed)
