@@ -2,6 +2,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.functions import xml as X
 from tests.conftest import rows
@@ -83,3 +84,12 @@ def test_no_documents(spark):
     df = spark.createDataFrame([], "id int, doc string")
     assert X.element_names(df, "doc") == [] and X.shred(df, ["id"], "doc", []).count() == 0
     assert X.pivot_elements(df, ["id"], "doc").count() == 0
+
+
+def test_long_pivot_deals_rows_out_before_it_sorts_them(spark):
+    long = spark.range(0, 4_000, 1, 1).select((F.col("id") % 500).alias("id"), F.concat(F.lit("n"), F.col("id") % 2).alias("k"), F.col("id").cast("string").alias("v"))
+    wide = X.pivot_long(long, ["id"], "k", "v")
+    assert rows(wide.filter("id < 2")) == [(0, max(str(i) for i in range(0, 4_000, 500)), None), (1, None, max(str(i) for i in range(1, 4_000, 500)))]
+    plan = wide._jdf.queryExecution().sparkPlan().toString().split("Range")[0].splitlines()
+    deepest_sort = max(i for i, line in enumerate(plan) if "Aggregate" in line)
+    assert any("REPARTITION_BY_NUM" in line for line in plan[deepest_sort + 1:]), plan
