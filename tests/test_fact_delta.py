@@ -6,8 +6,11 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from starloom import runtime
 from starloom.operators.allocate import allocate_exactly
+from starloom.operators.keys import assign_keys
 from starloom.operators.lookup import insert_only, insert_only_in_months
+from starloom.plans import fact
 from starloom.plans.full_load import full_load
 from starloom.plans.incremental import run_incremental
 from starloom.plans.order_index import months_of
@@ -108,3 +111,34 @@ def test_large_amounts_add_up(spark):
     df = spark.createDataFrame(data, "h int, k int, w decimal(38,6), a decimal(19,4)")
     got = {r.h: r.s for r in allocate_exactly(df, "h", "w", {"p": "a"}, ["k"]).groupBy("h").agg(F.sum("p").alias("s")).collect()}
     assert got == {**dict(enumerate(amounts)), 9: None, 10: Decimal("1"), 11: Decimal("5")}
+
+
+def test_a_run_leaves_no_files_on_the_way(spark, store, tmp_path, monkeypatch):
+    """Only the tables of the store stay on disk, and the measures are not numbered with the keys."""
+    made, wide = [], []
+    monkeypatch.setattr(runtime, "shared_dir", lambda s: str(tmp_path / "shared"))
+    monkeypatch.setattr(fact, "cut_lineage", lambda df: made.append(cut_lineage(df)) or made[-1])
+    monkeypatch.setattr(fact, "assign_keys", lambda df, *a, **k: wide.append(df.columns) or assign_keys(df, *a, **k))
+    data = source_rows()
+    full_load(store, frames(spark, data), header_amounts="reconcile")
+    data["order_detail"][1].append((1000, 5, 2, 1, 1, Decimal("1"), Decimal("0"), Decimal("1"), D2))
+    run_incremental(store, frames(spark, data), ["FactSales"])
+    assert sums(store) == [(1000, Decimal("3.0000"), Decimal("1.2000")), (1001, Decimal("1.0000"), Decimal("1.0000"))]
+    assert len(made) == 2 and not any("TaxAllocated" in df.columns for df in made)
+    assert wide == [["_row", *GRAIN, "SalesReasonKey"]]
+    assert not [p for p in (tmp_path / "shared").rglob("*.parquet")]
+
+
+def test_replaced_orders_keep_rows_that_come_twice_and_rows_without_a_key(spark):
+    def table(keyed, given):
+        cells = {c: F.lit(0) for c in fact.FACT_COLUMNS} | {c: F.col(c) for c in (*GRAIN, "SalesReasonKey", "OrderQty")}
+        names = [*(["FactSalesKey"] if keyed else []), *GRAIN, "SalesReasonKey", "OrderQty"]
+        df = spark.createDataFrame(given, ", ".join(f"{n} long" for n in names))
+        return df.select(*(["FactSalesKey"] if keyed else []), *[c.alias(n) for n, c in cells.items()])
+
+    near = cut_lineage(table(True, [(1, 7, 1, -1, 5), (2, 7, 2, -1, 5), (3, 8, 1, -1, 5)]))
+    new = cut_lineage(table(False, [(7, 1, -1, 6), (7, 1, -1, 7), (7, 3, -1, 8), (7, 3, -1, 9), (7, None, -1, 4)]))
+    out, many = fact.replace_orders(near, spark.createDataFrame([(7,)], "SalesOrderID long"), new, 3)
+    got = sorted((r.FactSalesKey, r.OrderQty) for r in out.collect())
+    assert many == 3 and [q for k, q in got if k == 1] == [6, 7] and (3, 5) in got
+    assert sorted(k for k, _ in got) == [1, 1, 3, 4, 5, 6] and (4, 4) in got
