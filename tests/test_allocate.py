@@ -1,6 +1,12 @@
+from datetime import datetime
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from starloom.operators.allocate import allocate_exactly
+from starloom.plans.fact import build_fact
+from starloom.plans.registry import DIMENSIONS, REGISTRY
+from tests.test_flows import frames, source_rows
 
 
 def test_parts_add_up_and_follow_the_weights(spark):
@@ -11,3 +17,22 @@ def test_parts_add_up_and_follow_the_weights(spark):
     assert [got[1, k] for k in (1, 2, 3)] == [Decimal("3.3334"), Decimal("3.3333"), Decimal("3.3333")]
     assert got[2, 1] + got[2, 2] == Decimal("0.0001")
     assert (got[3, 1], got[3, 2]) == (Decimal("-3.7500"), Decimal("-1.2500"))
+
+
+def test_cuts_sort_as_whole_numbers_and_lose_no_decimal(spark):
+    rows = [(1, k, Decimal(w), Decimal("99999999999.9999")) for k, w in enumerate(["0.0001", "3", "7", "7", "11.1111", "900000000"])]
+    df = spark.createDataFrame(rows, "o int, l int, w decimal(19,4), a decimal(19,4)")
+    out = allocate_exactly(df, "o", "w", {"part": "a"}, ["l"])
+    assert sum(r.part for r in out.collect()) == Decimal("99999999999.9999")
+    assert "_cut" in str(out._jdf.queryExecution().optimizedPlan()) and "as decimal(7,6)) AS _cut" in str(out._jdf.queryExecution().optimizedPlan())
+
+
+def test_lines_are_dealt_by_order_once(spark):
+    """The distinct lines, their join with the orders and the spreading share one exchange of the lines."""
+    data = source_rows()
+    sources = frames(spark, data)
+    dims = {n: REGISTRY[n].build(sources).withColumn(REGISTRY[n].spec.surrogate_key, F.lit(1).cast("long")) for n in DIMENSIONS}
+    dims["DimDate"] = spark.createDataFrame([(datetime(2020, 1, 1), 20200101)], "Date timestamp_ntz, DateKey int")
+    plan = build_fact(sources, dims, "reconcile", unmatched="unknown")._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan
+    assert not [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x and "SalesOrderDetail" in x], plan
