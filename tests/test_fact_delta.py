@@ -142,3 +142,11 @@ def test_replaced_orders_keep_rows_that_come_twice_and_rows_without_a_key(spark)
     got = sorted((r.FactSalesKey, r.OrderQty) for r in out.collect())
     assert many == 3 and [q for k, q in got if k == 1] == [6, 7] and (3, 5) in got
     assert sorted(k for k, _ in got) == [1, 1, 3, 4, 5, 6] and (4, 4) in got
+
+
+def test_flows_ask_for_shuffle_files_to_go_and_restore_the_setting(spark, store, monkeypatch):
+    key, seen = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    before = spark.conf.get(key)
+    monkeypatch.setattr("starloom.plans.incremental.update_table", lambda s, name, sources: seen.append(spark.conf.get(key)) or ((name, "skipped", 0, 0, 0, 0, None, None), None))
+    run_incremental(store, {}, ["FactSales"])
+    assert seen == ["true"] and spark.conf.get(key) == before
