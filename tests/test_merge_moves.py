@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from starloom.functions.scalar import open_end
 from starloom.operators import keys
 from starloom.operators.keys import assign_keys, assign_keys_by_group
-from starloom.operators.lookup import insert_only, insert_only_by_group, known_keys
+from starloom.operators.lookup import insert_only, insert_only_by_group, known_by_group, known_keys
 from starloom.plans import fact
 from starloom.runtime import cut_lineage
 from tests.conftest import rows
@@ -45,6 +45,7 @@ def test_new_lines_by_group_are_those_of_insert_only(spark):
     known = known_keys(target, batch, ["o", "l"])
     want = rows(insert_only(target, batch, ["o", "l"]))
     assert len(want) > 100 and rows(insert_only_by_group(batch, known, ["o", "l"])) == want
+    assert rows(known_by_group(target, cut_lineage(batch, by="o"), ["o", "l"])) == rows(known)
     assert rows(insert_only_by_group(cut_lineage(batch, by="o"), cut_lineage(known), ["o", "l"])) == want
     assert rows(insert_only_by_group(batch.filter("false"), known, ["o", "l"])) == []
 
