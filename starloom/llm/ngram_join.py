@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.components import components, roots
 from starloom.llm.words import Words, grams, mix, pieces, words
-from starloom.runtime import cut_lineage
+from starloom.runtime import cut_lineage, tidy_shuffles
 
 SIZE, PERCENT = 5, 80
 #: (share of the texts, tokens in a combination), ascending; what is rarer than the first is rare.
@@ -49,6 +49,9 @@ CLASSES = ((0.0005, 2), (0.05, 3))
 FLOOR = 64
 #: A rare token's texts up to this number are compared pair by pair.
 SMALL = 64
+#: One token in so many lengthens an all-rare prefix. Without it a set may share two tokens only with one of 0.8 of its size, so few crowded
+#: tokens, which texts share by chance, the more texts there are, would bring it into blocks.
+SPARE = 64
 #: Sets in a block.
 BLOCK = 200
 SALTS = 32
@@ -83,6 +86,11 @@ def _missing(n: int, percent: int) -> int:
     return n - -(-percent * n // 100)
 
 
+def _prefix(n: int, percent: int) -> int:
+    """Tokens that a set of ``n`` indexes where they are all rare: those a partner may lack, two more, and one of ``SPARE`` for sets of any size to share."""
+    return _missing(n, percent) + 2 + n // SPARE
+
+
 def bands(n: int, percent: int) -> list[int]:
     """The size bands (powers of two) in which the larger of a linked pair may lie."""
     return sorted({n.bit_length() - 1, (100 * n // percent).bit_length() - 1})
@@ -99,8 +107,8 @@ def signatures(tokens: np.ndarray, classes: np.ndarray, sizes: tuple[int, ...],
     need = _missing(n, percent) + 1
     rare = int((classes == 0).sum())
     longest, combos = 0, []
-    if rare >= need + 1:
-        return tokens[: need + 1], tokens[:0]
+    if rare >= _prefix(n, percent):
+        return tokens[: _prefix(n, percent)], tokens[:0]
     for band in bands(n, percent):
         # a small band has room for one class of pairs only
         kinds = np.minimum(classes[rare:], 1) if band < 5 else classes[rare:]
@@ -237,7 +245,7 @@ def index(docs: DataFrame, size: int, percent: int, tokens: np.ndarray, kinds: n
                         continue
                     seen.add(own)
                     found = signatures(s, _classes(s, tokens, kinds), ks, percent)
-                    rare = len(found[0]) == _missing(len(s), percent) + 2 and not len(found[1])
+                    rare = len(found[0]) == _prefix(len(s), percent) and not len(found[1])
                     for part, kind in zip(found, (False, True)):
                         sig.append(part)
                         fp.append(np.full(len(part), own))
@@ -296,7 +304,7 @@ def least_shared(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     """
     x, y = np.abs(n).astype(np.int64), np.abs(m).astype(np.int64)
     both = -(-percent * (x + y) // (100 + percent))
-    behind = [z - (z - -(-percent * z // 100) + 2) for z in (x, y)]
+    behind = [-(-percent * z // 100) - 2 - z // SPARE for z in (x, y)]
     return np.where((n > 0) & (m > 0), np.maximum(2, both - np.maximum(*behind)), 2)
 
 
@@ -470,12 +478,14 @@ def block_rows(members: DataFrame, percent: int, block: int) -> DataFrame:
 def _reaches(percent: int):
     """Whether a set (n, held) may link with one of a block (lo, hi, most) by crowded tokens alone.
 
-    What two sizes demand (``least_shared``) is smallest at one of the ends of the sizes that can link.
+    What two sizes demand (``least_shared``) is smallest at one of the ends of the sizes that can link, for a small ``percent`` at equal sizes, and two at least: with a single
+    crowded token in one of two linked prefixes, they have another token in common.
     """
     n = F.col("n")
     ends = [F.greatest("lo", n * percent / 100), F.least("hi", n * 100 / percent)]
-    demand = [(n + m) * percent / (100 + percent) - F.greatest(n, m) * percent / 100 + 1 for m in ends]
-    return (ends[0] <= ends[1]) & (F.least("held", "most") + 1e-6 >= F.least(*demand))
+    ends.append(F.least(F.greatest(n, ends[0]), ends[1]))
+    demand = [(n + m) * percent / (100 + percent) - F.greatest(n, m) * (percent / 100 - 1 / SPARE) for m in ends]
+    return (ends[0] <= ends[1]) & (F.least("held", "most") + 1e-6 >= F.greatest(F.lit(2.0), F.least(*demand)))
 
 
 def only(rows: DataFrame, keys: DataFrame, sent_keys: int = SENT_KEYS) -> DataFrame:
@@ -496,34 +506,35 @@ def verify(texts: DataFrame, size: int, percent: int) -> DataFrame:
 
 def _placed(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, classes=CLASSES, key: str = "doc_id", text: str = "text", floor: int = FLOOR, small: int = SMALL, block: int = BLOCK) -> DataFrame:
     """(id, mark, n, component) of every row; component is the smallest fingerprint reachable by links, null without a word."""
-    texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("mark"))
-    found = cut_lineage(survey(texts, size, classes[0][0]))
-    known = found.where("token is null").select("id", "mark", "n", "fp")
-    tokens, kinds = frequent(found, classes, floor)
-    met = cut_lineage(candidates(index(texts, size, percent, tokens, kinds, tuple(k for _, k in classes)), percent, small))
-    members = cut_lineage(met.where("b is null").select("sig", "a", "n").distinct())
-    counts = cut_lineage(members.groupBy("sig").agg(F.count("*").alias("many")).where("many > 1"))
-    few = members.join(counts.where(F.col("many") <= small), "sig").select("sig", "a", F.abs("n").alias("n"))
-    near = (F.col("a") < F.col("b")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
-    crowded = cut_lineage(members.join(counts.where(F.col("many") > small), "sig").select("sig", "a", "n"))
-    # a set whose prefix is not all rare may meet others in a single combination, so any number of crowded tokens is enough
-    held = cut_lineage(crowded.groupBy("a").agg(F.when(F.min("n") < 0, F.lit(_LAST)).otherwise(F.count("*")).alias("held")))
-    often = met.where("b is not null").groupBy("a", "b").agg(F.count("*").alias("many"), F.min("n").alias("n"))
-    often = often.join(held, "a", "left").join(held.toDF("b", "held_b"), "b", "left")
-    common = F.least(F.coalesce("held", F.lit(0)), F.coalesce("held_b", F.lit(0)), "n")
-    pairs = often.where(F.col("many") + common >= F.col("n")).select("a", "b")
-    pairs = cut_lineage(pairs.union(few.join(few.toDF("sig", "b", "m"), "sig").where(near).select("a", "b")).distinct())
-    members = crowded.join(held, "a").select("sig", "a", F.abs("n").alias("n"), "held")
-    rows = cut_lineage(block_rows(cut_lineage(members), percent, block))
-    rows = cut_lineage(rows.union(pair_rows(pairs, block)))
-    shows = only(shown(texts, size), cut_lineage(rows.select("fp").distinct())).groupBy("fp", "n").agg(F.first("sketch").alias("sketch"))
-    chosen = cut_lineage(hopeful(rows.join(shows, "fp"), size, percent))
-    # a text that several sets of rows wait for travels once, with the list of its pairs of blocks
-    waits = chosen.groupBy("fp").agg(F.collect_list(F.struct("block", "other", "side")).alias("waits"))
-    waits = cut_lineage(known.where("n > 0").groupBy("fp").agg(F.min("id").alias("id")).join(waits, "fp"))
-    found = _of_fingerprint(only(texts, waits.select("id")).join(waits, "id"), size).select(F.inline("waits"), "fp", "text")
-    links = verify(found.select("block", "other", "side", "fp", "text"), size, percent)
-    member = cut_lineage(components(cut_lineage(links)))
+    with tidy_shuffles(docs.sparkSession):
+        texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("mark"))
+        found = cut_lineage(survey(texts, size, classes[0][0]))
+        known = found.where("token is null").select("id", "mark", "n", "fp")
+        tokens, kinds = frequent(found, classes, floor)
+        met = cut_lineage(candidates(index(texts, size, percent, tokens, kinds, tuple(k for _, k in classes)), percent, small))
+        members = cut_lineage(met.where("b is null").select("sig", "a", "n").distinct())
+        counts = cut_lineage(members.groupBy("sig").agg(F.count("*").alias("many")).where("many > 1"))
+        few = members.join(counts.where(F.col("many") <= small), "sig").select("sig", "a", F.abs("n").alias("n"))
+        near = (F.col("a") < F.col("b")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
+        crowded = cut_lineage(members.join(counts.where(F.col("many") > small), "sig").select("sig", "a", "n"))
+        # a set whose prefix is not all rare may meet others in a single combination, so any number of crowded tokens is enough
+        held = cut_lineage(crowded.groupBy("a").agg(F.when(F.min("n") < 0, F.lit(_LAST)).otherwise(F.count("*")).alias("held")))
+        often = met.where("b is not null").groupBy("a", "b").agg(F.count("*").alias("many"), F.min("n").alias("n"))
+        often = often.join(held, "a", "left").join(held.toDF("b", "held_b"), "b", "left")
+        common = F.least(F.coalesce("held", F.lit(0)), F.coalesce("held_b", F.lit(0)), "n")
+        pairs = often.where(F.col("many") + common >= F.col("n")).select("a", "b")
+        pairs = cut_lineage(pairs.union(few.join(few.toDF("sig", "b", "m"), "sig").where(near).select("a", "b")).distinct())
+        members = crowded.join(held, "a").select("sig", "a", F.abs("n").alias("n"), "held")
+        rows = cut_lineage(block_rows(cut_lineage(members), percent, block))
+        rows = cut_lineage(rows.union(pair_rows(pairs, block)))
+        shows = only(shown(texts, size), cut_lineage(rows.select("fp").distinct())).groupBy("fp", "n").agg(F.first("sketch").alias("sketch"))
+        chosen = cut_lineage(hopeful(rows.join(shows, "fp"), size, percent))
+        # a text that several sets of rows wait for travels once, with the list of its pairs of blocks
+        waits = chosen.groupBy("fp").agg(F.collect_list(F.struct("block", "other", "side")).alias("waits"))
+        waits = cut_lineage(known.where("n > 0").groupBy("fp").agg(F.min("id").alias("id")).join(waits, "fp"))
+        found = _of_fingerprint(only(texts, waits.select("id")).join(waits, "id"), size).select(F.inline("waits"), "fp", "text")
+        links = verify(found.select("block", "other", "side", "fp", "text"), size, percent)
+        member = cut_lineage(components(cut_lineage(links)))
     return known.join(member.where("node is not null"), F.col("fp") == F.col("node"), "left").select(
         "id", "mark", "n", F.when(F.col("n") > 0, F.coalesce("component", "fp")).alias("component")
     )

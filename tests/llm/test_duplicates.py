@@ -361,3 +361,35 @@ def test_kept_digest_is_that_of_the_text(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in found:
         assert r.kept_sha256 == hashlib.sha256(" ".join(re.findall("[^\x20\x09-\x0d]+", docs[r.doc_id])).encode()).hexdigest()
+
+
+def test_long_linked_sets_share_spare_rare_tokens():
+    """Sets of any sizes that link have two rare prefix tokens and one of ``SPARE`` in common, as ``least_shared`` says."""
+    rng = np.random.default_rng(9)
+    for n in (300, 900, 2_000):
+        x = np.unique(rng.integers(1, 2**62, n).astype(np.uint64))
+        for more in (0, n // 10, n // 4):
+            y = np.unique(np.concatenate([x, rng.integers(1, 2**62, more).astype(np.uint64)]))
+            found = [ngram_join.signatures(s, np.zeros(len(s), int), (2, 3), 80)[0] for s in (x, y)]
+            assert [len(f) for f in found] == [len(s) // 5 + 2 + len(s) // ngram_join.SPARE for s in (x, y)]
+            need = ngram_join.least_shared(np.array([len(x)]), np.array([len(y)]), 80)[0]
+            assert len(np.intersect1d(*found)) >= need >= 2 + n // ngram_join.SPARE
+
+
+@pytest.mark.parametrize("held,n,rows", [(1, 30, 0), (1, 200, 0), (4, 500, 0), (9, 500, 40)])
+def test_a_few_tokens_shared_by_chance_bring_no_set_into_blocks(spark, held, n, rows):
+    """Forty texts of sizes n and n * 0.8, the pair of sizes that a link takes fewest common tokens of."""
+    members = spark.createDataFrame([(1, k, n if k % 2 else n * 4 // 5, held) for k in range(40)], "sig long, a long, n long, held long")
+    assert ngram_join.block_rows(members, 80, 200).select("fp").distinct().count() == rows
+
+
+def test_the_join_leaves_no_shuffle_files(spark, tmp_path):
+    """Shuffle files of the join's own steps go with their queries; the setting is as before afterwards."""
+    from pathlib import Path
+
+    local = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
+    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false")
+    held = {f.name for f in local.rglob("shuffle_*.data")}
+    ngram_join._placed(spark.createDataFrame(passage_texts(1, 60), "doc_id long, text string").repartition(3))
+    assert {f.name for f in local.rglob("shuffle_*.data")} <= held
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == before
