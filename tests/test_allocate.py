@@ -36,3 +36,24 @@ def test_lines_are_dealt_by_order_once(spark):
     plan = build_fact(sources, dims, "reconcile", unmatched="unknown")._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_COL" in plan
     assert not [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x and "SalesOrderDetail" in x], plan
+
+
+def test_columns_that_no_step_reads_go_through_the_sorts_as_one(spark):
+    """Forty columns beside those of the allocation are one value in each sort, and come back in their places."""
+    import re
+
+    from pyspark.sql import functions as F
+
+    from starloom.operators.allocate import allocate_exactly
+
+    names = [f"c.{k}" for k in range(40)]
+    wide = spark.createDataFrame([(7, k, 10, 5) for k in range(3)], "o long, line long, w int, tax int").select(
+        *[F.col("line").alias(n) for n in names[:20]], "o", "line", F.lit(None).cast("decimal(19,4)").alias("t"), "w", "tax", *[(F.col("line") * 2).alias(n) for n in names[20:]]
+    )
+    out = allocate_exactly(wide, "o", "w", {"t": "tax", "u": "tax"}, ["line"])
+    assert out.columns == [*wide.columns, "u"]
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "Window" in plan and not re.search(r"Window \[[^\n]*c\.3\b", plan)
+    found = sorted(tuple(r) for r in out.collect())
+    assert [r[:20] for r in found] == [(k,) * 20 for k in range(3)] and [r[25:45] for r in found] == [(2 * k,) * 20 for k in range(3)]
+    assert sum(r[22] for r in found) == 5 and sum(r[45] for r in found) == 5
