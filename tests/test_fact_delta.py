@@ -150,3 +150,40 @@ def test_flows_ask_for_shuffle_files_to_go_and_restore_the_setting(spark, store,
     monkeypatch.setattr("starloom.plans.incremental.update_table", lambda s, name, sources: seen.append(spark.conf.get(key)) or ((name, "skipped", 0, 0, 0, 0, None, None), None))
     run_incremental(store, {}, ["FactSales"])
     assert seen == ["true"] and spark.conf.get(key) == before
+
+
+def test_flows_plan_joins_by_the_size_of_rows_and_restore_the_setting(spark, store, monkeypatch):
+    """Files of keys are a tenth of the rows or less; the flows must not take them for small enough to go through the driver."""
+    from starloom.plans import full_load as flow
+
+    key, seen = "spark.sql.sources.fileCompressionFactor", []
+    build = flow.build_fact
+
+    def noted(*args, **kwargs):
+        seen.append(float(spark.conf.get(key)))
+        return build(*args, **kwargs)
+
+    monkeypatch.setattr(flow, "build_fact", noted)
+    before = spark.conf.get(key, "1.0")
+    full_load(store, frames(spark, source_rows()))
+    assert seen and min(seen) >= 10 and spark.conf.get(key, "1.0") == before
+
+
+def test_a_table_of_many_keys_in_small_files_is_not_sent_to_the_driver(spark, tmp_path):
+    from starloom.runtime import unpacked_sizes
+
+    # 400,000 keys: over 1 MB in files, over 16 MB in a broadcast
+    spark.range(400_000).withColumn("k", F.xxhash64("id") % 4_000_000).select("id", "k").write.parquet(f"{tmp_path}/keys", compression="zstd")
+    keys, rows = spark.read.parquet(f"{tmp_path}/keys"), spark.range(10_000_000).withColumnRenamed("id", "k")
+
+    def plan():
+        return rows.join(keys, "k")._jdf.queryExecution().sparkPlan().toString()
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        assert "BroadcastHashJoin" in plan()
+        with unpacked_sizes(spark):
+            assert "BroadcastHashJoin" not in plan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
